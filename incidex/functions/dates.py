@@ -22,5 +22,5 @@ def assemble_date(day, month, year) -> Column:
     """d/M/yyyy parts -> 'yyyy-MM-dd HH:mm:ss'; impossible dates give NULL."""
     parts = [F.col(x).cast("string") if isinstance(x, str) else x.cast("string")
              for x in (day, month, year)]
-    d = F.try_to_date(F.concat_ws("/", *parts), F.lit(DMY_PATTERN))
+    d = F.try_to_date(F.concat_ws("/", *parts), DMY_PATTERN)
     return F.date_format(d, OUTPUT_PATTERN)

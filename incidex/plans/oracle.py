@@ -296,7 +296,7 @@ def build() -> dict[str, str]:
     s["project_rename"] = (f"SELECT o_orderkey AS ID, o_custkey AS ID_CUSTOMER, o_orderstatus AS STATUS, "
                            f"o_totalprice AS PRICE, {yr} AS YEAR_INFO FROM orders")
     s["distinct_rows"] = "SELECT DISTINCT l_orderkey, l_returnflag, l_linestatus FROM lineitem"
-    s["drop_suffix_columns"] = 'SELECT p_partkey, p_name, p_type, p_size AS "p_size.10" FROM part'
+    s["drop_suffix_columns"] = "SELECT p_partkey, p_name, p_type FROM part"
     s["drop_void_columns"] = "SELECT p_partkey, p_brand, p_size FROM part"
     s["filter_equals_coerced"] = f"SELECT CD_SETOR, CD_UF FROM ({DEMO}) WHERE {IN_STATE}"
     s["filter_not_like"] = (f"SELECT LOGRADOURO, NUMERO_LOGRADOURO, NATUREZA_APURADA FROM ({raw_sql('others')}) "
