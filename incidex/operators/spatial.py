@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import orient_rings, point_in_edges, ring_edges
+from ..session import ensure_parallelism
 
 
 def zone_edges(zones: DataFrame, keys, rings: str = "rings") -> DataFrame:
     """Zone parts with ``rings`` -> one row per directed edge (rings oriented)."""
     keys = list(keys)
-    return (zones.select(*keys, orient_rings(rings).alias("_r"))
+    return (ensure_parallelism(zones).select(*keys, orient_rings(rings).alias("_r"))
                  .select(*keys, F.explode(ring_edges("_r")).alias("e"))
                  .select(*keys, "e.x1", "e.y1", "e.x2", "e.y2"))
 
@@ -81,7 +82,7 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
         cell = suggest_cell_size(edges, keys)
     cells = zone_cells(edges, keys, cell, attrs)
     c = F.lit(float(cell))
-    pts = points.withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
+    pts = ensure_parallelism(points).withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
     joined = pts.join(cells, ["_gx", "_gy"], "inner")
     return joined.where(point_in_edges(f"`{x}`", f"`{y}`", "_edges")).drop("_gx", "_gy", "_edges")
 

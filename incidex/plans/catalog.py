@@ -21,7 +21,7 @@ from ..operators.dedup import keep_top_priority, union_sources
 from ..operators.logs import forward_fill, parse_log_lines, stage_metrics
 from ..operators.rates import rate_index
 from ..operators.spatial import dissolve, edges_area, spatial_join, zone_edges
-from ..session import shared_path
+from ..session import ensure_parallelism, shared_path
 from ..sources import readers, sinks
 from . import fixtures as fx
 from . import pipeline as pl
@@ -157,7 +157,8 @@ def make_points(spark, sf):
 
 # --------------------------------------------------------------- keys/text --
 def normalize_text_q(spark, sf):
-    return T(spark, sf, "documents").select("doc_id", normalize_text("text").alias("t"))
+    docs = ensure_parallelism(T(spark, sf, "documents"))
+    return docs.select("doc_id", normalize_text("text").alias("t"))
 
 
 def row_fingerprint_q(spark, sf):
@@ -356,14 +357,13 @@ def reproject_mercator(spark, sf):
 
 
 def spatial_join_points_zones(spark, sf):
-    pts = {"interior": fx.points(spark, sf), "border": fx.border_points(spark, sf)}
+    pts = (fx.points(spark, sf).withColumn("pointset", F.lit("interior"))
+           .unionByName(fx.border_points(spark, sf).withColumn("pointset", F.lit("border"))))
     outs = []
     for shape in ("cell", "ell", "hole"):
         edges = zone_edges(fx.shaped_zones(spark, sf, shape), ["zone_id"])
-        for name, p in pts.items():
-            j = spatial_join(p, edges, ["zone_id"], x="px", y="py")
-            outs.append(j.select(F.lit(shape).alias("shape"), F.lit(name).alias("pointset"),
-                                 "event_id", "zone_id"))
+        j = spatial_join(pts, edges, ["zone_id"], x="px", y="py")
+        outs.append(j.select(F.lit(shape).alias("shape"), "pointset", "event_id", "zone_id"))
     return reduce(DataFrame.unionByName, outs)
 
 
@@ -387,9 +387,12 @@ def geojson_features_q(spark, sf):
 
 
 # -------------------------------------------------------------- pipeline --
-def _sector_tables(spark, sf):
+def _sector_tables(spark, sf, persist: bool = False):
     geom, edges = pl.sector_geometry(fx.sector_parts(spark, sf))
     sectors = pl.zone_with_population(geom, pl.sector_population(fx.sector_demo(spark, sf)), "ID_SC")
+    if persist:
+        sectors = pl.materialize(sectors, "silver_sectors", "YEAR_INFO")
+        edges = pl.materialize(edges, "silver_sector_edges")
     return sectors, edges
 
 
@@ -429,12 +432,23 @@ def silver_incident_other(spark, sf):
                               year="ANO_ESTATISTICA", type_col="NATUREZA_APURADA")
 
 
+def _bronze(spark, sf, source):
+    """Bronze table of one landing source, written once (partitioned by year)."""
+    year = "ANO_ESTATISTICA" if source == "others" else "ANO"
+    return pl.materialize(pl.bronze(fx.raw_incidents(spark, sf, source), year_col=year),
+                          f"bronze_{source}", "YEAR_INFO")
+
+
 def _silver_incidents(spark, sf):
-    sectors, edges = _sector_tables(spark, sf)
-    cel = pl.incident_source(fx.raw_incidents(spark, sf, "cellphones"), crime_type=pl.CELLPHONE_TYPE)
-    veh = pl.incident_source(fx.raw_incidents(spark, sf, "vehicles"), crime_type=pl.VEHICLE_TYPE)
-    oth = pl.incident_source(fx.raw_incidents(spark, sf, "others"), month="MES_ESTATISTICA",
+    """Silver layer as the pipeline runs it: each source and the sector
+    tables are written once, then union / de-dup / spatial join read them."""
+    sectors, edges = _sector_tables(spark, sf, persist=True)
+    cel = pl.incident_source(_bronze(spark, sf, "cellphones"), crime_type=pl.CELLPHONE_TYPE)
+    veh = pl.incident_source(_bronze(spark, sf, "vehicles"), crime_type=pl.VEHICLE_TYPE)
+    oth = pl.incident_source(_bronze(spark, sf, "others"), month="MES_ESTATISTICA",
                              year="ANO_ESTATISTICA", type_col="NATUREZA_APURADA")
+    cel, veh, oth = (pl.materialize(d, f"silver_incidents_{n}", "YEAR_INFO", 10000)
+                     for d, n in ((cel, "cellphones"), (veh, "vehicles"), (oth, "others")))
     return pl.incidents(cel, veh, oth, edges, sectors, cell=1.0), sectors
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table_path
+from ..session import ensure_parallelism, table_path
 
 # --- fixed values -----------------------------------------------------------
 GRID_WIDTH = 50                 # cells per grid row
@@ -154,7 +154,7 @@ def sector_demo(spark, sf_dir) -> DataFrame:
 
 def sector_parts(spark, sf_dir) -> DataFrame:
     """Two parts per sector: left and right half of its grid cell."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    c = ensure_parallelism(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = c.join(n, c.c_nationkey == n.n_nationkey).selectExpr(
         f"concat('{MUNICIPALITY_PREFIX}', lpad(CAST(c_custkey AS STRING), 8, '0')) AS CD_SETOR",
@@ -189,7 +189,7 @@ def _coord_text(k: str, mod: int) -> str:
 def raw_incidents(spark, sf_dir, source: str) -> DataFrame:
     """Landing records of one source ('cellphones' R, 'vehicles' A, 'others' N)."""
     flag = {"cellphones": "R", "vehicles": "A", "others": "N"}[source]
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag))
     month, year = ("MES_ESTATISTICA", "ANO_ESTATISTICA") if source == "others" else ("MES", "ANO")
     cols = [
         f"CASE WHEN l_partkey % 20 = 0 THEN '{REDACTED}' WHEN l_partkey % 20 = 1 THEN NULL "

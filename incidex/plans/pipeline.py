@@ -25,6 +25,7 @@ from ..operators.columns import drop_suffix_columns, drop_void_columns
 from ..operators.dedup import keep_top_priority, union_sources
 from ..operators.rates import GUARD_YEAR, MUNICIPALITY_BASE, SECTOR_BASE, rate_index
 from ..operators.spatial import dissolve, spatial_join, zone_edges
+from ..session import ensure_parallelism
 
 # --- fixed values -----------------------------------------------------------
 STATE = "SP"
@@ -48,6 +49,22 @@ def in_state(col: str = "CD_UF", code: int = 35):
     return F.col(col).try_cast("double").cast("int") == F.lit(code)
 
 
+# ------------------------------------------------------------ materialise --
+def materialize(df: DataFrame, name: str, partition_cols=None, max_records: int = 100000) -> DataFrame:
+    """Write a layer table to the shared folder and read it back with the same
+    schema.  Later steps then scan it instead of recomputing its lineage, and a
+    lost executor only re-reads files."""
+    from ..session import shared_path
+    from ..sources.sinks import write_partitioned
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    if partition_cols:
+        write_partitioned(df, path, partition_cols, max_records=max_records)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ----------------------------------------------------------------- bronze --
 def bronze(df: DataFrame, year_col: str | None = None, year: int | None = None) -> DataFrame:
     df = drop_void_columns(drop_suffix_columns(df))
@@ -126,7 +143,7 @@ def incident_source(raw: DataFrame, crime_type=None, month: str = "MES", year: s
     lon = repair_coordinate("LONGITUDE")
     typ = F.lit(crime_type) if crime_type is not None else \
         merge_labels(type_col, VEHICLE_LABELS, VEHICLE_MERGED)
-    df = raw.select(
+    df = ensure_parallelism(raw).select(
         F.col("LOGRADOURO"), F.col("NUMERO_LOGRADOURO").alias("ADDRESS_NUMBER"),
         F.col("BAIRRO"), lat.alias("LATITUDE"), lon.alias("LONGITUDE"),
         day_with_default("DATA_OCORRENCIA_BO").alias("DAY_INFO"),

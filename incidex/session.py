@@ -81,3 +81,15 @@ def cut_lineage(df, spark: SparkSession | None = None):
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread rows before CPU-heavy narrow work when the input has fewer
+    partitions than the cluster has cores (a small file with one row group is
+    one scan task).  Wide inputs are returned unchanged, so at scale this adds
+    no shuffle."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
