@@ -412,6 +412,7 @@ def build() -> dict[str, str]:
         "coalesce(BAIRRO, 'x'), coalesce(LATITUDE, 'x'), coalesce(LONGITUDE, 'x'), "
         "coalesce(DATA_OCORRENCIA_BO, 'x'), coalesce(MES, 'x'), coalesce(ANO, 'x'))) AS ID, "
         f"try_cast(ANO AS INTEGER) AS YEAR_INFO FROM ({raw_c})")
+    s["bronze_incremental"] = s["bronze_table"]
     s["silver_sector_geometry"] = ("SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 3) AS AREA_KM2, "
                                    f"CAST(6 AS BIGINT) AS n_edges FROM ({SECTORS})")
     s["silver_municipality_geometry"] = (
