@@ -388,11 +388,11 @@ def geojson_features_q(spark, sf):
 
 # -------------------------------------------------------------- pipeline --
 def _sector_tables(spark, sf, persist: bool = False):
-    geom, edges = pl.sector_geometry(fx.sector_parts(spark, sf))
+    keep = (lambda e: pl.materialize(e, "silver_sector_edges")) if persist else None
+    geom, edges = pl.sector_geometry(fx.sector_parts(spark, sf), persist=keep)
     sectors = pl.zone_with_population(geom, pl.sector_population(fx.sector_demo(spark, sf)), "ID_SC")
     if persist:
         sectors = pl.materialize(sectors, "silver_sectors", "YEAR_INFO")
-        edges = pl.materialize(edges, "silver_sector_edges")
     return sectors, edges
 
 

@@ -48,7 +48,7 @@ def _sql_list(values) -> str:
 
 
 def cells(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(
+    return ensure_parallelism(table(spark, sf_dir, "customer")).selectExpr(
         "c_custkey AS zone_id", "c_nationkey AS grp",
         f"CAST(c_custkey % {GRID_WIDTH} AS DOUBLE) AS x",
         f"CAST(c_custkey DIV {GRID_WIDTH} AS DOUBLE) AS y")
@@ -75,14 +75,14 @@ def shaped_zones(spark, sf_dir, shape: str) -> DataFrame:
 
 
 def points(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return ensure_parallelism(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         f"CAST(event_id * 7919 % {POINT_X_MOD} AS DOUBLE) / 1000 + 0.0005 AS px",
         f"CAST(event_id * 104729 % {POINT_Y_MOD} AS DOUBLE) / 1000 + 0.0005 AS py")
 
 
 def border_points(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return ensure_parallelism(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         f"CAST(event_id % {GRID_WIDTH + 1} AS DOUBLE) AS px",
         "CAST(event_id % 30 AS DOUBLE) + 0.5 AS py")

@@ -246,7 +246,7 @@ def mun_edges_sql() -> str:
              f"SELECT grp, k + 1, x < {GW - 1}, 1 FROM s UNION ALL "
              f"SELECT grp, k - {GW}, k >= {GW}, 2 FROM s UNION ALL "
              f"SELECT grp, k + {GW}, TRUE, 2 FROM s")
-    return (f"WITH s AS ({s}), e AS ({sides}) SELECT e.grp, sum(e.n) AS n_edges FROM e "
+    return (f"WITH s AS ({s}), e AS ({sides}) SELECT e.grp, CAST(sum(e.n) AS BIGINT) AS n_edges FROM e "
             f"LEFT JOIN s n ON e.has AND n.k = e.nb AND n.grp = e.grp WHERE n.k IS NULL GROUP BY e.grp")
 
 

@@ -25,7 +25,6 @@ from ..operators.columns import drop_suffix_columns, drop_void_columns
 from ..operators.dedup import keep_top_priority, union_sources
 from ..operators.rates import GUARD_YEAR, MUNICIPALITY_BASE, SECTOR_BASE, rate_index
 from ..operators.spatial import dissolve, spatial_join, zone_edges
-from ..session import ensure_parallelism
 
 # --- fixed values -----------------------------------------------------------
 STATE = "SP"
@@ -104,11 +103,14 @@ def mercator_area_km2(edges: DataFrame, keys) -> DataFrame:
                                     F.count(F.lit(1)).alias("n_edges"))
 
 
-def sector_geometry(parts: DataFrame):
+def sector_geometry(parts: DataFrame, persist=None):
     """-> (sector table, sector boundary edges).  Parts of a sector are
-    dissolved; area from the dissolved boundary."""
+    dissolved; area from the dissolved boundary.  ``persist`` (e.g.
+    ``materialize``) is applied to the edges so both outputs read them once."""
     keys = ["CD_SETOR", "CD_MUN", "NM_MUN"]
     edges = dissolve(zone_edges(parts.where(in_state()), keys), keys)
+    if persist is not None:
+        edges = persist(edges)
     area = mercator_area_km2(edges, keys)
     table = area.select(F.col("CD_SETOR").alias("ID_SC"), F.col("CD_MUN").alias("ID_MUN"),
                         F.col("NM_MUN").alias("MUN"), F.lit(STATE).alias("STATE"),
@@ -143,7 +145,7 @@ def incident_source(raw: DataFrame, crime_type=None, month: str = "MES", year: s
     lon = repair_coordinate("LONGITUDE")
     typ = F.lit(crime_type) if crime_type is not None else \
         merge_labels(type_col, VEHICLE_LABELS, VEHICLE_MERGED)
-    df = ensure_parallelism(raw).select(
+    df = raw.select(
         F.col("LOGRADOURO"), F.col("NUMERO_LOGRADOURO").alias("ADDRESS_NUMBER"),
         F.col("BAIRRO"), lat.alias("LATITUDE"), lon.alias("LONGITUDE"),
         day_with_default("DATA_OCORRENCIA_BO").alias("DAY_INFO"),

@@ -87,7 +87,8 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread rows before CPU-heavy narrow work when the input has fewer
     partitions than the cluster has cores (a small file with one row group is
     one scan task).  Wide inputs are returned unchanged, so at scale this adds
-    no shuffle."""
+    no shuffle.  Meant for fresh scans: counting the partitions of a plan that
+    already contains exchanges would run those stages."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
