@@ -24,6 +24,7 @@ from ..operators.spatial import dissolve, edges_area, spatial_join, zone_edges
 from ..session import ensure_parallelism, shared_path
 from ..sources import readers, sinks
 from . import fixtures as fx
+from .layers import layer
 from . import pipeline as pl
 
 # --- fixed values -----------------------------------------------------------
@@ -357,14 +358,16 @@ def reproject_mercator(spark, sf):
 
 
 def spatial_join_points_zones(spark, sf):
+    """Both point sets against the three zone shapes in one join: the shape is
+    part of the zone key, so cells, cell size and the join are built once."""
     pts = (fx.points(spark, sf).withColumn("pointset", F.lit("interior"))
            .unionByName(fx.border_points(spark, sf).withColumn("pointset", F.lit("border"))))
-    outs = []
-    for shape in ("cell", "ell", "hole"):
-        edges = zone_edges(fx.shaped_zones(spark, sf, shape), ["zone_id"])
-        j = spatial_join(pts, edges, ["zone_id"], x="px", y="py")
-        outs.append(j.select(F.lit(shape).alias("shape"), "pointset", "event_id", "zone_id"))
-    return reduce(DataFrame.unionByName, outs)
+    zones = reduce(DataFrame.unionByName,
+                   [fx.shaped_zones(spark, sf, shape).withColumn("shape", F.lit(shape))
+                    for shape in ("cell", "ell", "hole")])
+    edges = zone_edges(zones, ["shape", "zone_id"])
+    j = spatial_join(pts, edges, ["shape", "zone_id"], x="px", y="py")
+    return j.select("shape", "pointset", "event_id", "zone_id")
 
 
 def _cell_edges(spark, sf):
@@ -397,8 +400,11 @@ def _sector_tables(spark, sf, persist: bool = False):
 
 
 def _municipality_table(spark, sf):
-    geom, _ = pl.municipality_geometry(fx.sector_parts(spark, sf))
-    return pl.zone_with_population(geom, pl.municipality_population(fx.sector_demo(spark, sf)), "ID_MUN")
+    def build():
+        geom, _ = pl.municipality_geometry(fx.sector_parts(spark, sf))
+        mun = pl.zone_with_population(geom, pl.municipality_population(fx.sector_demo(spark, sf)), "ID_MUN")
+        return pl.materialize(mun, "silver_municipalities")
+    return layer(spark, sf, "silver_municipalities", ("customer", "nation"), build)
 
 
 def bronze_table(spark, sf):
@@ -458,15 +464,21 @@ def _bronze(spark, sf, source):
 
 def _silver_incidents(spark, sf):
     """Silver layer as the pipeline runs it: each source and the sector
-    tables are written once, then union / de-dup / spatial join read them."""
-    sectors, edges = _sector_tables(spark, sf, persist=True)
-    cel = pl.incident_source(_bronze(spark, sf, "cellphones"), crime_type=pl.CELLPHONE_TYPE)
-    veh = pl.incident_source(_bronze(spark, sf, "vehicles"), crime_type=pl.VEHICLE_TYPE)
-    oth = pl.incident_source(_bronze(spark, sf, "others"), month="MES_ESTATISTICA",
-                             year="ANO_ESTATISTICA", type_col="NATUREZA_APURADA")
-    cel, veh, oth = (pl.materialize(d, f"silver_incidents_{n}", "YEAR_INFO", 10000)
-                     for d, n in ((cel, "cellphones"), (veh, "vehicles"), (oth, "others")))
-    return pl.incidents(cel, veh, oth, edges, sectors, cell=1.0), sectors
+    tables are written once, union / de-dup / spatial join read them, and the
+    result is written partitioned by year and month.  Gold steps in the same
+    application read the written tables."""
+    def build():
+        sectors, edges = _sector_tables(spark, sf, persist=True)
+        cel = pl.incident_source(_bronze(spark, sf, "cellphones"), crime_type=pl.CELLPHONE_TYPE)
+        veh = pl.incident_source(_bronze(spark, sf, "vehicles"), crime_type=pl.VEHICLE_TYPE)
+        oth = pl.incident_source(_bronze(spark, sf, "others"), month="MES_ESTATISTICA",
+                                 year="ANO_ESTATISTICA", type_col="NATUREZA_APURADA")
+        cel, veh, oth = (pl.materialize(d, f"silver_incidents_{n}", "YEAR_INFO", 10000)
+                         for d, n in ((cel, "cellphones"), (veh, "vehicles"), (oth, "others")))
+        silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors, cell=1.0),
+                                "silver_incidents", ["YEAR_INFO", "MONTH_INFO"], 10000)
+        return silver, sectors
+    return layer(spark, sf, "silver_incidents", ("lineitem", "customer", "nation"), build)
 
 
 def silver_incidents(spark, sf):
