@@ -11,7 +11,9 @@ from pyspark.sql import SparkSession
 # Settings the library relies on.  AQE re-plans joins from runtime sizes (a join
 # side is broadcast only when its measured size is under the threshold) and
 # splits skewed shuffle partitions; the charset flag lets the CSV reader decode
-# legacy encodings such as Windows-1252.
+# legacy encodings such as Windows-1252.  Streaming de-duplication state (every
+# fingerprint seen) lives in RocksDB on local disk rather than executor heap,
+# with changelog checkpoints so a micro-batch commit uploads only its changes.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -22,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

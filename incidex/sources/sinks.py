@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int = 100000,
-                      files_per_value: int = 8, mode: str = "overwrite") -> None:
+                      mode: str = "overwrite") -> None:
     """Partitioned parquet with idempotent re-runs (dynamic partition overwrite).
 
-    Rows are spread over ``files_per_value`` writers per partition value by a
-    deterministic hash of the row, so a value holding a large share of the data
-    is written by several tasks, and a retried task rewrites the same rows."""
+    Rows are rebalanced on the partition columns before the write (AQE's
+    ``REBALANCE``): each partition value goes to its own writer, a value
+    holding a large share of the data is split into tasks of the advisory
+    size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and small
+    values are packed together.  File count per value therefore follows the
+    data size instead of a fixed fan-out, and a retried task re-reads the same
+    hash-partitioned shuffle blocks."""
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
-    (df.repartition(*[F.col(c) for c in cols], spread)
+    (df.hint("rebalance", *cols)
        .write.partitionBy(*cols)
        .option("maxRecordsPerFile", max_records)
        .option("partitionOverwriteMode", "dynamic")
