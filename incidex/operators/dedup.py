@@ -21,10 +21,12 @@ def keep_top_priority(df: DataFrame, key, priority_col: str = "priority") -> Dat
 
     Expressed as min-per-key + semi join instead of a window: the aggregate is
     combined map-side, so a key holding a large share of all rows never sorts
-    in one task, and AQE splits the skewed side of the join.
+    in one task, and AQE splits the skewed side of the join.  The per-key
+    table grows with the data, so it is never broadcast (row-count estimates
+    undersize long keys such as hashes): a shuffled hash join builds on it.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    best = df.groupBy(*keys).agg(F.min(priority_col).alias("_best"))
+    best = df.groupBy(*keys).agg(F.min(priority_col).alias("_best")).hint("shuffle_hash")
     cond = [df[k].eqNullSafe(best[k]) for k in keys] + [df[priority_col] == best["_best"]]
     return df.join(best, cond, "left_semi")
 

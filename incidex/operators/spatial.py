@@ -12,9 +12,12 @@
 4. the exact boundary-inclusive even-odd test runs over the cell's edge array
    with higher-order functions (JVM side).
 
-A hot cell (many points) is a skewed equi-join partition, which AQE splits; the
-cell table is broadcast only when its measured size is under the broadcast
-threshold.
+A hot cell (many points) is a skewed equi-join partition, which AQE splits.
+The cell table is written to the shared folder once and its size measured from
+the data (rows, edges, key bytes); it is broadcast only when that measured size
+is under the broadcast threshold, and joined with a shuffled hash join (built
+on the cell side, the points streamed) otherwise.  Row-count estimates are not
+used for that decision because they know nothing of the edge-array lengths.
 
 ``dissolve`` unions the parts of each key by cancelling shared borders:
 directed edges of consistently oriented parts are grouped by their undirected
@@ -29,6 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import orient_rings, point_in_edges, ring_edges
+from ..session import broadcast_threshold, cut_lineage
+
+# --- fixed values -----------------------------------------------------------
+EDGE_BYTES = 40          # one edge struct in an array: null bits + four doubles
+ROW_BYTES = 16           # row header and array header
+# ---------------------------------------------------------------------------
 
 
 def zone_edges(zones: DataFrame, keys, rings: str = "rings") -> DataFrame:
@@ -68,18 +77,42 @@ def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = No
     return cells
 
 
+def measured_bytes(cells: DataFrame) -> int:
+    """Size of a cell table measured from its data (one aggregate): fixed
+    width columns, string bytes and edge-array lengths."""
+    fixed, strings = 0, []
+    for f in cells.schema.fields:
+        if f.name == "_edges":
+            continue
+        fixed += 8
+        if f.dataType.typeName() in ("string", "binary"):
+            strings.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+    total = F.lit(ROW_BYTES + fixed) + F.lit(EDGE_BYTES) * F.size("_edges")
+    for s_ in strings:
+        total = total + s_
+    row = cells.agg(F.sum(total.cast("long")).alias("b")).first()
+    return int(row["b"] or 0)
+
+
 def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y: str = "y",
-                 cell: float | None = None, attrs: DataFrame | None = None) -> DataFrame:
+                 cell: float | None = None, attrs: DataFrame | None = None,
+                 broadcast_limit: int | None = None) -> DataFrame:
     """Inner join of points with every zone that contains or touches them.
 
     ``edges``: one row per directed zone edge (``zone_edges`` or ``dissolve``
     output) with the zone ``keys``.  ``attrs``: optional zone attributes
     (one row per zone) attached to the build side before the join.
+    ``broadcast_limit``: bytes (default: the session's broadcast threshold).
     """
     keys = list(keys)
     if cell is None:
         cell = suggest_cell_size(edges, keys)
-    cells = zone_cells(edges, keys, cell, attrs)
+    cells = cut_lineage(zone_cells(edges, keys, cell, attrs))
+    limit = broadcast_threshold(cells.sparkSession) if broadcast_limit is None else broadcast_limit
+    if 0 <= measured_bytes(cells) <= limit:
+        cells = F.broadcast(cells)
+    else:
+        cells = cells.hint("shuffle_hash")
     c = F.lit(float(cell))
     pts = points.withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
     joined = pts.join(cells, ["_gx", "_gy"], "inner")

@@ -100,6 +100,9 @@ def test_priority_dedup_keeps_ties(spark):
     ties = sorted((r.id, r.t) for r in keep_top_priority(u2, "id").collect())
     assert ties == sorted((r.id, r.t) for r in rank_top_priority(u2, "id").collect())
     assert ("k4", "p") in ties and ("k4", "q") in ties
+    # the per-key table grows with the data: never broadcast, even when tiny
+    plan = keep_top_priority(u2, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
 
 
 def test_union_by_name_allows_missing(spark):

@@ -43,10 +43,10 @@ def brute(points, shapes):
     return out
 
 
-def run_join(spark, points, cell):
+def run_join(spark, points, cell, broadcast_limit=None):
     pts = spark.createDataFrame(points, "pid int, x double, y double")
     edges = zone_edges(zones_df(spark, SHAPES), ["zone_id"])
-    j = spatial_join(pts, edges, ["zone_id"], cell=cell)
+    j = spatial_join(pts, edges, ["zone_id"], cell=cell, broadcast_limit=broadcast_limit)
     return j, {(r.pid, r.zone_id) for r in j.collect()}
 
 
@@ -78,6 +78,16 @@ def test_plan_is_equi_join(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
+def test_cell_table_broadcast_only_under_measured_limit(spark):
+    pts = [(0, .5, .5), (1, 1.0, .5), (2, 1.5, .5), (3, .25, 1.5), (4, 1.0, 1.0)]
+    small, got_small = run_join(spark, pts, 0.5, broadcast_limit=1 << 30)
+    large, got_large = run_join(spark, pts, 0.5, broadcast_limit=0)
+    assert got_small == got_large == brute(pts, SHAPES)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin [_gx" not in plan
+
+
 def test_dissolve_strip(spark):
     cells = {i: (0, i, SQUARE) for i in range(5)}
     z = zones_df(spark, cells).withColumn("grp", F.lit(1))
