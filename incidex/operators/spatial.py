@@ -106,6 +106,8 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
     """
     keys = list(keys)
     if cell is None:
+        # the edges feed both the cell-size estimate and the cell table
+        edges = cut_lineage(edges.select(*keys, "x1", "y1", "x2", "y2"))
         cell = suggest_cell_size(edges, keys)
     cells = cut_lineage(zone_cells(edges, keys, cell, attrs))
     limit = broadcast_threshold(cells.sparkSession) if broadcast_limit is None else broadcast_limit

@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # geometry and text work after a shuffle is CPU-bound while its shuffle
+    # bytes are small: do not merge such partitions below 128 KiB
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
