@@ -303,7 +303,9 @@ def log_stage_metrics(spark, sf):
 
 
 def _write_logs(spark, sf):
-    """Events written as run-log text files (two runs) in the shared folder."""
+    """Events written as run-log text files (two runs) in the shared folder.
+    Each run is a folder of sorted part files (no single writer); readers
+    order lines by their timestamps."""
     ev = T(spark, sf, "events")
     msg = (F.when(F.col("event_type") == "signup",
                   F.concat(F.lit("########## SILVER: table_"), F.col("user_id").cast("string")))
@@ -315,7 +317,7 @@ def _write_logs(spark, sf):
     root = shared_path(spark, "logs")
     for run in (1, 2):
         (ev.where(F.col("event_id") % 2 == run - 1).orderBy("ts", "event_id").select(line.alias("value"))
-           .coalesce(1).write.mode("overwrite").text(f"{root}/run{run}_ETL"))
+           .write.mode("overwrite").text(f"{root}/run{run}_ETL"))
     return root
 
 
@@ -523,6 +525,13 @@ def map_extract_incidents(spark, sf):
                     F.col("y").alias("lat"), F.col("x").alias("long"))
 
 
+def etl_table_rows(spark, sf):
+    """The whole layered run (every table written, read back and checked);
+    rows per table from the metrics of the run's own log."""
+    from .etl import run_etl
+    return run_etl(spark, sf)["metrics"].select("level", "table_name", "row_count")
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_partition_pruned": scan_partition_pruned,
@@ -583,4 +592,5 @@ QUERIES = {
     "map_extract_municipality": map_extract_municipality,
     "map_extract_sectors": map_extract_sectors,
     "map_extract_incidents": map_extract_incidents,
+    "etl_table_rows": etl_table_rows,
 }

@@ -436,7 +436,37 @@ def build() -> dict[str, str]:
         f"strftime(try_strptime(concat_ws('/', DAY_INFO, MONTH_INFO, YEAR_INFO), '%d/%m/%Y'), '%Y-%m-%d %H:%M:%S') "
         f"AS DATE_CRIME, y AS lat, x AS long FROM ({gold_incidents_sql()}) "
         f"WHERE ID_MUN = {q(C.MAP_CITY)} AND YEAR_INFO > {C.MAP_AFTER_YEAR}")
+    s["etl_table_rows"] = etl_rows_sql(s)
     return s
 
 
+def etl_rows_sql(s: dict) -> str:
+    """Rows per table of the layered run, from the SQL of each table."""
+    parts_sql = "SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    counts = [
+        ("BRONZE", "bronze_crimes_cellphones", f"SELECT count(*) FROM (SELECT DISTINCT * FROM ({raw_sql('cellphones')}))"),
+        ("BRONZE", "bronze_crimes_vehicles", f"SELECT count(*) FROM (SELECT DISTINCT * FROM ({raw_sql('vehicles')}))"),
+        ("BRONZE", "bronze_crimes_others", f"SELECT count(*) FROM (SELECT DISTINCT * FROM ({raw_sql('others')}))"),
+        ("BRONZE", "bronze_scs_demographics", f"SELECT count(*) FROM (SELECT DISTINCT * FROM ({DEMO}))"),
+        ("BRONZE", "bronze_scs_geom", f"SELECT 2 * ({parts_sql})"),
+        ("SILVER", "silver_scs_demographics", f"SELECT count(*) FROM ({s['silver_sector_population']})"),
+        ("SILVER", "silver_mun_demographics", f"SELECT count(*) FROM ({s['agg_population_rollup']})"),
+        ("SILVER", "silver_scs_edges", f"SELECT 6 * count(*) FROM ({SECTORS})"),
+        ("SILVER", "silver_scs_geom", f"SELECT count(*) FROM ({s['silver_sector_geometry']})"),
+        ("SILVER", "silver_mun_edges", f"SELECT sum(n_edges) FROM ({s['silver_municipality_geometry']})"),
+        ("SILVER", "silver_mun_geom", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
+        ("SILVER", "silver_scs", f"SELECT count(*) FROM ({s['join_zone_demographics']})"),
+        ("SILVER", "silver_mun", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
+        ("SILVER", "silver_crimes_cellphones", f"SELECT count(*) FROM ({silver_source_sql('cellphones')})"),
+        ("SILVER", "silver_crimes_vehicles", f"SELECT count(*) FROM ({silver_source_sql('vehicles')})"),
+        ("SILVER", "silver_crimes_others", f"SELECT count(*) FROM ({silver_source_sql('others')})"),
+        ("SILVER", "silver_crimes", f"SELECT count(*) FROM ({silver_incidents_sql()})"),
+        ("GOLD", "gold_crimes", f"SELECT count(*) FROM ({gold_incidents_sql()})"),
+        ("GOLD", "gold_crimes_scs", f"SELECT count(*) FROM ({gold_sector_sql()})"),
+        ("GOLD", "gold_crimes_mun", f"SELECT count(*) FROM ({gold_mun_sql()})"),
+    ]
+    return " UNION ALL ".join(f"SELECT '{lv}' AS level, '{t}' AS table_name, CAST(({c}) AS BIGINT) AS row_count"
+                              for lv, t, c in counts)
+
+
 ORACLE_SQL = build()

@@ -103,29 +103,43 @@ def mercator_area_km2(edges: DataFrame, keys) -> DataFrame:
                                     F.count(F.lit(1)).alias("n_edges"))
 
 
+SECTOR_KEYS = ["CD_SETOR", "CD_MUN", "NM_MUN"]
+MUNICIPALITY_KEYS = ["CD_MUN", "NM_MUN"]
+
+
+def zone_boundaries(parts: DataFrame, keys) -> DataFrame:
+    """In-state zone parts -> dissolved boundary edges per key."""
+    return dissolve(zone_edges(parts.where(in_state()), keys), keys)
+
+
+def sector_table(edges: DataFrame) -> DataFrame:
+    """Sector boundary edges -> one row per sector with its Mercator area."""
+    area = mercator_area_km2(edges, SECTOR_KEYS)
+    return area.select(F.col("CD_SETOR").alias("ID_SC"), F.col("CD_MUN").alias("ID_MUN"),
+                       F.col("NM_MUN").alias("MUN"), F.lit(STATE).alias("STATE"),
+                       "AREA_KM2", "n_edges", F.lit(CENSUS_YEAR).alias("YEAR_INFO"))
+
+
+def municipality_table(edges: DataFrame) -> DataFrame:
+    area = mercator_area_km2(edges, MUNICIPALITY_KEYS)
+    return area.select(F.col("CD_MUN").alias("ID_MUN"), F.col("NM_MUN").alias("MUN"),
+                       F.lit(STATE).alias("STATE"), "AREA_KM2", "n_edges",
+                       F.lit(CENSUS_YEAR).alias("YEAR_INFO"))
+
+
 def sector_geometry(parts: DataFrame, persist=None):
     """-> (sector table, sector boundary edges).  Parts of a sector are
     dissolved; area from the dissolved boundary.  ``persist`` (e.g.
     ``materialize``) is applied to the edges so both outputs read them once."""
-    keys = ["CD_SETOR", "CD_MUN", "NM_MUN"]
-    edges = dissolve(zone_edges(parts.where(in_state()), keys), keys)
+    edges = zone_boundaries(parts, SECTOR_KEYS)
     if persist is not None:
         edges = persist(edges)
-    area = mercator_area_km2(edges, keys)
-    table = area.select(F.col("CD_SETOR").alias("ID_SC"), F.col("CD_MUN").alias("ID_MUN"),
-                        F.col("NM_MUN").alias("MUN"), F.lit(STATE).alias("STATE"),
-                        "AREA_KM2", "n_edges", F.lit(CENSUS_YEAR).alias("YEAR_INFO"))
-    return table, edges.withColumnRenamed("CD_SETOR", "ID_SC").drop("CD_MUN", "NM_MUN")
+    return sector_table(edges), edges.withColumnRenamed("CD_SETOR", "ID_SC").drop("CD_MUN", "NM_MUN")
 
 
 def municipality_geometry(parts: DataFrame):
-    keys = ["CD_MUN", "NM_MUN"]
-    edges = dissolve(zone_edges(parts.where(in_state()), keys), keys)
-    area = mercator_area_km2(edges, keys)
-    table = area.select(F.col("CD_MUN").alias("ID_MUN"), F.col("NM_MUN").alias("MUN"),
-                        F.lit(STATE).alias("STATE"), "AREA_KM2", "n_edges",
-                        F.lit(CENSUS_YEAR).alias("YEAR_INFO"))
-    return table, edges.withColumnRenamed("CD_MUN", "ID_MUN").drop("NM_MUN")
+    edges = zone_boundaries(parts, MUNICIPALITY_KEYS)
+    return municipality_table(edges), edges.withColumnRenamed("CD_MUN", "ID_MUN").drop("NM_MUN")
 
 
 def zone_with_population(geom: DataFrame, demo: DataFrame, key: str) -> DataFrame:
