@@ -30,6 +30,7 @@ HEADLINE = [
     "silver_incidents",           # union, dedup, keys, classification, spatial join
     "gold_sector_rates",
     "gold_municipality_rates",
+    "etl_table_rows",             # the whole layered run: 20 tables written, read back, checked
 ]
 
 
