@@ -100,8 +100,7 @@ def scan_delimited(spark, sf):
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
         "try_element_at(array('São Paulo', 'Campinas – SP', 'Ribeirão Preto'), "
         "CAST(c_custkey % 3 + 1 AS INT)) AS city")
-    (c.write.mode("overwrite").option("sep", ";").option("header", True)
-      .option("encoding", "Windows-1252").csv(path))
+    sinks.write_delimited(c, path)
     return readers.read_delimited(spark, path)
 
 

@@ -25,6 +25,15 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int
        .mode(mode).parquet(path))
 
 
+def write_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "Windows-1252",
+                    header: bool = True, mode: str = "overwrite") -> None:
+    """Delimited text in the landing format (one file per task)."""
+    from .readers import allow_charset
+    allow_charset(df.sparkSession, encoding)
+    (df.write.mode(mode).option("sep", sep).option("header", header)
+       .option("encoding", encoding).csv(path))
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
