@@ -20,6 +20,7 @@ from ..operators.columns import drop_suffix_columns, drop_void_columns
 from ..operators.dedup import keep_top_priority, union_sources
 from ..operators.logs import forward_fill, parse_log_lines, stage_metrics
 from ..operators.rates import rate_index
+from ..operators.rings import assemble_polygons, assemble_rings
 from ..operators.spatial import dissolve, edges_area, spatial_join, zone_edges
 from ..session import ensure_parallelism, shared_path
 from ..sources import readers, sinks
@@ -383,6 +384,32 @@ def dissolve_area(spark, sf):
     return edges_area(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"])
 
 
+def dissolve_rings(spark, sf):
+    """Dissolved boundaries stitched into ordered rings; per group the vertex
+    count and the shoelace area over the ring order."""
+    rings = assemble_rings(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"])
+    return rings.groupBy("grp").agg(F.sum(F.size("vertices") - 1).alias("n_vertices"),
+                                    F.sum("area").alias("area"))
+
+
+def dissolve_polygons(spark, sf):
+    """Rings grouped into polygons (holes under their smallest enclosing
+    exterior); per group the vertex count and area over all polygons."""
+    polys = assemble_polygons(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"])
+    n = F.aggregate(F.col("polygons"), F.lit(0).cast("long"), lambda acc, poly: acc + F.aggregate(
+        poly, F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1))
+    return polys.select("grp", n.alias("n_vertices"), "area")
+
+
+def geojson_municipalities(spark, sf):
+    """Dissolved municipalities as GeoJSON MultiPolygon features."""
+    path = shared_path(spark, "geojson_mun")
+    edges = pl.zone_boundaries(fx.sector_parts(spark, sf), pl.MUNICIPALITY_KEYS)
+    polys = assemble_polygons(edges, pl.MUNICIPALITY_KEYS)
+    sinks.geojson_multipolygons(polys.drop("area")).write.mode("overwrite").text(path)
+    return spark.read.text(path)
+
+
 def geojson_features_q(spark, sf):
     path = shared_path(spark, "geojson")
     z = fx.sector_parts(spark, sf).select("CD_SETOR", "CD_MUN", "part", "rings")
@@ -575,7 +602,10 @@ QUERIES = {
     "spatial_join_points_zones": spatial_join_points_zones,
     "dissolve_boundary_edges": dissolve_boundary_edges,
     "dissolve_area": dissolve_area,
+    "dissolve_rings": dissolve_rings,
+    "dissolve_polygons": dissolve_polygons,
     "geojson_features": geojson_features_q,
+    "geojson_municipalities": geojson_municipalities,
     "bronze_table": bronze_table,
     "bronze_incremental": bronze_incremental,
     "silver_sector_population": silver_sector_population,

@@ -406,6 +406,9 @@ def build() -> dict[str, str]:
     s["dissolve_area"] = (f"SELECT c.grp, CAST(count(*) AS DOUBLE) AS area, "
                           f"(SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) AS n_edges "
                           f"FROM ({CELLS}) c GROUP BY c.grp")
+    s["dissolve_rings"] = (f"SELECT c.grp, (SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) "
+                           f"AS n_vertices, CAST(count(*) AS DOUBLE) AS area FROM ({CELLS}) c GROUP BY c.grp")
+    s["dissolve_polygons"] = s["dissolve_rings"]
     raw_c = raw_sql("cellphones")
     s["bronze_table"] = (
         "SELECT DISTINCT *, sha256(concat_ws('|', coalesce(LOGRADOURO, 'x'), coalesce(NUMERO_LOGRADOURO, 'x'), "

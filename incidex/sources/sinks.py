@@ -49,6 +49,19 @@ def geojson_features(df: DataFrame, rings: str = "rings", properties=None) -> Da
     return df.select(F.to_json(feature).alias("value"))
 
 
+def geojson_multipolygons(df: DataFrame, polygons: str = "polygons", properties=None) -> DataFrame:
+    """One GeoJSON Feature (MultiPolygon) per row from ``assemble_polygons``
+    output: polygons = [exterior, hole, ...] rings of x/y structs."""
+    props = properties or [c for c in df.columns if c != polygons]
+    coords = F.transform(F.col(polygons), lambda poly: F.transform(
+        poly, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates")).alias("geometry"),
+        F.struct(*[F.col(c) for c in props]).alias("properties"))
+    return df.select(F.to_json(feature).alias("value"))
+
+
 def write_geojson_lines(df: DataFrame, path: str, rings: str = "rings", properties=None) -> None:
     geojson_features(df, rings, properties).write.mode("overwrite").text(path)
 

@@ -110,3 +110,37 @@ def test_orientation_and_mercator_area(spark):
     a = [r.a for r in z.withColumn("rings", orient_rings("rings"))
          .select(area_km2_mercator("rings").alias("a")).collect()]
     assert abs(a[0] - a[1]) < 1e-9 and 12300 < a[0] < 12400   # 1 deg x 1 deg at the equator
+
+
+def sq(x, y):
+    x, y = float(x), float(y)
+    return [[(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)]]
+
+
+def test_rings_and_polygons(spark):
+    """Block with a hole; squares touching at a corner; a frame with an island
+    in its hole (nested: the hole belongs to the frame, not the island)."""
+    from incidex.operators.rings import assemble_polygons, assemble_rings
+    from incidex.sources.sinks import geojson_multipolygons
+    import json
+    parts = [(1, sq(x, y)) for x in range(3) for y in range(3) if (x, y) != (1, 1)]
+    parts += [(2, sq(10, 0)), (2, sq(11, 1))]
+    parts += [(3, sq(x, y)) for x in range(20, 25) for y in range(5) if x in (20, 24) or y in (0, 4)]
+    parts += [(3, sq(22, 2))]
+    rows = [(g, [[{"x": a, "y": b} for a, b in r] for r in rings]) for g, rings in parts]
+    z = spark.createDataFrame(rows, "grp int, rings array<array<struct<x:double,y:double>>>")
+    d = dissolve(zone_edges(z, ["grp"]), ["grp"])
+    rings = sorted((r.grp, len(r.vertices) - 1, r.area) for r in assemble_rings(d, ["grp"]).collect())
+    assert rings == [(1, 4, -1.0), (1, 12, 9.0), (2, 4, 1.0), (2, 4, 1.0),
+                     (3, 4, 1.0), (3, 12, -9.0), (3, 20, 25.0)]
+    for r in assemble_rings(d, ["grp"]).collect():          # closed, consecutive vertices joined
+        v = [(p.x, p.y) for p in r.vertices]
+        assert v[0] == v[-1] and len(set(v[:-1])) == len(v) - 1
+    polys = {r.grp: r for r in assemble_polygons(d, ["grp"]).collect()}
+    assert [len(p) for p in polys[1].polygons] == [2] and polys[1].area == 8.0
+    assert [len(p) for p in polys[2].polygons] == [1, 1] and polys[2].area == 2.0
+    frame = [p for p in polys[3].polygons if len(p) == 2]
+    assert len(frame) == 1 and len(frame[0][0]) == 21 and polys[3].area == 17.0
+    f = json.loads(geojson_multipolygons(assemble_polygons(d, ["grp"]).where("grp = 1").drop("area"))
+                   .first().value)
+    assert f["geometry"]["type"] == "MultiPolygon" and len(f["geometry"]["coordinates"][0]) == 2
