@@ -25,6 +25,8 @@ HEADLINE = [
     "normalize_text",             # accent folding + cleaning over whole documents
     "spatial_join_points_zones",  # grid spatial join, 3 shapes x 2 point sets
     "dissolve_area",              # edge-cancellation dissolve + shoelace area
+    "geojson_municipalities",     # read parts + dissolve by municipality + polygons + write
+                                  # (the reference's dissolve micro-benchmark)
     "log_stage_metrics",          # distributed forward fill + conditional aggregates
     "bronze_table",
     "silver_incidents",           # union, dedup, keys, classification, spatial join
