@@ -442,17 +442,14 @@ def bronze_table(spark, sf):
 
 
 def bronze_incremental(spark, sf):
-    """Landing files (one per year) ingested by the streaming bronze job."""
+    """Landing files, one partition folder per year (``ANO=<year>``), ingested
+    by the streaming bronze job; the file source discovers the year from the
+    folder names."""
     from ..streaming.ingest import ingest_landing
     root = shared_path(spark, "landing_cellphones")
     raw = fx.raw_incidents(spark, sf, "cellphones")
-    raw.write.partitionBy("ANO").mode("overwrite").parquet(f"{root}/files")
-    landing = spark.read.schema(raw.schema).parquet(f"{root}/files")
-    # one landing folder per year, as the yearly files arrive
-    years = [r.ANO for r in landing.select("ANO").distinct().collect()]   # bounded: one per year
-    for y in sorted(years):
-        landing.where(F.col("ANO") == y).write.mode("overwrite").parquet(f"{root}/landing/{y}")
-    ingest_landing(spark, f"{root}/landing/*", raw.schema, f"{root}/bronze", f"{root}/_checkpoint",
+    raw.write.partitionBy("ANO").mode("overwrite").parquet(f"{root}/landing")
+    ingest_landing(spark, f"{root}/landing", raw.schema, f"{root}/bronze", f"{root}/_checkpoint",
                    year_col="ANO", files_per_batch=64)
     out = spark.read.parquet(f"{root}/bronze")
     return out.select(*[c for c in raw.columns], "ID", F.col("YEAR_INFO").cast("int").alias("YEAR_INFO"))
