@@ -10,7 +10,9 @@
 3. each point falls in exactly one cell, so the point side is an equi-join on
    (gx, gy): no nested-loop join and no duplicates to remove;
 4. the exact boundary-inclusive even-odd test runs over the cell's edge array
-   with higher-order functions (JVM side).
+   with higher-order functions (JVM side).  Cells no edge of a zone passes
+   through are decided once (inside: kept without edges, points match without
+   a test; outside: dropped), so large zones cost only their boundary cells.
 
 A hot cell (many points) is a skewed equi-join partition, which AQE splits.
 The cell table is written to the shared folder once and its size measured from
@@ -31,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import orient_rings, point_in_edges, ring_edges
+from ..functions.geometry import EDGE_TYPE, orient_rings, point_in_edges, ring_edges
 from ..session import broadcast_threshold, cut_lineage
 
 # --- fixed values -----------------------------------------------------------
@@ -60,7 +62,10 @@ def suggest_cell_size(edges: DataFrame, keys) -> float:
 
 
 def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = None) -> DataFrame:
-    """(zone keys, _gx, _gy, _edges) - the build side of the spatial join."""
+    """(zone keys, _gx, _gy, _edges, _inside) - the build side of the spatial
+    join.  A cell no edge of the zone passes through lies wholly inside or
+    wholly outside it: its status is decided once at the cell centre, outside
+    cells are dropped and inside cells carry no edges (``_inside``)."""
     keys = list(keys)
     left = edges.groupBy(*keys).agg(F.min(F.least("x1", "x2")).alias("_zx0"))
     c = F.lit(float(cell))
@@ -70,8 +75,18 @@ def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = No
                                                 F.floor(F.greatest("y1", "y2") / c))))
         .withColumn("_gx", F.explode(F.sequence(F.floor(F.col("_zx0") / c),
                                                 F.floor(F.greatest("x1", "x2") / c)))))
+    # the edge lies in this cell's row band by construction; it passes through
+    # the (half-open) cell when the cell is within its column range as well
+    touch = F.col("_gx") >= F.floor(F.least("x1", "x2") / c)
     cells = exploded.groupBy(*keys, "_gx", "_gy").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"))
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"),
+        F.max(touch).alias("_touch"))
+    centre = point_in_edges(f"((_gx + 0.5D) * {float(cell)}D)", f"((_gy + 0.5D) * {float(cell)}D)", "_edges")
+    cells = (cells.withColumn("_inside", ~F.col("_touch") & centre)
+                  .where(F.col("_touch") | F.col("_inside"))
+                  .withColumn("_edges", F.when(F.col("_touch"), F.col("_edges"))
+                              .otherwise(F.array().cast(f"array<{EDGE_TYPE}>")))
+                  .drop("_touch"))
     if attrs is not None:
         cells = cells.join(attrs, keys, "left")
     return cells
@@ -118,7 +133,8 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
     c = F.lit(float(cell))
     pts = points.withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
     joined = pts.join(cells, ["_gx", "_gy"], "inner")
-    return joined.where(point_in_edges(f"`{x}`", f"`{y}`", "_edges")).drop("_gx", "_gy", "_edges")
+    return joined.where(F.col("_inside") | point_in_edges(f"`{x}`", f"`{y}`", "_edges")) \
+        .drop("_gx", "_gy", "_edges", "_inside")
 
 
 def dissolve(edges: DataFrame, keys, snap_digits: int | None = None) -> DataFrame:

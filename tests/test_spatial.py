@@ -144,3 +144,17 @@ def test_rings_and_polygons(spark):
     f = json.loads(geojson_multipolygons(assemble_polygons(d, ["grp"]).where("grp = 1").drop("area"))
                    .first().value)
     assert f["geometry"]["type"] == "MultiPolygon" and len(f["geometry"]["coordinates"][0]) == 2
+
+
+def test_interior_cells_carry_no_edges(spark):
+    from incidex.operators.spatial import zone_cells
+    z = zones_df(spark, {1: (0, 0, SQUARE), 3: (0, 0, HOLE)})
+    cells = zone_cells(zone_edges(z, ["zone_id"]), ["zone_id"], 0.25).collect()
+    inside = {(r.zone_id, r._gx, r._gy) for r in cells if r._inside}
+    assert all(len(r._edges) == 0 for r in cells if r._inside)
+    # half-open cells: the edges at x = 1 and y = 1 fall in column / row 4
+    assert {(g, y) for z_, g, y in inside if z_ == 1} == {(g, y) for g in (1, 2, 3) for y in (1, 2, 3)}
+    # every cell of the holed zone meets an edge except the one inside the hole,
+    # which is dropped
+    assert not any(z_ == 3 for z_, _, _ in inside)
+    assert not any(r.zone_id == 3 and (r._gx, r._gy) == (2, 2) for r in cells)
