@@ -401,20 +401,44 @@ def dissolve_polygons(spark, sf):
     return polys.select("grp", n.alias("n_vertices"), "area")
 
 
+def _shoelace(ring):
+    """Signed area of a closed ring of [x, y] pairs (a Column of arrays)."""
+    return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0.0),
+                       lambda acc, k: acc + ring[k - 1][0] * ring[k][1] - ring[k][0] * ring[k - 1][1]) / 2
+
+
 def geojson_municipalities(spark, sf):
-    """Dissolved municipalities as GeoJSON MultiPolygon features."""
+    """Dissolved municipalities written as GeoJSON MultiPolygon features and
+    read back: per feature its vertex count and area from the coordinates."""
     path = shared_path(spark, "geojson_mun")
     edges = pl.zone_boundaries(fx.sector_parts(spark, sf), pl.MUNICIPALITY_KEYS)
     polys = assemble_polygons(edges, pl.MUNICIPALITY_KEYS)
     sinks.geojson_multipolygons(polys.drop("area")).write.mode("overwrite").text(path)
-    return spark.read.text(path)
+    schema = ("geometry struct<type string, coordinates array<array<array<array<double>>>>>, "
+              "properties struct<CD_MUN string, NM_MUN string>")
+    f = spark.read.text(path).select(F.from_json("value", schema).alias("f")).select("f.*")
+    coords = F.col("geometry.coordinates")
+    n = F.aggregate(coords, F.lit(0).cast("long"), lambda acc, poly: acc + F.aggregate(
+        poly, F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1))
+    area = F.aggregate(coords, F.lit(0.0), lambda acc, poly: acc + F.aggregate(
+        poly, F.lit(0.0), lambda a, r: a + _shoelace(r)))
+    return f.select(F.col("properties.CD_MUN").alias("CD_MUN"), F.col("properties.NM_MUN").alias("NM_MUN"),
+                    F.col("geometry.type").alias("geometry_type"), n.alias("n_points"), area.alias("area"))
 
 
 def geojson_features_q(spark, sf):
+    """Zone parts written as GeoJSON Polygon features and read back."""
     path = shared_path(spark, "geojson")
     z = fx.sector_parts(spark, sf).select("CD_SETOR", "CD_MUN", "part", "rings")
     sinks.write_geojson_lines(z, path)
-    return spark.read.text(path)
+    schema = ("geometry struct<type string, coordinates array<array<array<double>>>>, "
+              "properties struct<CD_SETOR string, CD_MUN string, part int>")
+    f = spark.read.text(path).select(F.from_json("value", schema).alias("f")).select("f.*")
+    coords = F.col("geometry.coordinates")
+    return f.select("properties.CD_SETOR", "properties.CD_MUN", "properties.part",
+                    F.col("geometry.type").alias("geometry_type"), F.size(coords).alias("n_rings"),
+                    F.aggregate(coords, F.lit(0), lambda acc, r: acc + F.size(r)).alias("n_points"),
+                    _shoelace(coords[0]).alias("area"))
 
 
 # -------------------------------------------------------------- pipeline --

@@ -409,6 +409,17 @@ def build() -> dict[str, str]:
     s["dissolve_rings"] = (f"SELECT c.grp, (SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) "
                            f"AS n_vertices, CAST(count(*) AS DOUBLE) AS area FROM ({CELLS}) c GROUP BY c.grp")
     s["dissolve_polygons"] = s["dissolve_rings"]
+    part_cols = ("'35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, "
+                 "'35' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS CD_MUN")
+    s["geojson_features"] = " UNION ALL ".join(
+        f"SELECT {part_cols}, {k} AS part, 'Polygon' AS geometry_type, 1 AS n_rings, 5 AS n_points, "
+        f"0.5 AS area FROM customer JOIN nation ON c_nationkey = n_nationkey" for k in (1, 2))
+    s["geojson_municipalities"] = (
+        f"SELECT '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') AS CD_MUN, n.n_name AS NM_MUN, "
+        f"'MultiPolygon' AS geometry_type, e.n_edges AS n_points, CAST(c.cnt AS DOUBLE) AS area "
+        f"FROM ({mun_edges_sql()}) e JOIN nation n ON n.n_nationkey = e.grp "
+        f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
+        f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp")
     raw_c = raw_sql("cellphones")
     s["bronze_table"] = (
         "SELECT DISTINCT *, sha256(concat_ws('|', coalesce(LOGRADOURO, 'x'), coalesce(NUMERO_LOGRADOURO, 'x'), "
