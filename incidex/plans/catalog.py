@@ -303,15 +303,19 @@ def log_stage_metrics(spark, sf):
 
 
 def _write_logs(spark, sf):
-    """Events written as run-log text files (two runs) in the shared folder.
-    Each run is a folder of sorted part files (no single writer); readers
-    order lines by their timestamps."""
+    """Events written as run-log text files (two runs, one folder each) in the
+    shared folder.  Each run is a folder of sorted part files (no single
+    writer); readers order lines by their timestamps.  Times are written from
+    integer cents."""
     ev = T(spark, sf, "events")
+    cents = F.round(F.col("value") * 100).cast("long")
+    secs = F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
+                    F.lpad((cents % 100).cast("string"), 2, "0"), F.lit("s"))
     msg = (F.when(F.col("event_type") == "signup",
                   F.concat(F.lit("########## SILVER: table_"), F.col("user_id").cast("string")))
-            .when(F.col("event_type") == "view", F.format_string("read_data: %.2fs", "value"))
-            .when(F.col("event_type") == "click", F.format_string("treat_data: %.2fs", "value"))
-            .when(F.col("event_type") == "purchase", F.format_string("write_data: %.2fs", "value"))
+            .when(F.col("event_type") == "view", F.concat(F.lit("read_data: "), secs))
+            .when(F.col("event_type") == "click", F.concat(F.lit("treat_data: "), secs))
+            .when(F.col("event_type") == "purchase", F.concat(F.lit("write_data: "), secs))
             .otherwise(F.concat(F.lit("rows: "), F.col("user_id").cast("string"))))
     line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" - ETL - INFO - "), msg)
     root = shared_path(spark, "logs")
@@ -322,11 +326,18 @@ def _write_logs(spark, sf):
 
 
 def log_scan(spark, sf):
+    """Stage metrics of the newest run log (as the reference reads its newest
+    log file): the run folder holding the newest file, its lines parsed and
+    filled into sections in time order."""
     root = _write_logs(spark, sf)
-    lines = readers.read_text_lines(spark, f"{root}/*_ETL")
-    parsed = parse_log_lines(lines)
-    parsed = parsed.withColumn("_ord", F.unix_micros(F.to_timestamp("log_time")))
-    return stage_metrics(parsed, "_ord")
+    lines = readers.read_text_lines(spark, f"{root}/*_ETL") \
+        .withColumn("run", F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1))
+    newest = readers.latest_file(lines, "run").select("run")            # one row
+    lines = lines.join(newest, "run", "left_semi")
+    parsed = parse_log_lines(lines).withColumn("_ord", F.unix_micros(F.to_timestamp("log_time")))
+    m = stage_metrics(parsed, "_ord")
+    times = ("read_time", "treat_time", "write_time", "test_time", "total_time")
+    return m.select(*[F.round(c, 2).alias(c) if c in times else c for c in m.columns])
 
 
 def log_latest_file(spark, sf):

@@ -390,6 +390,22 @@ def build() -> dict[str, str]:
         "coalesce(max_by(cents, event_id) FILTER (WHERE event_type = 'error'), 0) AS test_cents "
         "FROM f WHERE section IS NOT NULL GROUP BY section) "
         "SELECT *, read_cents + treat_cents + write_cents AS total_cents FROM m")
+    s["log_scan"] = (
+        "WITH l AS (SELECT epoch_us(ts) AS o, event_type, user_id, CAST(round(value * 100) AS BIGINT) AS cents "
+        "FROM events WHERE event_id % 2 = 1), "
+        "f AS (SELECT *, max(CASE WHEN event_type = 'signup' THEN o END) OVER "
+        "(ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sec FROM l), "
+        "t AS (SELECT o AS sec, 'table_' || CAST(user_id AS VARCHAR) AS table_name FROM l "
+        "WHERE event_type = 'signup'), "
+        "m AS (SELECT f.sec, t.table_name, "
+        "coalesce(sum(cents) FILTER (WHERE event_type = 'view'), 0) AS rc, "
+        "coalesce(max_by(cents, o) FILTER (WHERE event_type = 'click'), 0) AS tc, "
+        "coalesce(max_by(cents, o) FILTER (WHERE event_type = 'purchase'), 0) AS wc, "
+        "coalesce(max_by(user_id, o) FILTER (WHERE event_type NOT IN ('signup', 'view', 'click', 'purchase')), 0) "
+        "AS row_count FROM f JOIN t ON f.sec = t.sec GROUP BY f.sec, t.table_name) "
+        "SELECT table_name, 'SILVER' AS level, round(rc / 100.0, 2) AS read_time, round(tc / 100.0, 2) AS treat_time, "
+        "round(wc / 100.0, 2) AS write_time, 0.0 AS test_time, CAST(row_count AS BIGINT) AS row_count, "
+        "round((rc + tc + wc) / 100.0, 2) AS total_time, sec AS section_start FROM m")
     parts = (f"SELECT '35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, p.part, "
              f"CAST(c_custkey % {GW} AS DOUBLE) AS x, CAST(c_custkey // {GW} AS DOUBLE) AS y, p.dx "
              f"FROM customer, (SELECT 1 AS part, 0.0 AS dx UNION ALL SELECT 2, 0.5) p")

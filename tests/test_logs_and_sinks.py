@@ -95,4 +95,4 @@ def test_driver_contract(spark):
     assert [f.name for f in df.schema.fields][:3] == ["zone_id", "yr", "total"]
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == {"log_scan", "log_latest_file"}
+    assert set(q) - set(s) == {"log_latest_file"}
