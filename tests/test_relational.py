@@ -14,6 +14,8 @@ from incidex.operators.dedup import keep_top_priority, rank_top_priority, union_
 from incidex.operators.rates import rate_index
 from incidex.plans.pipeline import REDACTION_PATTERN, in_state
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_state_filter_coercion(spark):
     df = spark.createDataFrame([(v,) for v in ["35", "035", " 35", "35.0", "33", "x", None]], "CD_UF string")
@@ -131,3 +133,12 @@ def test_quality_rules(spark):
         quality.assert_quality(quality.quality_report(df, "t", unique="id", not_null="k"))
     clean = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
     quality.assert_quality(quality.quality_report(clean, "clean", unique="id", not_null=["id", "k"]))
+
+
+def test_quality_report_reads_the_table_once_per_aggregate(spark):
+    """Row count + all NULL counts: one scan; each unique key: one scan."""
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    rep = quality.quality_report(df, "lineitem", unique=[["l_orderkey", "l_linenumber"], ["l_partkey"]],
+                                 not_null=["l_orderkey", "l_partkey", "l_suppkey", "l_tax"])
+    plan = rep._jdf.queryExecution().executedPlan().toString()        # not executed: initial plan only
+    assert plan.count("FileScan parquet") == 3
