@@ -373,11 +373,11 @@ def reproject_mercator(spark, sf):
 def spatial_join_points_zones(spark, sf):
     """Both point sets against the three zone shapes in one join: the shape is
     part of the zone key, so cells, cell size and the join are built once."""
-    pts = (fx.points(spark, sf).withColumn("pointset", F.lit("interior"))
-           .unionByName(fx.border_points(spark, sf).withColumn("pointset", F.lit("border"))))
-    zones = reduce(DataFrame.unionByName,
-                   [fx.shaped_zones(spark, sf, shape).withColumn("shape", F.lit(shape))
-                    for shape in ("cell", "ell", "hole")])
+    pts = fx.point_sets(spark, sf)
+    zones = fx.cells(spark, sf).select(
+        "zone_id", F.explode(F.array(*[F.struct(F.lit(shape).alias("shape"), F.expr(fx.shape_rings(shape))
+                                                .alias("rings")) for shape in ("cell", "ell", "hole")]))
+        .alias("z")).select("z.shape", "zone_id", "z.rings")
     edges = zone_edges(zones, ["shape", "zone_id"])
     j = spatial_join(pts, edges, ["shape", "zone_id"], x="px", y="py")
     return j.select("shape", "pointset", "event_id", "zone_id")

@@ -2,8 +2,8 @@
 grows with the data.  Each one stands for an input of the incident pipeline:
 
 * ``cells``          customers as unit squares on a 50-wide grid (zones)
-* ``points``         events as points inside the grid (never on a border)
-* ``border_points``  events as points on vertical grid lines
+* ``point_sets``     events as points inside the grid (never on a border) and
+                     as points on vertical grid lines, from one scan
 * ``incidents``      orders located at their customer's nation, typed by status
 * ``population``     customers per nation
 * ``sources``        lineitem rows as three prioritised sources (by return flag)
@@ -74,18 +74,22 @@ def shaped_zones(spark, sf_dir, shape: str) -> DataFrame:
     return cells(spark, sf_dir).select("zone_id", "grp", F.expr(shape_rings(shape)).alias("rings"))
 
 
-def points(spark, sf_dir) -> DataFrame:
-    return ensure_parallelism(table(spark, sf_dir, "events")).selectExpr(
-        "event_id",
-        f"CAST(event_id * 7919 % {POINT_X_MOD} AS DOUBLE) / 1000 + 0.0005 AS px",
-        f"CAST(event_id * 104729 % {POINT_Y_MOD} AS DOUBLE) / 1000 + 0.0005 AS py")
+def point_sets(spark, sf_dir) -> DataFrame:
+    """Both point sets (``interior``, ``border``) from one scan of events."""
+    sets = [("interior", points_sql()), ("border", border_points_sql())]
+    return ensure_parallelism(table(spark, sf_dir, "events")).select(
+        "event_id", F.explode(F.array(*[F.struct(F.lit(n).alias("pointset"), F.expr(px).alias("px"),
+                                                 F.expr(py).alias("py")) for n, (px, py) in sets])).alias("p")
+    ).select("p.pointset", "event_id", "p.px", "p.py")
 
 
-def border_points(spark, sf_dir) -> DataFrame:
-    return ensure_parallelism(table(spark, sf_dir, "events")).selectExpr(
-        "event_id",
-        f"CAST(event_id % {GRID_WIDTH + 1} AS DOUBLE) AS px",
-        "CAST(event_id % 30 AS DOUBLE) + 0.5 AS py")
+def points_sql():
+    return (f"CAST(event_id * 7919 % {POINT_X_MOD} AS DOUBLE) / 1000 + 0.0005",
+            f"CAST(event_id * 104729 % {POINT_Y_MOD} AS DOUBLE) / 1000 + 0.0005")
+
+
+def border_points_sql():
+    return f"CAST(event_id % {GRID_WIDTH + 1} AS DOUBLE)", "CAST(event_id % 30 AS DOUBLE) + 0.5"
 
 
 def incidents(spark, sf_dir) -> DataFrame:

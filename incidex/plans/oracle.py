@@ -404,7 +404,7 @@ def build() -> dict[str, str]:
         "coalesce(max_by(user_id, o) FILTER (WHERE event_type NOT IN ('signup', 'view', 'click', 'purchase')), 0) "
         "AS row_count FROM f JOIN t ON f.sec = t.sec GROUP BY f.sec, t.table_name) "
         "SELECT table_name, 'SILVER' AS level, round(rc / 100.0, 2) AS read_time, round(tc / 100.0, 2) AS treat_time, "
-        "round(wc / 100.0, 2) AS write_time, 0.0 AS test_time, CAST(row_count AS BIGINT) AS row_count, "
+        "round(wc / 100.0, 2) AS write_time, CAST(0 AS DOUBLE) AS test_time, CAST(row_count AS BIGINT) AS row_count, "
         "round((rc + tc + wc) / 100.0, 2) AS total_time, sec AS section_start FROM m")
     parts = (f"SELECT '35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, p.part, "
              f"CAST(c_custkey % {GW} AS DOUBLE) AS x, CAST(c_custkey // {GW} AS DOUBLE) AS y, p.dx "
@@ -429,7 +429,7 @@ def build() -> dict[str, str]:
                  "'35' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS CD_MUN")
     s["geojson_features"] = " UNION ALL ".join(
         f"SELECT {part_cols}, {k} AS part, 'Polygon' AS geometry_type, 1 AS n_rings, 5 AS n_points, "
-        f"0.5 AS area FROM customer JOIN nation ON c_nationkey = n_nationkey" for k in (1, 2))
+        f"CAST(0.5 AS DOUBLE) AS area FROM customer JOIN nation ON c_nationkey = n_nationkey" for k in (1, 2))
     s["geojson_municipalities"] = (
         f"SELECT '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') AS CD_MUN, n.n_name AS NM_MUN, "
         f"'MultiPolygon' AS geometry_type, e.n_edges AS n_points, CAST(c.cnt AS DOUBLE) AS area "
