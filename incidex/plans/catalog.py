@@ -40,6 +40,8 @@ MAP_MUNICIPALITIES = ["3500003", "3500007", "3500011", "3500013", "3500002", "35
                       "3500009", "3500010", "3500012", "3500014", "3500016", "3500018", "3500007"]
 MAP_CITY = "3500007"
 MAP_AFTER_YEAR = 2021
+SECTOR_CELL = 1.0                # sectors are unit grid cells: the size the cell-size estimate
+                                 # gives; the layered run (etl.py) estimates it instead
 # ---------------------------------------------------------------------------
 
 
@@ -535,7 +537,7 @@ def _silver_incidents(spark, sf):
                                  year="ANO_ESTATISTICA", type_col="NATUREZA_APURADA")
         cel, veh, oth = (pl.materialize(d, f"silver_incidents_{n}", "YEAR_INFO", 10000)
                          for d, n in ((cel, "cellphones"), (veh, "vehicles"), (oth, "others")))
-        silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors, cell=1.0),
+        silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors, cell=SECTOR_CELL),
                                 "silver_incidents", ["YEAR_INFO", "MONTH_INFO"], 10000)
         return silver, sectors
     return layer(spark, sf, "silver_incidents", ("lineitem", "customer", "nation"), build)
