@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int = 100000,
+def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int | None = 100000,
                       mode: str = "overwrite") -> None:
     """Partitioned parquet with idempotent re-runs (dynamic partition overwrite).
 
@@ -16,11 +16,12 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int
     size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and small
     values are packed together.  File count per value therefore follows the
     data size instead of a fixed fan-out, and a retried task re-reads the same
-    hash-partitioned shuffle blocks."""
+    hash-partitioned shuffle blocks.  ``max_records=None``: no record cap per
+    file (file size then follows the advisory size alone)."""
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     (df.hint("rebalance", *cols)
        .write.partitionBy(*cols)
-       .option("maxRecordsPerFile", max_records)
+       .option("maxRecordsPerFile", max_records or 0)
        .option("partitionOverwriteMode", "dynamic")
        .mode(mode).parquet(path))
 
