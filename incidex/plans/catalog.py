@@ -578,6 +578,27 @@ def map_extract_sectors(spark, sf):
                     "CELLPHONE_CRIME_INDEX", "VEHICLE_CRIME_INDEX")
 
 
+def map_layer_municipality(spark, sf):
+    """The municipality map layer: 2024 indices on the dissolved municipality
+    polygons, written as GeoJSON features and read back."""
+    g = map_extract_municipality(spark, sf).select("ID_MUN", "MUN", "TOTAL_CRIMES", "POP_TOTAL",
+                                                   "TOTAL_CRIME_INDEX")
+    edges = pl.zone_boundaries(fx.sector_parts(spark, sf), pl.MUNICIPALITY_KEYS)
+    polys = assemble_polygons(edges, pl.MUNICIPALITY_KEYS).select(F.col("CD_MUN").alias("ID_MUN"), "polygons")
+    path = shared_path(spark, "map_layer_mun")
+    sinks.geojson_multipolygons(g.join(polys, "ID_MUN")).write.mode("overwrite").text(path)
+    schema = ("geometry struct<type string, coordinates array<array<array<array<double>>>>>, "
+              "properties struct<ID_MUN string, MUN string, TOTAL_CRIMES bigint, POP_TOTAL int, "
+              "TOTAL_CRIME_INDEX double>")
+    f = spark.read.text(path).select(F.from_json("value", schema).alias("f")).select("f.*")
+    coords = F.col("geometry.coordinates")
+    n = F.aggregate(coords, F.lit(0).cast("long"), lambda acc, poly: acc + F.aggregate(
+        poly, F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1))
+    area = F.aggregate(coords, F.lit(0.0), lambda acc, poly: acc + F.aggregate(
+        poly, F.lit(0.0), lambda a, r: a + _shoelace(r)))
+    return f.select("properties.*", n.alias("n_points"), area.alias("area"))
+
+
 def map_extract_incidents(spark, sf):
     g = gold_incidents(spark, sf).where((F.col("ID_MUN") == MAP_CITY) & (F.col("YEAR_INFO") > MAP_AFTER_YEAR))
     return g.select("ID_CRIME", "CRIMINAL_CLASS", "CRIMINAL_TYPE", "ID_MUN", "MUN", "YEAR_INFO",
@@ -655,5 +676,6 @@ QUERIES = {
     "map_extract_municipality": map_extract_municipality,
     "map_extract_sectors": map_extract_sectors,
     "map_extract_incidents": map_extract_incidents,
+    "map_layer_municipality": map_layer_municipality,
     "etl_table_rows": etl_table_rows,
 }

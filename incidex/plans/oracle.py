@@ -458,6 +458,12 @@ def build() -> dict[str, str]:
     s["gold_municipality_rates"] = gold_mun_sql()
     s["map_extract_municipality"] = (f"SELECT ID_MUN, MUN, STATE, {MAP_COLS} FROM ({gold_mun_sql()}) "
                                      f"WHERE YEAR_INFO = {C.MAP_YEAR}")
+    s["map_layer_municipality"] = (
+        f"SELECT g.ID_MUN, g.MUN, g.TOTAL_CRIMES, g.POP_TOTAL, g.TOTAL_CRIME_INDEX, e.n_edges AS n_points, "
+        f"CAST(c.cnt AS DOUBLE) AS area FROM ({gold_mun_sql()}) g "
+        f"JOIN ({mun_edges_sql()}) e ON g.ID_MUN = '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') "
+        f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
+        f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp WHERE g.YEAR_INFO = {C.MAP_YEAR}")
     ids = ", ".join(q(v) for v in C.MAP_MUNICIPALITIES)
     s["map_extract_sectors"] = (f"SELECT ID_SC, MUN, STATE, {MAP_COLS} FROM ({gold_sector_sql()}) "
                                 f"WHERE YEAR_INFO = {C.MAP_YEAR} AND ID_MUN IN ({ids})")
