@@ -578,18 +578,16 @@ def map_extract_sectors(spark, sf):
                     "CELLPHONE_CRIME_INDEX", "VEHICLE_CRIME_INDEX")
 
 
-def map_layer_municipality(spark, sf):
-    """The municipality map layer: 2024 indices on the dissolved municipality
-    polygons, written as GeoJSON features and read back."""
-    g = map_extract_municipality(spark, sf).select("ID_MUN", "MUN", "TOTAL_CRIMES", "POP_TOTAL",
-                                                   "TOTAL_CRIME_INDEX")
-    edges = pl.zone_boundaries(fx.sector_parts(spark, sf), pl.MUNICIPALITY_KEYS)
-    polys = assemble_polygons(edges, pl.MUNICIPALITY_KEYS).select(F.col("CD_MUN").alias("ID_MUN"), "polygons")
-    path = shared_path(spark, "map_layer_mun")
-    sinks.geojson_multipolygons(g.join(polys, "ID_MUN")).write.mode("overwrite").text(path)
-    schema = ("geometry struct<type string, coordinates array<array<array<array<double>>>>>, "
-              "properties struct<ID_MUN string, MUN string, TOTAL_CRIMES bigint, POP_TOTAL int, "
-              "TOTAL_CRIME_INDEX double>")
+def _map_layer(spark, extract: DataFrame, edges: DataFrame, zone_key: str, id_col: str, name: str,
+               props: str) -> DataFrame:
+    """Indices of a map extract on the dissolved polygons of its zones, written
+    as GeoJSON features and read back (per feature its properties, vertex
+    count and area from the coordinates)."""
+    polys = assemble_polygons(edges, [zone_key]).select(F.col(zone_key).alias(id_col), "polygons")
+    path = shared_path(spark, name)
+    sinks.geojson_multipolygons(extract.join(polys, id_col)).write.mode("overwrite").text(path)
+    schema = (f"geometry struct<type string, coordinates array<array<array<array<double>>>>>, "
+              f"properties struct<{props}>")
     f = spark.read.text(path).select(F.from_json("value", schema).alias("f")).select("f.*")
     coords = F.col("geometry.coordinates")
     n = F.aggregate(coords, F.lit(0).cast("long"), lambda acc, poly: acc + F.aggregate(
@@ -599,6 +597,26 @@ def map_layer_municipality(spark, sf):
     return f.select("properties.*", n.alias("n_points"), area.alias("area"))
 
 
+def map_layer_municipality(spark, sf):
+    """The municipality map layer: 2024 indices on the dissolved municipality
+    polygons."""
+    g = map_extract_municipality(spark, sf).select("ID_MUN", "MUN", "TOTAL_CRIMES", "POP_TOTAL",
+                                                   "TOTAL_CRIME_INDEX")
+    edges = pl.zone_boundaries(fx.sector_parts(spark, sf), ["CD_MUN"])
+    return _map_layer(spark, g, edges, "CD_MUN", "ID_MUN", "map_layer_mun",
+                      "ID_MUN string, MUN string, TOTAL_CRIMES bigint, POP_TOTAL int, TOTAL_CRIME_INDEX double")
+
+
+def map_layer_sectors(spark, sf):
+    """The sector map layer: 2024 indices of the listed municipalities' sectors
+    on the sector polygons (each dissolved from its parts)."""
+    g = map_extract_sectors(spark, sf).select("ID_SC", "MUN", "TOTAL_CRIMES", "POP_TOTAL", "TOTAL_CRIME_INDEX")
+    parts = fx.sector_parts(spark, sf).where(F.col("CD_MUN").isin(MAP_MUNICIPALITIES))
+    edges = pl.zone_boundaries(parts, ["CD_SETOR"])
+    return _map_layer(spark, g, edges, "CD_SETOR", "ID_SC", "map_layer_scs",
+                      "ID_SC string, MUN string, TOTAL_CRIMES bigint, POP_TOTAL int, TOTAL_CRIME_INDEX double")
+
+
 def map_extract_incidents(spark, sf):
     g = gold_incidents(spark, sf).where((F.col("ID_MUN") == MAP_CITY) & (F.col("YEAR_INFO") > MAP_AFTER_YEAR))
     return g.select("ID_CRIME", "CRIMINAL_CLASS", "CRIMINAL_TYPE", "ID_MUN", "MUN", "YEAR_INFO",
@@ -677,5 +695,6 @@ QUERIES = {
     "map_extract_sectors": map_extract_sectors,
     "map_extract_incidents": map_extract_incidents,
     "map_layer_municipality": map_layer_municipality,
+    "map_layer_sectors": map_layer_sectors,
     "etl_table_rows": etl_table_rows,
 }

@@ -465,6 +465,9 @@ def build() -> dict[str, str]:
         f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
         f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp WHERE g.YEAR_INFO = {C.MAP_YEAR}")
     ids = ", ".join(q(v) for v in C.MAP_MUNICIPALITIES)
+    s["map_layer_sectors"] = (f"SELECT ID_SC, MUN, TOTAL_CRIMES, POP_TOTAL, TOTAL_CRIME_INDEX, "
+                              f"CAST(6 AS BIGINT) AS n_points, CAST(1 AS DOUBLE) AS area FROM ({gold_sector_sql()}) "
+                              f"WHERE YEAR_INFO = {C.MAP_YEAR} AND ID_MUN IN ({ids})")
     s["map_extract_sectors"] = (f"SELECT ID_SC, MUN, STATE, {MAP_COLS} FROM ({gold_sector_sql()}) "
                                 f"WHERE YEAR_INFO = {C.MAP_YEAR} AND ID_MUN IN ({ids})")
     s["map_extract_incidents"] = (
