@@ -4,7 +4,6 @@ import os
 import tempfile
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from incidex.operators.logs import forward_fill, parse_log_lines, stage_metrics
 from incidex.session import shared_path
