@@ -142,3 +142,21 @@ def test_quality_report_reads_the_table_once_per_aggregate(spark):
                                  not_null=["l_orderkey", "l_partkey", "l_suppkey", "l_tax"])
     plan = rep._jdf.queryExecution().executedPlan().toString()        # not executed: initial plan only
     assert plan.count("FileScan parquet") == 3
+
+
+def test_population_rollup_and_sector_population_with_suppressed_cells(spark):
+    """Q3/Q4: suppressed cells ('X') count as NULL in the sum, never raise under
+    ANSI; both population columns are INT; out-of-state rows are left out."""
+    from incidex.operators.aggregate import population_rollup
+    from incidex.plans.pipeline import municipality_population, sector_population
+    demo = spark.createDataFrame(
+        [("s1", "m1", "35", "10"), ("s2", "m1", "035", "X"), ("s3", "m1", "35.0", "5"),
+         ("s4", "m2", "33", "7"), ("s5", "m2", " 35", None)],
+        "CD_SETOR string, CD_MUN string, CD_UF string, v0001 string")
+    roll = {r.CD_MUN: r.POP_TOTAL for r in population_rollup(demo, "CD_MUN", "v0001").collect()}
+    assert roll == {"m1": 15, "m2": 7}
+    mun = {r.ID_MUN: r.POP_TOTAL for r in municipality_population(demo).collect()}
+    assert mun == {"m1": 15, "m2": None}                     # m2's only in-state cell is NULL
+    sec = sector_population(demo)
+    assert dict(sec.dtypes)["POP_TOTAL"] == "int"
+    assert {r.ID_SC: r.POP_TOTAL for r in sec.collect()} == {"s1": 10, "s2": None, "s3": 5, "s5": None}
