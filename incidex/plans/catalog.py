@@ -20,7 +20,7 @@ from ..operators.logs import forward_fill, parse_log_lines, stage_metrics
 from ..operators.rates import rate_index
 from ..operators.rings import assemble_polygons, assemble_rings
 from ..operators.spatial import dissolve, edges_area, spatial_join, zone_edges
-from ..session import ensure_parallelism, shared_path
+from ..session import concurrently, ensure_parallelism, shared_path
 from ..sources import readers, sinks
 from . import fixtures as fx
 from .layers import layer
@@ -527,14 +527,18 @@ def _silver_incidents(spark, sf):
     tables are written once, union / de-dup / spatial join read them, and the
     result is written partitioned by year and month.  Gold steps in the same
     application read the written tables."""
+    def source(name, **kw):
+        silver = pl.incident_source(_bronze(spark, sf, name), **kw)
+        return pl.materialize(silver, f"silver_incidents_{name}", "YEAR_INFO", 10000)
+
     def build():
-        sectors, edges = _sector_tables(spark, sf, persist=True)
-        cel = pl.incident_source(_bronze(spark, sf, "cellphones"), crime_type=pl.CELLPHONE_TYPE)
-        veh = pl.incident_source(_bronze(spark, sf, "vehicles"), crime_type=pl.VEHICLE_TYPE)
-        oth = pl.incident_source(_bronze(spark, sf, "others"), month="MES_ESTATISTICA",
-                                 year="ANO_ESTATISTICA", type_col="NATUREZA_APURADA")
-        cel, veh, oth = (pl.materialize(d, f"silver_incidents_{n}", "YEAR_INFO", 10000)
-                         for d, n in ((cel, "cellphones"), (veh, "vehicles"), (oth, "others")))
+        # the sector tables and the three source chains are independent
+        (sectors, edges), cel, veh, oth = concurrently(
+            lambda: _sector_tables(spark, sf, persist=True),
+            lambda: source("cellphones", crime_type=pl.CELLPHONE_TYPE),
+            lambda: source("vehicles", crime_type=pl.VEHICLE_TYPE),
+            lambda: source("others", month="MES_ESTATISTICA", year="ANO_ESTATISTICA",
+                           type_col="NATUREZA_APURADA"))
         silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors, cell=SECTOR_CELL),
                                 "silver_incidents", ["YEAR_INFO", "MONTH_INFO"], 10000)
         return silver, sectors

@@ -113,3 +113,15 @@ def broadcast_threshold(spark: SparkSession) -> int:
     num = v.rstrip("bkmg")
     unit = v[len(num):] or "b"
     return int(float(num) * _UNITS.get(unit, 1))
+
+
+def concurrently(*thunks):
+    """Run independent Spark actions from separate driver threads (Spark
+    schedules jobs of different threads side by side); results in order.
+    Useful when each job alone does not fill the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=len(thunks), thread_name_prefix="incidex") as pool:
+        futures = [pool.submit(t) for t in thunks]
+    return [f.result() for f in futures]
