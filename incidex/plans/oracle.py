@@ -494,6 +494,7 @@ def etl_rows_sql(s: dict) -> str:
         ("SILVER", "silver_scs_geom", f"SELECT count(*) FROM ({s['silver_sector_geometry']})"),
         ("SILVER", "silver_mun_edges", f"SELECT sum(n_edges) FROM ({s['silver_municipality_geometry']})"),
         ("SILVER", "silver_mun_geom", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
+        ("SILVER", "silver_scs_shapes", f"SELECT count(*) FROM ({SECTORS})"),
         ("SILVER", "silver_scs", f"SELECT count(*) FROM ({s['join_zone_demographics']})"),
         ("SILVER", "silver_mun", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
         ("SILVER", "silver_crimes_cellphones", f"SELECT count(*) FROM ({silver_source_sql('cellphones')})"),
