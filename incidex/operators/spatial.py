@@ -111,18 +111,22 @@ def measured_bytes(cells: DataFrame) -> int:
 
 def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y: str = "y",
                  cell: float | None = None, attrs: DataFrame | None = None,
-                 broadcast_limit: int | None = None) -> DataFrame:
+                 broadcast_limit: int | None = None, edges_written: bool = False) -> DataFrame:
     """Inner join of points with every zone that contains or touches them.
 
     ``edges``: one row per directed zone edge (``zone_edges`` or ``dissolve``
     output) with the zone ``keys``.  ``attrs``: optional zone attributes
     (one row per zone) attached to the build side before the join.
     ``broadcast_limit``: bytes (default: the session's broadcast threshold).
+    ``edges_written``: the edges are a scan of a written table, so the
+    cell-size estimate and the cell table may both read them without a
+    checkpoint of their own.
     """
     keys = list(keys)
     if cell is None:
         # the edges feed both the cell-size estimate and the cell table
-        edges = cut_lineage(edges.select(*keys, "x1", "y1", "x2", "y2"))
+        if not edges_written:
+            edges = cut_lineage(edges.select(*keys, "x1", "y1", "x2", "y2"))
         cell = suggest_cell_size(edges, keys)
     cells = cut_lineage(zone_cells(edges, keys, cell, attrs))
     limit = broadcast_threshold(cells.sparkSession) if broadcast_limit is None else broadcast_limit

@@ -181,7 +181,8 @@ def incidents(cellphones: DataFrame, vehicles: DataFrame, others: DataFrame,
               sector_edges: DataFrame, sectors: DataFrame, cell: float | None = None) -> DataFrame:
     """Union of the sources, best-priority rows per incident (ties kept),
     incident key and class, then the point-in-sector join (boundary
-    inclusive: a point on a shared border belongs to both sectors)."""
+    inclusive: a point on a shared border belongs to both sectors).
+    ``sector_edges`` is a written layer table."""
     u = union_sources([(cellphones, 1), (vehicles, 2), (others, 3)])
     best = keep_top_priority(u, "ID").drop("priority")
     keyed = (best.withColumn("ID_CRIME", entity_key(["ID", "CRIMINAL_TYPE", "ADDRESS", "ADDRESS_NUMBER",
@@ -193,7 +194,7 @@ def incidents(cellphones: DataFrame, vehicles: DataFrame, others: DataFrame,
                  .withColumn("CRIMINAL_CLASS_TREATED", label_to_identifier("CRIMINAL_CLASS")))
     attrs = sectors.select("ID_SC", "ID_MUN", "MUN", "STATE")
     joined = spatial_join(keyed, sector_edges.select("ID_SC", "x1", "y1", "x2", "y2"), ["ID_SC"],
-                          x="x", y="y", cell=cell, attrs=attrs)
+                          x="x", y="y", cell=cell, attrs=attrs, edges_written=True)
     return joined.select(*INCIDENT_COLUMNS)
 
 
