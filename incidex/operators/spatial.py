@@ -141,15 +141,58 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
         .drop("_gx", "_gy", "_edges", "_inside")
 
 
-def dissolve(edges: DataFrame, keys, snap_digits: int | None = None) -> DataFrame:
+def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
+    """Split every edge at the vertices of its key that lie strictly inside it
+    (T-junctions: a part's corner in the middle of a neighbour's side), so
+    that shared borders consist of identical segments and cancel in
+    ``dissolve``.
+
+    Vertices are found with a grid equi-join: an edge is listed in the cells
+    of its bounding box (``cell`` about the edge length, so an edge covers a
+    few cells), a vertex in the one cell that holds it; candidates meet only
+    within a (key, cell) and are tested exactly (zero cross product, strictly
+    between the end points).  Vertex and edge use the same ``floor(v / cell)``
+    mapping, so a vertex on a cell border is never missed."""
+    keys = list(keys)
+    c = F.lit(float(cell))
+    e = cut_lineage(edges.select(*keys, "x1", "y1", "x2", "y2")
+                    .withColumn("_eid", F.monotonically_increasing_id()))
+    verts = e.select(*keys, F.col("x1").alias("_vx"), F.col("y1").alias("_vy")).distinct()
+    ec = (e.withColumn("_gx", F.explode(F.sequence(F.floor(F.least("x1", "x2") / c),
+                                                   F.floor(F.greatest("x1", "x2") / c))))
+           .withColumn("_gy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / c),
+                                                   F.floor(F.greatest("y1", "y2") / c)))))
+    vc = verts.withColumn("_gx", F.floor(F.col("_vx") / c)).withColumn("_gy", F.floor(F.col("_vy") / c))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    cross = dx * (F.col("_vy") - F.col("y1")) - (F.col("_vx") - F.col("x1")) * dy
+    along = (F.col("_vx") - F.col("x1")) * dx + (F.col("_vy") - F.col("y1")) * dy
+    length2 = dx * dx + dy * dy
+    hits = (ec.join(vc, [*keys, "_gx", "_gy"])
+              .where((cross == 0) & (along > 0) & (along < length2))
+              .select("_eid", (along / length2).alias("_t"), "_vx", "_vy").distinct())
+    cuts = hits.groupBy("_eid").agg(F.array_sort(F.collect_list(F.struct("_t", "_vx", "_vy"))).alias("_c"))
+    point = "struct<_t:double,_vx:double,_vy:double>"
+    path = F.concat(F.array(F.struct(F.lit(0.0).alias("_t"), F.col("x1").alias("_vx"), F.col("y1").alias("_vy"))),
+                    F.coalesce(F.col("_c"), F.array().cast(f"array<{point}>")),
+                    F.array(F.struct(F.lit(1.0).alias("_t"), F.col("x2").alias("_vx"), F.col("y2").alias("_vy"))))
+    pieces = F.expr("transform(sequence(1, size(_p) - 1), k -> named_struct("
+                    "'x1', _p[k - 1]._vx, 'y1', _p[k - 1]._vy, 'x2', _p[k]._vx, 'y2', _p[k]._vy))")
+    return (e.join(cuts, "_eid", "left").select(*keys, path.alias("_p"))
+             .select(*keys, F.explode(pieces).alias("_e")).select(*keys, "_e.*"))
+
+
+def dissolve(edges: DataFrame, keys, snap_digits: int | None = None,
+             split_cell: float | None = None) -> DataFrame:
     """Boundary edges of the union of each key's parts.
 
-    Parts must be oriented consistently (``zone_edges`` does it) and form an
-    edge-matched coverage; borders shared by two parts cancel.  Output: keys,
-    directed edge, ``mult`` (1 for a proper coverage).
+    Parts must be oriented consistently (``zone_edges`` does it); borders
+    shared by two parts cancel.  With ``split_cell`` the edges are first split
+    at T-junctions (``split_at_vertices``), so the parts need not be
+    edge-matched.  Output: keys, directed edge, ``mult`` (1 for a proper
+    coverage).
     """
     keys = list(keys)
-    e = edges
+    e = split_at_vertices(edges, keys, split_cell) if split_cell else edges
     if snap_digits is not None:
         e = e.select(*keys, *[F.round(c, snap_digits).alias(c) for c in ("x1", "y1", "x2", "y2")])
     fwd = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
