@@ -437,6 +437,17 @@ def geojson_municipalities(spark, sf):
                     F.col("geometry.type").alias("geometry_type"), n.alias("n_points"), area.alias("area"))
 
 
+def dissolve_t_junctions(spark, sf):
+    """Municipalities dissolved from sectors where the grid's even rows are
+    whole cells and odd rows two halves: a whole cell's top or bottom side
+    meets a split neighbour's corner mid-side.  Edges are split at those
+    vertices first, so shared borders cancel; per municipality the boundary
+    edge count and area."""
+    parts = fx.sector_parts(spark, sf, whole_when=f"(c_custkey DIV {fx.GRID_WIDTH}) % 2 = 0")
+    edges = dissolve(zone_edges(parts.where(pl.in_state()), ["CD_MUN"]), ["CD_MUN"], split_cell=0.5)
+    return edges_area(edges, ["CD_MUN"]).select("CD_MUN", "n_edges", "area")
+
+
 def geojson_features_q(spark, sf):
     """Zone parts written as GeoJSON Polygon features and read back."""
     path = shared_path(spark, "geojson")
@@ -679,6 +690,7 @@ QUERIES = {
     "dissolve_area": dissolve_area,
     "dissolve_rings": dissolve_rings,
     "dissolve_polygons": dissolve_polygons,
+    "dissolve_t_junctions": dissolve_t_junctions,
     "geojson_features": geojson_features_q,
     "geojson_municipalities": geojson_municipalities,
     "bronze_table": bronze_table,

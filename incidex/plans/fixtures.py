@@ -156,8 +156,11 @@ def sector_demo(spark, sf_dir) -> DataFrame:
         "CASE WHEN c_acctbal < 0 THEN 'X' ELSE CAST(CAST(floor(c_acctbal) AS BIGINT) AS STRING) END AS v0001")
 
 
-def sector_parts(spark, sf_dir) -> DataFrame:
-    """Two parts per sector: left and right half of its grid cell."""
+def sector_parts(spark, sf_dir, whole_when: str | None = None) -> DataFrame:
+    """Two parts per sector: left and right half of its grid cell.  Sectors
+    matching the SQL predicate ``whole_when`` (over ``c_custkey``) are one
+    whole-cell part instead, so their sides meet split neighbours at
+    T-junctions."""
     c = ensure_parallelism(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = c.join(n, c.c_nationkey == n.n_nationkey).selectExpr(
@@ -167,17 +170,18 @@ def sector_parts(spark, sf_dir) -> DataFrame:
         "CASE c_custkey % 5 WHEN 0 THEN '35' WHEN 1 THEN '035' WHEN 2 THEN ' 35' "
         "WHEN 3 THEN '35.0' ELSE '33' END AS CD_UF",
         f"CAST(c_custkey % {GRID_WIDTH} AS DOUBLE) AS x",
-        f"CAST(c_custkey DIV {GRID_WIDTH} AS DOUBLE) AS y")
+        f"CAST(c_custkey DIV {GRID_WIDTH} AS DOUBLE) AS y",
+        f"{whole_when or 'FALSE'} AS _whole")
 
     def half(x0, x1):
         pts = [(x0, 0), (x1, 0), (x1, 1), (x0, 1), (x0, 0)]
         return "array(array(" + ", ".join(
             f"named_struct('x', x + {a}D, 'y', y + {b}D)" for a, b in pts) + "))"
-    return base.select("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF",
-                       F.explode(F.array(
-                           F.struct(F.lit(1).alias("part"), F.expr(half(0, 0.5)).alias("rings")),
-                           F.struct(F.lit(2).alias("part"), F.expr(half(0.5, 1)).alias("rings")))
-                       ).alias("p")).select("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", "p.part", "p.rings")
+    parts = F.when(F.col("_whole"), F.array(F.struct(F.lit(1).alias("part"), F.expr(half(0, 1)).alias("rings")))) \
+        .otherwise(F.array(F.struct(F.lit(1).alias("part"), F.expr(half(0, 0.5)).alias("rings")),
+                           F.struct(F.lit(2).alias("part"), F.expr(half(0.5, 1)).alias("rings"))))
+    return base.select("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", F.explode(parts).alias("p")) \
+        .select("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", "p.part", "p.rings")
 
 
 def _coord_text(k: str, mod: int) -> str:

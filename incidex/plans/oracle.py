@@ -250,6 +250,23 @@ def mun_edges_sql() -> str:
             f"LEFT JOIN s n ON e.has AND n.k = e.nb AND n.grp = e.grp WHERE n.k IS NULL GROUP BY e.grp")
 
 
+def t_junction_edges_sql() -> str:
+    """Boundary edges per municipality when sectors in even grid rows are
+    whole cells and odd rows two halves, after splitting at T-junctions: a side shared with a
+    same-municipality neighbour cancels; a surviving top or bottom side is two
+    edges when its own sector is split, one when whole; left and right sides
+    are one edge."""
+    s = f"SELECT c_custkey k, c_nationkey grp, c_custkey % {GW} AS x FROM customer " \
+        f"WHERE CAST(try_cast({UF} AS DOUBLE) AS INTEGER) = 35"
+    half = f"CASE WHEN (k // {GW}) % 2 = 0 THEN 1 ELSE 2 END"
+    sides = (f"SELECT grp, k - 1 AS nb, x > 0 AS has, 1 AS n FROM s UNION ALL "
+             f"SELECT grp, k + 1, x < {GW - 1}, 1 FROM s UNION ALL "
+             f"SELECT grp, k - {GW}, k >= {GW}, {half} FROM s UNION ALL "
+             f"SELECT grp, k + {GW}, TRUE, {half} FROM s")
+    return (f"WITH s AS ({s}), e AS ({sides}) SELECT e.grp, CAST(sum(e.n) AS BIGINT) AS n_edges FROM e "
+            f"LEFT JOIN s n ON e.has AND n.k = e.nb AND n.grp = e.grp WHERE n.k IS NULL GROUP BY e.grp")
+
+
 def cell_edges_sql() -> str:
     sides = ("SELECT grp, x AS x1, y AS y1, x + 1 AS x2, y AS y2, k - 50 AS nb, k >= 50 AS has FROM c "
              "UNION ALL SELECT grp, x + 1, y, x + 1, y + 1, k + 1, x < 49 FROM c "
@@ -425,6 +442,11 @@ def build() -> dict[str, str]:
     s["dissolve_rings"] = (f"SELECT c.grp, (SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) "
                            f"AS n_vertices, CAST(count(*) AS DOUBLE) AS area FROM ({CELLS}) c GROUP BY c.grp")
     s["dissolve_polygons"] = s["dissolve_rings"]
+    s["dissolve_t_junctions"] = (
+        f"SELECT '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') AS CD_MUN, e.n_edges, "
+        f"CAST(c.cnt AS DOUBLE) AS area FROM ({t_junction_edges_sql()}) e "
+        f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
+        f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp")
     part_cols = ("'35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, "
                  "'35' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS CD_MUN")
     s["geojson_features"] = " UNION ALL ".join(
