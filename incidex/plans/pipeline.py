@@ -107,9 +107,10 @@ SECTOR_KEYS = ["CD_SETOR", "CD_MUN", "NM_MUN"]
 MUNICIPALITY_KEYS = ["CD_MUN", "NM_MUN"]
 
 
-def zone_boundaries(parts: DataFrame, keys) -> DataFrame:
-    """In-state zone parts -> dissolved boundary edges per key."""
-    return dissolve(zone_edges(parts.where(in_state()), keys), keys)
+def zone_boundaries(parts: DataFrame, keys, split_cell: float | None = None) -> DataFrame:
+    """In-state zone parts -> dissolved boundary edges per key (``split_cell``:
+    split edges at T-junctions first, see ``operators.spatial.dissolve``)."""
+    return dissolve(zone_edges(parts.where(in_state()), keys), keys, split_cell=split_cell)
 
 
 def sector_table(edges: DataFrame) -> DataFrame:
