@@ -25,7 +25,9 @@ used for that decision because they know nothing of the edge-array lengths.
 directed edges of consistently oriented parts are grouped by their undirected
 segment and the net direction is kept.  This is a plain hash aggregate with
 map-side partial aggregation, so one very large key is spread over all of its
-edge groups.
+edge groups.  ``split_at_vertices`` (``dissolve(split_cell=...)``) first
+splits edges at T-junctions with a grid equi-join of vertices against edge
+cells, for parts that do not share vertices along a common border.
 """
 
 from __future__ import annotations
