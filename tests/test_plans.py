@@ -16,3 +16,12 @@ def test_all_queries_stay_jvm_side_and_equi_joined(spark):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+def test_flagship_scans_read_only_needed_columns(spark):
+    import re
+    plan = E.queries()["rate_index_sector"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas, plan
+    widths = sorted(len(s.split(",")) for s in schemas)
+    assert max(widths) <= 4, schemas          # orders: key, customer, status, date; customer: 1-2
