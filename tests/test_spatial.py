@@ -187,3 +187,17 @@ def test_splitting_leaves_an_edge_matched_coverage_unchanged(spark):
     plain = {tuple(r) for r in dissolve(edges, ["CD_MUN"]).collect()}
     split = {tuple(r) for r in dissolve(edges, ["CD_MUN"], split_cell=0.5).collect()}
     assert plain == split and len(plain) > 0
+
+
+def test_t_junction_on_a_diagonal_side(spark):
+    """Two triangles share the diagonal of a 2x2 square; one of them has an
+    extra vertex (1, 1) on it.  After the split the diagonal cancels."""
+    lower = [[(0, 0), (2, 0), (2, 2), (0, 0)]]
+    upper = [[(0, 0), (1, 1), (2, 2), (0, 2), (0, 0)]]
+    z = zones_df(spark, {1: (0, 0, lower), 2: (0, 0, upper)}).withColumn("grp", F.lit(1))
+    plain = dissolve(zone_edges(z, ["grp"]), ["grp"]).count()
+    split = dissolve(zone_edges(z, ["grp"]), ["grp"], split_cell=0.5)
+    assert plain == 7
+    assert {(r.x1, r.y1, r.x2, r.y2) for r in split.collect()} == {
+        (0.0, 0.0, 2.0, 0.0), (2.0, 0.0, 2.0, 2.0), (2.0, 2.0, 0.0, 2.0), (0.0, 2.0, 0.0, 0.0)}
+    assert edges_area(split, ["grp"]).first().area == 4.0
