@@ -30,12 +30,12 @@ from incidex.llm.pieces import PieceStore, Slots, gather, safe_pieces, texts_by_
 
 # fixed value: how the byte-level pre-tokenizer cuts words
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 SHORT = 64
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 INF = np.iinfo(np.int64).max
 
-_loaded: dict[str, "SegmentTreeBpe"] = {}
+_loaded: dict = {}
 
 
 def printable_bytes() -> dict[int, str]:
@@ -78,13 +78,6 @@ class SegmentTreeBpe:
         merged = np.array([vocab[x + y] for x, y in pairs], np.int64)
         self.merged_by_rank = merged
         self.pair = {int(k): i for i, k in enumerate(keys)}
-        # what each id stands for
-        by_id = [b""] * self.n
-        for token, i in vocab.items():
-            by_id[i] = bytes(back[c] for c in token)
-        for token, i in self.special.items():
-            by_id[i] = token.encode()
-        self.by_id = pa.array(by_id, pa.large_binary())
         self.store = PieceStore(safe_pieces, self.encode_pieces, REMEMBERED)
 
     # -- merging ---------------------------------------------------------
@@ -241,6 +234,18 @@ class SegmentTreeBpe:
         """Offsets and ids of the texts, one after the other."""
         return self.store.encode(texts)
 
+
+class ByteVocabulary:
+    """What each id of a byte-level vocabulary stands for."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        back = {c: b for b, c in printable_bytes().items()}
+        special = {a["id"]: a["content"].encode() for a in spec["added_tokens"]}
+        tokens = {i: bytes(back[c] for c in t) for t, i in spec["model"]["vocab"].items() if i not in special} | special
+        self.by_id = pa.array([tokens.get(i, b"") for i in range(1 + max(tokens))], pa.large_binary())
+
     def decode(self, offsets: np.ndarray, ids: np.ndarray) -> list[str]:
         """Texts of the id lists ``ids[offsets[x]:offsets[x + 1]]``; bytes that are no
         UTF-8 become U+FFFD."""
@@ -252,10 +257,11 @@ class SegmentTreeBpe:
         return [data[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def load(path: str) -> SegmentTreeBpe:
-    if path not in _loaded:
-        _loaded[path] = SegmentTreeBpe(path)
-    return _loaded[path]
+def load(path: str, kind: type = SegmentTreeBpe):
+    """The worker's own encoder or vocabulary of a file, read once."""
+    if (path, kind) not in _loaded:
+        _loaded[path, kind] = kind(path)
+    return _loaded[path, kind]
 
 
 def bpe_encode(text: Column | str, tokenizer: str) -> Column:
@@ -282,10 +288,10 @@ def bpe_decode(ids: Column | str, tokenizer: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = load(tokenizer)
+        vocabulary = load(tokenizer, ByteVocabulary)
         for lists in batches:
             lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
-            yield pa.array(model.decode(np.concatenate([[0], np.cumsum(lengths)]), flat), pa.string())
+            yield pa.array(vocabulary.decode(np.concatenate([[0], np.cumsum(lengths)]), flat), pa.string())
 
     return decode(F.col(ids) if isinstance(ids, str) else ids)

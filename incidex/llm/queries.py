@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from incidex.llm.bpe import bpe_decode, bpe_encode
 from incidex.llm.common import table, workers_find_package
+from incidex.llm.minhash import near_duplicates
 from incidex.llm.packing import pack_documents
 from incidex.llm.token_counts import token_count
 
@@ -23,6 +24,12 @@ def tokenizer_path(name: str) -> str:
         return f"{TOKENIZERS}/{name}"
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str, percent: int = 85) -> DataFrame:
+    """Near-duplicate classes of all documents at a similarity of 85 percent."""
+    workers_find_package(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", percent)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None,
                      limit: int = 512) -> DataFrame:
     """Token counts of all documents under the byte-level vocabulary."""
@@ -54,5 +61,35 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None
                     F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_minhash, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
+
+# shingles as lists of words; candidate pairs share a shingle; closure by recursion
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4])) END AS s
+  FROM words),
+n AS (SELECT doc_id, len(s) AS n FROM sets),
+rows AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM n
+  UNION
+  SELECT e.b, r.root FROM reach r JOIN both_ways e ON e.a = r.node),
+comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN comp c ON c.node = n.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL}
