@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from incidex.llm import langid, toxicity
 from incidex.llm.bpe import bpe_decode, bpe_encode
 from incidex.llm.common import table, workers_find_package
 from incidex.llm.minhash import near_duplicates
@@ -30,6 +31,34 @@ def op2_minhash(spark: SparkSession, sf_dir: str, percent: int = 85) -> DataFram
     return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", percent)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those not held out."""
+    workers_find_package(spark)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    model = langid.fit(docs.where("not held_out"), "text", "lang")
+    return (docs.select("doc_id", "held_out", langid.predict_language("text", model).alias("p"))
+            .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.rejected"))
+
+
+TOXIC_FROM = 0.5
+
+
+def toxicity_categories() -> dict:
+    """The chain's categories in order, from the columns of ``labels``."""
+    return {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of the chain's categories for all documents."""
+    workers_find_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", toxicity_categories())
+    return (docs.select("doc_id", toxicity.predict_toxicity("text", chain).alias("p"))
+            .select("doc_id", F.col("p.low_quality").alias("p_low_quality"), F.col("p.toxic").alias("p_toxic"),
+                    (F.col("p.toxic") >= TOXIC_FROM).alias("toxic"), (F.col("p.toxic") < TOXIC_FROM).alias("kept")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None,
                      limit: int = 512) -> DataFrame:
     """Token counts of all documents under the byte-level vocabulary."""
@@ -61,7 +90,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None
                     F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op2_minhash, op3_language_id, op5_toxicity, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
 
 # shingles as lists of words; candidate pairs share a shingle; closure by recursion
 OP2_SQL = r"""
