@@ -11,14 +11,13 @@ members the candidate edges form a star around its smallest member, so a
 bucket of ``m`` members has ``m - 1`` pairs.  Pairs are confirmed on full
 sets, and links give components: a bucket of copies is settled by its star.
 Buckets whose members still lie in different components get a second pass that
-is exact: members of different components meet, and a pair is only emitted
-when the signatures' one-bit sketches allow the wanted similarity.  So no link
-between members of a bucket is lost, and a bucket filled by a common passage
-emits next to nothing.
+is exact: members are dealt into bounded chunks, and each pair of chunks that
+meets in such a bucket is one unit of work, in which members of different
+components are compared on full sets.  Only links leave a unit, so no link
+between members of a bucket is lost and no list of pairs is ever made.
 
 With 42 bands of 6 bins, a pair at the threshold of 85 (80) percent shares no
-bucket with a probability of 2e-9 (3e-6); the sketch test leaves a margin of
-over six standard deviations.  There are no other losses.
+bucket with a probability of 2e-9 (3e-6).  There are no other losses.
 """
 
 from __future__ import annotations
@@ -36,8 +35,8 @@ from incidex.llm.common import connected_components, write_shared
 
 BINS_BITS = 8
 BANDS, ROWS = 42, 6
-MARGIN = 6.2
-CHUNK = 128
+CHUNK = 512
+BLOOM_BITS = 22
 REMEMBERED = 500_000
 U = np.uint64
 _STEP, _FINAL1, _FINAL2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -119,49 +118,21 @@ def buckets(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray
     return h.view(np.int64)
 
 
-def sketch(sig: np.ndarray) -> np.ndarray:
-    """One bit of every bin, as 64-bit numbers."""
-    return np.packbits((mix(sig) >> U(63)).astype(np.uint8)).view(np.int64)
-
-
-def with_sketch_bits(members: DataFrame, percent: int, bits: int = 1 << BINS_BITS) -> DataFrame:
-    """The sketch as columns ``k0, k1, ...``, and ``most``: in how many bits it may
-    differ from the sketch of a set that is similar enough.  Small sets fill few
-    bins, so the number of shingles bounds the number of independent bits."""
-    q = (1 - percent / 100) / 2
-    independent = F.least(F.lit(bits), F.col("n"))
-    most = F.floor(bits * (q + MARGIN * F.sqrt(q * (1 - q) / independent))).cast("int")
-    return members.select("*", *[F.col("sketch")[i].alias(f"k{i}") for i in range(bits // 64)],
-                          most.alias("most")).drop("sketch")
-
-
-def similar_enough(percent: int, words: int = (1 << BINS_BITS) // 64):
-    """Condition on members x and y: sizes and sketches allow the wanted similarity."""
-    differ = [F.bit_count(F.col(f"x.k{i}").bitwiseXOR(F.col(f"y.k{i}"))) for i in range(words)]
-    most = F.greatest("x.most", "y.most")
-    return ((F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & (differ[0] + differ[1] <= most) & (sum(differ[1:], differ[0]) <= most))
-
-
 def signatures(docs: DataFrame, key: str, text: str, width: int = 5) -> DataFrame:
-    """Rows ``(key, n_shingles, set_id, buckets, sketch)``; empty sets have null ``set_id``."""
+    """Rows ``(key, n_shingles, set_id, buckets)``; empty sets have null ``set_id``."""
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_shingles", T.LongType()),
-                           T.StructField("set_id", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType())),
-                           T.StructField("sketch", T.ArrayType(T.LongType()))])
+                           T.StructField("set_id", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, ids, bands, bits = [], [], [], []
+            n, ids, bands = [], [], []
             for t in batch.column(1):
                 s = shingle_set(t.as_py(), width)
                 n.append(len(s))
                 ids.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sig = signature(s) if len(s) else None
-                bands.append(None if sig is None else buckets(sig))
-                bits.append(None if sig is None else sketch(sig))
+                bands.append(buckets(signature(s)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array(bits, pa.list_(pa.int64()))],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                 names=schema.names)
 
     return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema)
@@ -217,11 +188,52 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Dat
     return rows.repartition("work").sortWithinPartitions("work", "kind").mapInArrow(run, schema)
 
 
+def confirm_units(rows: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links ``(a, b)`` between members of different components within units of work.
+
+    ``rows`` has ``(work, chunk, node, component, text)``; a unit holds the
+    members of one chunk or of two, and members of two are compared across."""
+    kind = rows.schema["node"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+    def links(members):
+        out = []
+        for x, (chunk, node, component, own) in enumerate(members):
+            for chunk2, node2, component2, other in members[:x]:
+                if component == component2 or (chunk == chunk2) != (members[0][0] == members[-1][0]):
+                    continue
+                small, large = sorted((len(own), len(other)))
+                if 100 * small >= percent * large:
+                    both = common_count(own, other)
+                    if 100 * both >= percent * (small + large - both):
+                        out.append((node2, node))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members, out_type = None, [], None
+        for batch in batches:
+            found, out_type = [], batch.schema.field(2).type
+            for work, chunk, node, component, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if work != now:
+                    found += links(members)
+                    now, members = work, []
+                members.append((chunk, node, component, kept_set(text, width)))
+            yield pairs_of(found, out_type)
+        if members:
+            yield pairs_of(links(members), out_type)
+
+    def pairs_of(found, out_type):
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], out_type) for i in (0, 1)], names=["a", "b"])
+
+    return (rows.select("work", "chunk", "node", "component", "text").repartition("work")
+            .sortWithinPartitions("work", "chunk").mapInArrow(run, schema))
+
+
 def with_chunks(members: DataFrame, home: str, size: int = CHUNK) -> DataFrame:
     """Members in chunks of about ``size`` that mostly share a ``home``: a large home
     is split by hash, small homes are put together."""
     homes = members.groupBy(home).agg(F.count("*").alias("_n"))
-    total = F.greatest(F.lit(1), F.ceil(F.lit(members.count() / size)))
+    total = F.lit(1 + members.count() // size)
     large = F.col("_n") > size
     return (members.join(homes, home)
             .withColumn("chunk", F.when(large, F.xxhash64(home, F.pmod(F.xxhash64("node"), F.ceil(F.col("_n") / size))))
@@ -229,6 +241,27 @@ def with_chunks(members: DataFrame, home: str, size: int = CHUNK) -> DataFrame:
             .drop("_n", home))
 
 
+def probably_in(column: str, keys: DataFrame, bits: int = BLOOM_BITS):
+    """Condition that is true for every value of ``keys`` and false for most others:
+    a bit table of fixed size, put together by aggregation."""
+    place = F.shiftrightunsigned(F.xxhash64(keys.columns[0]), 64 - bits)
+    words = (keys.select(F.shiftright(place, 5).alias("word"), F.expr("1L").alias("one"), place.alias("place"))
+             .groupBy("word").agg(F.bit_or(F.call_function("shiftleft", "one", F.col("place").bitwiseAND(31).cast("int"))).alias("set"))
+             .toPandas())  # at most 2 ** (bits - 5) rows
+    filled = np.zeros(1 << (bits - 5), np.uint32)
+    filled[words["word"].to_numpy(np.int64)] = words["set"].to_numpy(np.int64).astype(np.uint32)
+    filled = np.unpackbits(filled.view(np.uint8), bitorder="little").astype(bool)
+    packed = np.packbits(filled)
+
+    @F.arrow_udf("boolean")
+    def test(places: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = np.unpackbits(packed).astype(bool)
+        for p in places:
+            yield pa.array(table[p.to_numpy(zero_copy_only=False)])
+
+    return test(F.shiftrightunsigned(F.xxhash64(column), 64 - bits))
+
+
 def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 80, width: int = 5) -> DataFrame:
     """Rows ``(key, n_shingles, component_id, kept)``, one per row of ``docs``.
 
@@ -242,23 +275,24 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 80, wid
     spark = docs.sparkSession
     sig = write_shared(signatures(docs, key, text, width).withColumnRenamed(key, "node"), "signatures")
     # one member for each distinct set
-    real = sig.where("set_id is not null and node is not null")
-    sets = real.groupBy("set_id").agg(F.min("node").alias("node"))
-    members = real.join(sets, ["set_id", "node"]).select("node", F.col("n_shingles").alias("n"), "buckets", "sketch")
-    placed = members.select("node", F.explode("buckets").alias("bucket"))
+    sets = write_shared(sig.where("set_id is not null and node is not null").groupBy("set_id")
+                        .agg(F.min(F.struct("node", F.col("n_shingles").alias("n"), "buckets")).alias("m"))
+                        .select("set_id", "m.*"), "sets")
+    # both sides of the join read the same shuffle
+    placed = sets.select("node", F.explode("buckets").alias("bucket")).repartition("bucket")
     shared = placed.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a <> high")
-    # a bucket's members with its centre a
     placed = write_shared(placed.join(shared.select("bucket", "a"), "bucket").distinct(), "buckets")
     homes = placed.groupBy("node").agg(F.min("a").alias("home"))
-    needed = with_sketch_bits(members.select("node", "n", "sketch").dropDuplicates(["node"]), percent)
-    needed = write_shared(with_chunks(write_shared(needed.join(homes, "node"), "members"), "home"), "members")
-    texts = write_shared(docs.select(F.col(key).alias("node"), F.col(text).cast("string").alias("text"))
-                         .join(needed.select("node").distinct(), "node", "left_semi"), "texts")
+    sizes = sets.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("n_low"))
+    needed = write_shared(with_chunks(write_shared(homes.join(sizes, "node"), "members"), "home"), "members")
+    texts = docs.select(F.col(key).alias("node"), F.col(text).cast("string").alias("text")).where("node is not null")
+    texts = write_shared(texts.where(probably_in("node", needed.select("node")))
+                         .join(needed.select("node").hint("merge"), "node", "left_semi"), "texts")
 
     stars = placed.where("a <> node").select("a", F.col("node").alias("b")).distinct()
     x, y = needed.alias("x"), needed.alias("y")
     stars = (stars.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
-             .where(similar_enough(percent))
+             .where((F.col("x.n") * 100 >= F.col("y.n_low") * percent) & (F.col("y.n") * 100 >= F.col("x.n_low") * percent))
              .select(F.xxhash64("x.chunk", "y.chunk").alias("work"), "a", "b"))
     links = write_shared(confirm(stars, texts, percent, width), "links")
     labels = write_shared(connected_components(links), "labels")
@@ -267,17 +301,19 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 80, wid
                 .select("bucket", "node", F.coalesce("component", "node").alias("component")))
     split = (labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("bucket"))
-    left_over = write_shared(labelled.join(split, "bucket").join(needed, "node"), "left-over")
-    x, y = left_over.alias("x"), left_over.alias("y")
-    pairs = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component")) & similar_enough(percent))
-             .select(F.xxhash64("x.chunk", "y.chunk").alias("work"), F.col("x.node").alias("a"),
-                     F.col("y.node").alias("b")).distinct())
-    more = write_shared(confirm(pairs, texts, percent, width), "links")
+    left_over = write_shared(labelled.join(split, "bucket").join(needed.select("node", "chunk"), "node"), "left-over")
+    # the chunks each member meets in its buckets (a bucket lists chunks, not members)
+    meets = left_over.groupBy("bucket").agg(F.collect_set("chunk").alias("chunks"))
+    units = (left_over.join(meets, "bucket").groupBy("node", "component", "chunk")
+             .agg(F.array_distinct(F.flatten(F.collect_set("chunks"))).alias("chunks"))
+             .select("node", "component", "chunk", F.explode("chunks").alias("other"))
+             .select(F.xxhash64(F.least("chunk", "other"), F.greatest("chunk", "other")).alias("work"),
+                     "chunk", "node", "component"))
+    more = write_shared(confirm_units(units.join(texts, "node"), percent, width), "links")
     if not more.isEmpty():
         labels = write_shared(connected_components(links.union(more)), "labels")
 
-    label = sets.join(labels, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
+    label = sets.select("set_id", "node").join(labels, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     out = sig.select("node", "n_shingles", "set_id").join(label, "set_id", "left")
     # rows of one key share a component, and a key in two components joins them
     if out.where("node is not null").groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").isEmpty():
