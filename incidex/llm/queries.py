@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from incidex.llm import langid, toxicity
 from incidex.llm.bpe import bpe_decode, bpe_encode
+from incidex.llm.chat import CONTROL, PrefixTree
 from incidex.llm.common import table, workers_find_package
 from incidex.llm.minhash import near_duplicates
 from incidex.llm.packing import pack_documents
 from incidex.llm.token_counts import token_count
+from incidex.llm.warc import archive_records
 
 TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
@@ -59,6 +61,24 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("p.toxic") >= TOXIC_FROM).alias("toxic"), (F.col("p.toxic") < TOXIC_FROM).alias("kept")))
 
 
+def op6_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, read back from the prefix tree."""
+    workers_find_package(spark)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role"))
+                                                      for i, r in enumerate(("user", "assistant"))])).alias("x"))
+    extra = extra.select(F.lit(-1).cast("long").alias("conv_id"), F.col("x.turn").cast("long").alias("turn"), "x.role",
+                         F.lit(hard).alias("text"))
+    return PrefixTree(rows.union(extra)).read_back()
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    workers_find_package(spark)
+    return archive_records(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None,
                      limit: int = 512) -> DataFrame:
     """Token counts of all documents under the byte-level vocabulary."""
@@ -90,7 +110,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None
                     F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op3_language_id, op5_toxicity, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op2_minhash, op3_language_id, op5_toxicity, op6_chat_prefix_tree, op7_warc, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
 
 # shingles as lists of words; candidate pairs share a shingle; closure by recursion
 OP2_SQL = r"""
@@ -121,4 +141,29 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.component_id, n.doc_id = c
 FROM n JOIN comp c ON c.node = n.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL}
+OP6_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(regexp_replace(text, '@CONTROL@', '\1\\\2\3', 'g'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 18 ELSE 6 END) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+""".replace("@CONTROL@", CONTROL)
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (h)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op6_chat_prefix_tree": OP6_SQL, "op7_warc": OP7_SQL}
