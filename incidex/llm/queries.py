@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidex.llm import langid, toxicity
+from incidex.llm.ann import nearest
 from incidex.llm.bpe import bpe_decode, bpe_encode
 from incidex.llm.chat import CONTROL, PrefixTree
 from incidex.llm.common import table, workers_find_package
+from incidex.llm.embed_dedup import near_duplicate_vectors
 from incidex.llm.minhash import near_duplicates
 from incidex.llm.packing import pack_documents
 from incidex.llm.token_counts import token_count
@@ -27,6 +29,12 @@ def tokenizer_path(name: str) -> str:
         return f"{TOKENIZERS}/{name}"
 
 
+def op1_adaptive_scan(spark: SparkSession, sf_dir: str, k: int = 20) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    workers_find_package(spark)
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str, percent: int = 85) -> DataFrame:
     """Near-duplicate classes of all documents at a similarity of 85 percent."""
     workers_find_package(spark)
@@ -51,6 +59,12 @@ def toxicity_categories() -> dict:
     return {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
 
 
+def op4_grid_order_join(spark: SparkSession, sf_dir: str, cosine: float = 0.98) -> DataFrame:
+    """Links and classes of near-duplicate vectors of equal label."""
+    workers_find_package(spark)
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", cosine)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities of the chain's categories for all documents."""
     workers_find_package(spark)
@@ -110,7 +124,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None
                     F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op3_language_id, op5_toxicity, op6_chat_prefix_tree, op7_warc, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op1_adaptive_scan, op2_minhash, op3_language_id, op4_grid_order_join, op5_toxicity, op6_chat_prefix_tree, op7_warc, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
 
 # shingles as lists of words; candidate pairs share a shingle; closure by recursion
 OP2_SQL = r"""
@@ -141,6 +155,20 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.component_id, n.doc_id = c
 FROM n JOIN comp c ON c.node = n.doc_id
 """
 
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM v
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp ON node = vec_id
+"""
+
 OP6_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -166,4 +194,4 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM p JOIN f USING (h)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op6_chat_prefix_tree": OP6_SQL, "op7_warc": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_grid_order_join": OP4_SQL, "op6_chat_prefix_tree": OP6_SQL, "op7_warc": OP7_SQL}
