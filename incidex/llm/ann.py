@@ -6,9 +6,10 @@ orthogonal matrix and stored dimension-wise in column blocks.  The lists come
 from k-means on a bounded sample (``SAMPLE``), and every vector is filed under
 its nearest centroid.  A query scans its nearest lists block by block: after
 each column block, a hypothesis test on the partial distance abandons the
-candidates that cannot come under the query's current k-th distance.  The few
-that stay to the end are ranked by the inner product of the original vectors
-in double precision.
+candidates that cannot come under the query's k-th distance so far.  That
+limit comes from the query's nearest list, scanned first; in the other lists
+most candidates are abandoned after one block.  The few that stay to the end
+are ranked by the inner product of the original vectors in double precision.
 
 A list is cut into chunks of bounded size and its queries into groups, so a
 hot list is scanned by many tasks; each gives back at most k candidates a
@@ -37,7 +38,7 @@ from incidex.llm.vectors import common_length, matrix, usable
 SAMPLE = 16_384
 ROWS_A_LIST = 800
 MOST_LISTS = 4_096
-PROBE_SHARE, LEAST_PROBES = 0.5, 12
+PROBE_SHARE, LEAST_PROBES = 0.65, 12
 CHUNK = 2_048
 GROUP = 256
 BLOCK = 16
@@ -80,12 +81,13 @@ def adaptive_scan(columns: np.ndarray, query: np.ndarray, limit: float, block: i
     return alive, partial
 
 
-def scan_chunk(ids, columns, vectors, query_id, rotated, query, k: int):
-    """The query's k best of a chunk: ids and exact inner products."""
-    first = min(len(ids), 4 * k)
+def scan_chunk(ids, columns, vectors, query_id, rotated, query, limit, k: int):
+    """The query's k best of a chunk under the limit: ids and exact inner products."""
     own = ids != query_id
-    head = ((columns[:, :first] - rotated[:, None]) ** 2).sum(axis=0)[own[:first]]
-    limit = np.partition(head, k - 1)[k - 1] if len(head) >= k else math.inf
+    if limit == math.inf:   # the first rows of the chunk set it
+        first = min(len(ids), 4 * k)
+        head = ((columns[:, :first] - rotated[:, None]) ** 2).sum(axis=0)[own[:first]]
+        limit = np.partition(head, k - 1)[k - 1] if len(head) >= k else math.inf
     alive, dist = adaptive_scan(columns, rotated, limit)
     keep = own[alive]
     alive, dist = alive[keep], dist[keep]
@@ -136,59 +138,73 @@ def nearest(vectors: DataFrame, key: str, vec: str, is_query: Column, k: int = 2
         return pa.array([row for row in order[:, :probes].astype(np.int32)], pa.list_(pa.int32()))
 
     def packed(rows: DataFrame, size: int, query: bool) -> DataFrame:
-        """Rows ``(list, v)`` as rows of at most ``size`` vectors of one list."""
+        """Rows ``(list, id, v, limit)`` as rows of at most ``size`` vectors of one list."""
         counts = rows.groupBy("list").agg(F.count("*").alias("n"))
         dealt = (rows.join(F.broadcast(counts), "list")   # one row a list, at most MOST_LISTS
                  .withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / size))))
-        schema = "list int, ids array<long>, vectors binary, columns binary"
+        schema = "list int, ids array<long>, vectors binary, columns binary, limits array<double>"
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now, ids, vs = None, [], []
+            now, ids, vs, limits = None, [], [], []
 
             def row():
                 x = np.array(vs)
                 r = rotated(x, query)
                 return pa.RecordBatch.from_arrays(
                     [pa.array([now[0]], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([x.tobytes()], pa.binary()),
-                     pa.array([np.ascontiguousarray(r if query else r.T).tobytes()], pa.binary())],
-                    names=["list", "ids", "vectors", "columns"])
+                     pa.array([np.ascontiguousarray(r if query else r.T).tobytes()], pa.binary()),
+                     pa.array([limits], pa.list_(pa.float64()))],
+                    names=["list", "ids", "vectors", "columns", "limits"])
 
             for batch in batches:
-                for a, part, i, v in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                for a, part, i, v, limit in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
                     if ids and ((a, part) != now or len(ids) >= size):
                         yield row()
-                        ids, vs = [], []
+                        ids, vs, limits = [], [], []
                     now = (a, part)
                     ids.append(i)
                     vs.append(v)
+                    limits.append(limit)
             if ids:
                 yield row()
 
         return (dealt.repartition("list", "part").sortWithinPartitions("list", "part", "id")
-                .select("list", "part", "id", "v").mapInArrow(pack, schema))
-
-    index = write_shared(packed(good.withColumn("list", own_list("v")).select("list", "id", "v"), CHUNK, False), "index")
-    asked = write_shared(packed(good.where("q").withColumn("list", F.explode(probed("v"))).select("list", "id", "v"), GROUP, True), "queries")
-    work = index.join(asked.select("list", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
-                                   F.col("columns").alias("rotated")), "list")
+                .select("list", "part", "id", "v", "limit").mapInArrow(pack, schema))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in range(batch.num_rows):
-                _, ids, v, c, query_ids, queries, r = (batch.column(i)[x] for i in range(7))
-                ids, query_ids = np.array(ids.as_py()), query_ids.as_py()
+                ids, v, c, query_ids, queries, r, limits = (batch.column(i)[x] for i in range(7))
+                ids, query_ids, limits = np.array(ids.as_py()), query_ids.as_py(), limits.as_py()
                 v = np.frombuffer(v.as_buffer(), np.float64).reshape(len(ids), d)
                 c = np.frombuffer(c.as_buffer(), np.float64).reshape(d + 1, len(ids))
                 queries = np.frombuffer(queries.as_buffer(), np.float64).reshape(len(query_ids), d)
                 r = np.frombuffer(r.as_buffer(), np.float64).reshape(len(query_ids), d + 1)
-                got = [scan_chunk(ids, c, v, q, r[i], queries[i], k) for i, q in enumerate(query_ids)]
+                got = [scan_chunk(ids, c, v, q, r[i], queries[i], limits[i], k) for i, q in enumerate(query_ids)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(query_ids, [len(g[0]) for g in got]), pa.int64()),
                      pa.array(np.concatenate([g[0] for g in got]), pa.int64()),
                      pa.array(np.concatenate([g[1] for g in got]), pa.float64())], names=["query_id", "id", "score"])
 
-    found = work.select("list", "ids", "vectors", "columns", "query_ids", "queries", "rotated").mapInArrow(
-        scan, "query_id long, id long, score double")
+    def scanned(queries: DataFrame) -> DataFrame:
+        asked = packed(queries, GROUP, True).select("list", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
+                                                    F.col("columns").alias("rotated"), "limits")
+        return (index.join(asked, "list").select("ids", "vectors", "columns", "query_ids", "queries", "rotated", "limits")
+                .mapInArrow(scan, "query_id long, id long, score double"))
+
+    index = write_shared(packed(good.select(own_list("v").alias("list"), "id", "v", F.lit(0.0).alias("limit")), CHUNK, False)
+                         .drop("limits"), "index")
+    queries = good.where("q").select("id", "v", probed("v").alias("lists"))
+    first = write_shared(scanned(queries.select(F.col("lists")[0].alias("list"), "id", "v", F.lit(math.inf).alias("limit"))), "nearest-list")
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    limits = first.withColumn("r", best).where(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("score").alias("worst"))
+    found = first
+    if probes > 1:
+        distance = (F.lit(top) + F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)) * (1 + TOLERANCE) - 2 * F.col("worst")
+        rest = (queries.join(limits, "id", "left")
+                .select(F.explode(F.slice("lists", 2, probes)).alias("list"), "id", "v",
+                        F.coalesce(distance + TOLERANCE, F.lit(math.inf)).alias("limit")))
+        found = first.union(scanned(rest))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).cast("int")
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(key), "score"))
