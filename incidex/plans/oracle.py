@@ -201,8 +201,10 @@ def gold_incidents_sql() -> str:
 
 def zone_rates_sql(zone: str, zones: str, base: int, key: str) -> str:
     types = list(INCIDENT_CLASSES)
+    listed = ", ".join(f"'{t}'" for t in types)
     cnt = (f"SELECT {zone}, YEAR_INFO, count(ID_CRIME) AS TOTAL_CRIMES, "
-           f"{counts('CRIMINAL_TYPE_TREATED', types, types)} "
+           f"{counts('CRIMINAL_TYPE_TREATED', types, types)}, "
+           f"count(*) FILTER (CRIMINAL_TYPE_TREATED IS NULL OR CRIMINAL_TYPE_TREATED NOT IN ({listed})) AS OTHER_TYPES "
            f"FROM ({silver_incidents_sql()}) GROUP BY 1, 2")
 
     def idx(c, guard):
@@ -210,7 +212,7 @@ def zone_rates_sql(zone: str, zones: str, base: int, key: str) -> str:
         return (f"CASE {pre}WHEN z.POP_TOTAL IS NULL OR c.{c} IS NULL OR z.POP_TOTAL = 0 "
                 f"THEN CAST(0 AS DOUBLE) ELSE CAST(c.{c} AS DOUBLE) / z.POP_TOTAL * {base} END")
     type_cols = ", ".join(f'c."{t}"' for t in types)
-    return (f"SELECT z.*, c.YEAR_INFO, c.TOTAL_CRIMES, {type_cols}, "
+    return (f"SELECT z.*, c.YEAR_INFO, c.TOTAL_CRIMES, {type_cols}, c.OTHER_TYPES, "
             f"{idx('TOTAL_CRIMES', True)} AS TOTAL_CRIME_INDEX, "
             f"{idx('FURTO_ROUBO_DE_CELULAR', False)} AS CELLPHONE_CRIME_INDEX, "
             f"{idx('FURTO_ROUBO_DE_VEICULO', False)} AS VEHICLE_CRIME_INDEX, {key} "

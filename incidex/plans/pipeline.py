@@ -40,6 +40,7 @@ INCIDENT_COLUMNS = ["ID_CRIME", "CRIMINAL_CLASS", "CRIMINAL_TYPE", "ADDRESS", "A
                     "NEIGHBORHOOD", "DAY_INFO", "MONTH_INFO", "YEAR_INFO", "ID_SC", "ID_MUN",
                     "MUN", "STATE", "x", "y", "CRIMINAL_CLASS_TREATED", "CRIMINAL_TYPE_TREATED"]
 TYPE_COLUMNS = list(INCIDENT_CLASSES)      # one count column per known treated type
+OTHER_COLUMN = "OTHER_TYPES"                # incidents of every other type
 # ---------------------------------------------------------------------------
 
 
@@ -207,7 +208,7 @@ def gold_incidents(silver: DataFrame) -> DataFrame:
 
 def _zone_rates(silver: DataFrame, zones: DataFrame, zone: str, base: int) -> DataFrame:
     counts = total_and_type_counts(silver, [zone, "YEAR_INFO"], "ID_CRIME", "CRIMINAL_TYPE_TREATED",
-                                   TYPE_COLUMNS, total_name="TOTAL_CRIMES")
+                                   TYPE_COLUMNS, total_name="TOTAL_CRIMES", other_name=OTHER_COLUMN)
     data = zones.drop("YEAR_INFO").join(counts, on=zone, how="inner")
     return (data.withColumn("TOTAL_CRIME_INDEX", rate_index("TOTAL_CRIMES", "POP_TOTAL", base,
                                                             "YEAR_INFO", GUARD_YEAR))

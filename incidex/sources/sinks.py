@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int | None = 100000,
-                      mode: str = "overwrite") -> None:
-    """Partitioned parquet with idempotent re-runs (dynamic partition overwrite).
+def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int | None = None,
+                      mode: str = "overwrite", only_partitions: bool = False) -> None:
+    """Partitioned parquet.  An overwrite replaces the whole table, so no old
+    partition survives a run with fewer values; ``only_partitions`` replaces
+    just the partitions that ``df`` holds (a refresh of one year).
 
     Rows are rebalanced on the partition columns before the write (AQE's
     ``REBALANCE``): each partition value goes to its own writer, a value
@@ -22,7 +24,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, max_records: int
     (df.hint("rebalance", *cols)
        .write.partitionBy(*cols)
        .option("maxRecordsPerFile", max_records or 0)
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
        .mode(mode).parquet(path))
 
 
