@@ -271,10 +271,15 @@ def pack(pieces: DataFrame, keys: list[str], length: str, capacity: int) -> Data
              pa.array(offset[at], pa.int64(), mask=null) if len(first) else pa.nulls(len(s), pa.int64())],
             names=["sequence_id", "offset"])
 
-    salts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + sum(hist.values()) // ROWS_IN_GROUP)
+    # a length gets as many salted groups as its pieces need, so there are at most
+    # capacity + all pieces / share groups
+    spread = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, min(ROWS_IN_GROUP, sum(hist.values()) // spread))
+    groups = F.lit([max(1, -(-hist.get(s, 0) // share)) for s in range(capacity + 1)])
+    salts = F.coalesce(F.get(groups, F.when(F.col(length).between(1, capacity), F.col(length)).cast("int")), F.lit(spread))
     known = pieces.columns
     group = [F.col(length).alias("_size"), "_salt"]
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*known), F.lit(salts)))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*known), salts))
     before = (salted.groupBy(*group).agg(F.count("*").alias("_n"))
               .withColumn("_before", F.sum("_n").over(Window.partitionBy("_size").orderBy("_salt")) - F.col("_n"))
               .select(F.col("_size").alias("_size2"), F.col("_salt").alias("_salt2"), "_before"))
