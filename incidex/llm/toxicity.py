@@ -13,7 +13,8 @@ only thing broadcast.  Prediction reads whole texts.
 
 Null and empty texts have no features and get the base rates.  Rows with a null
 key or label do not train; a category without both classes gets its base rate
-(0 without rows).  Repeated label rows count as often as they occur.
+(0 without rows).  Repeated rows of an id train once for each combination of
+labels, with the first of its texts in order.
 Prediction is a column expression on the text alone, so other columns and
 empty tables play no part.
 """
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidex.llm.common import write_shared
+
 SAMPLE_PER_CLASS = 6_000
 FEATURES = 256
 BITS = 20
@@ -135,7 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: dic
     # a bounded number of rows: broadcast so that texts are not shuffled
     drawn = known.withColumn("weight", weight).where(draw * F.col("weight") < 1).limit(2 * sample * max(1, len(sizes)))
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(drawn), "key")
-    rows = rows.select("text", F.pmod(F.xxhash64("key", F.lit(7)), F.lit(FOLDS)).cast("int").alias("fold"), "weight", *ys)
+    rows = rows.groupBy("key", "weight", *ys).agg(F.min("text").alias("text"))   # one row an id keeps the sample bounded
+    rows = write_shared(rows.select("text", F.pmod(F.xxhash64("key", F.lit(7)), F.lit(FOLDS)).cast("int").alias("fold"), "weight", *ys),
+                        "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = Features()
@@ -153,8 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: dic
         yield pa.RecordBatch.from_pydict({"feature": np.append(at, -1)} | {f"n{i}": np.append(n[i, at], total[i]) for i in range(len(n))})
 
     fields = ", ".join(f"n{i} long" for i in range(1 + len(ys)))
-    counted = (rows.mapInArrow(count, f"feature long, {fields}").groupBy("feature")
-               .agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(1 + len(ys))]))
+    counted = write_shared(rows.mapInArrow(count, f"feature long, {fields}").groupBy("feature")
+                           .agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(1 + len(ys))]), "toxicity-features")
     total = counted.where("feature < 0").first()
     chosen: dict[int, int] = {}
     if total:
