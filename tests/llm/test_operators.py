@@ -230,6 +230,36 @@ def test_grid_order_join_against_all_pairs(spark):
     assert near_duplicate_vectors(vectors(spark, [], []), "vec_id", "embedding", "label").count() == 0
 
 
+def test_copies_of_vectors_are_one(spark):
+    near = [1.0, 0.1]
+    rows = [(i, [1.0, 0.0], 1) for i in range(1000, 0, -1)] + [(5000, near, 1), (5001, [1.0, 0.0], 2), (7, [1.0, 0.0], 1), (None, [1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = near_duplicate_vectors(df, "vec_id", "embedding", "label").collect()
+    assert len(got) == len(rows)
+    by = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got}
+    assert by[5000] == (1000, 1, False) and by[5001] == (0, 5001, True) and by[None] == (0, None, True)
+    two = near_duplicate_vectors(df.where("vec_id in (1, 5000)"), "vec_id", "embedding", "label").collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in two} == {(1, 1, 1), (5000, 1, 1)}
+    assert by[1] == (1000, 1, True) and all(by[i] == (1000, 1, False) for i in range(2, 1001))
+
+
+def test_places_of_a_hot_length(spark):
+    pieces = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 60 + 1).alias("length"))
+    got = pack(pieces, ["doc_id"], "length", 64).toPandas().sort_values(["sequence_id", "offset"])
+    assert len(got) == 20_000 and not got.sequence_id.isna().any()
+    assert (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all()
+    assert got.groupby("sequence_id").length.sum().max() <= 64
+
+
+def test_repeated_documents_train_once(spark):
+    rows = [(i, f"plain text {i}") for i in range(40)] + [(i, "grobian here") for i in range(40, 60)] + [(3, "plain text again")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, 1, int(i >= 40)) for i in range(60)], "doc_id long, quality int, toxic int")
+    chain = toxicity.fit(docs, known, "doc_id", "text", {"toxic": F.col("toxic") == 1})
+    p = {r["doc_id"]: r["p"]["toxic"] for r in docs.select("doc_id", toxicity.predict_toxicity("text", chain).alias("p")).collect()}
+    assert all((p[i] >= 0.5) == (i >= 40) for i in range(60))
+
+
 def test_language_model(spark):
     rng = random.Random(0)
     words = {"en": "the and with from ring thing".split(), "de": "der und mit von über schön".split()}
