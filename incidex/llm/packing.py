@@ -22,6 +22,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from incidex.llm.pieces import PieceStore, blank_free_pieces, by_bytes, texts_by
 CHUNK_CHARS = 1 << 20
 ENCODE_BYTES = 1 << 18
 ROWS_IN_GROUP = 50_000
+REMEMBERED = 1_200_000
 
 _stores: dict[str, PieceStore] = {}
 
@@ -50,11 +52,14 @@ def _store(path: str) -> PieceStore:
         t.no_padding()
 
         def learn(new):
-            parts = [np.array(e.ids, np.int32) for batch in by_bytes(new, ENCODE_BYTES)
-                     for e in t.encode_batch_fast(batch, add_special_tokens=False)]
-            return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-
-        _stores[path] = PieceStore(blank_free_pieces, learn)
+            ids, sizes = [], []
+            for batch in by_bytes(new, ENCODE_BYTES):
+                found = t.encode_batch_fast(batch, add_special_tokens=False)
+                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+                ids.append(np.fromiter(chain.from_iterable(e.ids for e in found), np.int32, int(sizes[-1].sum())))
+            return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+        _stores[path] = PieceStore(blank_free_pieces, learn, REMEMBERED)
     return _stores[path]
 
 
