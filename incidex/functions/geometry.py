@@ -19,12 +19,15 @@ EARTH_RADIUS_M = 6378137.0        # spherical Mercator (EPSG:3857) radius
 M2_PER_KM2 = 1_000_000.0
 # ---------------------------------------------------------------------------
 
-EDGE_TYPE = "struct<x1:double,y1:double,x2:double,y2:double>"
+# how far from an edge a point still lies on it: a share of the edge's length, and
+# at least what rounding of the coordinates can move it
+ON_EDGE_SHARE = 1e-9
+ON_EDGE_ROUNDING = 1e-15
 
 
 def _ring_signed_area_sql(r: str) -> str:
     return (f"aggregate(sequence(1, size({r}) - 1), CAST(0 AS DOUBLE), "
-            f"(acc, k) -> acc + {r}[k - 1].x * {r}[k].y - {r}[k].x * {r}[k - 1].y) / 2")
+            f"(acc, k) -> acc + ({r}[k - 1].x - {r}[k].x) * ({r}[k - 1].y + {r}[k].y)) / 2")
 
 
 def orient_rings(rings: str = "rings") -> Column:
@@ -57,19 +60,13 @@ def mercator_rings(rings: str = "rings") -> Column:
     return F.expr(mercator_rings_sql(rings))
 
 
-def edges_signed_area(edges: str = "edges") -> Column:
-    """Shoelace over directed edges (exterior CCW => positive)."""
-    return F.expr(f"aggregate({edges}, CAST(0 AS DOUBLE), "
-                  f"(acc, e) -> acc + (e.x1 * e.y2 - e.x2 * e.y1)) / 2")
-
-
 def area_km2_mercator(rings: str = "rings") -> Column:
     """Planar area of the Mercator-projected part in km^2 (inflated by
     1/cos^2(lat), like any area measured in EPSG:3857).  Holes count
     negatively because rings are oriented first."""
     proj = mercator_rings_sql(rings)
     terms = (f"flatten(transform({proj}, r -> transform(sequence(1, size(r) - 1), "
-             f"k -> r[k - 1].x * r[k].y - r[k].x * r[k - 1].y)))")
+             f"k -> (r[k - 1].x - r[k].x) * (r[k - 1].y + r[k].y))))")
     return F.expr(f"aggregate({terms}, CAST(0 AS DOUBLE), (acc, v) -> acc + v) / 2") \
         / F.lit(M2_PER_KM2)
 
@@ -81,17 +78,34 @@ def mercator_rings_sql(rings: str) -> str:
             f"'y', {r} * ln(tan(pi() / 4 + radians(p.y) / 2)))))")
 
 
-def point_in_edges(px: str, py: str, edges: str) -> Column:
-    """Boundary-inclusive point-in-polygon over directed edges (even-odd rule).
+def edge_tolerance() -> Column:
+    """Distance within which a point lies on the edge ``(x1, y1, x2, y2)``."""
+    size = sum((F.abs(c) for c in ("y1", "x2", "y2")), F.abs("x1"))
+    return F.greatest(F.lit(ON_EDGE_SHARE) * F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")),
+                      F.lit(ON_EDGE_ROUNDING) * size)
+
+
+def point_in_cell(px: str, py: str, yc: str, odd: str, edges: str) -> Column:
+    """Boundary-inclusive point-in-polygon from the edges of the point's grid cell.
 
-    Division free: a crossing to the right of the point is decided by the sign
-    of the cross product times the edge direction, and "on the border" by a
-    zero cross product inside the edge's bounding box.
+    ``odd`` says whether the horizontal line ``yc`` through the cell is crossed
+    an odd number of times right of the cell.  The path from the point goes up
+    or down to ``yc`` and then right; each edge is tested once for both legs
+    (``c``: it crosses ``yc`` in this cell) and for touching the point (cross
+    product at most ``t``, inside the edge's box widened by ``m``).  Both legs
+    use the sign of one cross product at the corner of the path, so they
+    cannot disagree.
     """
-    cross = f"((e.x2 - e.x1) * ({py} - e.y1) - ({px} - e.x1) * (e.y2 - e.y1))"
-    on_edge = (f"exists({edges}, e -> {cross} = 0 "
-               f"AND {px} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
-               f"AND {py} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))")
-    crossings = (f"size(filter({edges}, e -> ((e.y1 > {py}) <> (e.y2 > {py})) "
-                 f"AND {cross} * sign(e.y2 - e.y1) > 0))")
-    return F.expr(f"({on_edge}) OR ({crossings} % 2 = 1)")
+    def cross(y):
+        return f"((e.x2 - e.x1) * ({y} - e.y1) - ({px} - e.x1) * (e.y2 - e.y1))"
+    def side(y):    # of the path, taken just right of the point
+        return f"({cross(y)} > 0 OR ({cross(y)} = 0 AND e.y2 < e.y1))"
+    on = (f"abs({cross(py)}) <= e.t AND {px} BETWEEN least(e.x1, e.x2) - e.m AND greatest(e.x1, e.x2) + e.m "
+          f"AND {py} BETWEEN least(e.y1, e.y2) - e.m AND greatest(e.y1, e.y2) + e.m")
+    up = f"((e.x1 > {px}) <> (e.x2 > {px})) AND ({side(py)} <> {side(yc)})"
+    right = f"e.c AND ({side(yc)} = (e.y2 > e.y1))"
+    touched = 1 << 40
+    total = (f"aggregate({edges}, CAST(0 AS BIGINT), (n, e) -> n + CASE WHEN {on} THEN {touched} "
+             f"ELSE if({up}, 1, 0) + if({right}, 1, 0) END)")
+    return F.expr(f"CASE WHEN size({edges}) = 0 THEN {odd} ELSE transform(array({total}), "
+                  f"n -> n >= {touched} OR ((n % 2 = 1) <> {odd}))[0] END")

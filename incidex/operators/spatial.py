@@ -2,17 +2,17 @@
 
 ``spatial_join`` assigns points to zones with a grid equi-join:
 
-1. every zone edge is replicated to the grid cells of its row band(s), from the
-   zone's left-most cell up to the cell of the edge's right end - exactly the
-   cells whose points can cast a rightward ray through that edge;
-2. edges are grouped per (zone, cell) into one array (bounded by the zone's
-   complexity, not by the data volume);
-3. each point falls in exactly one cell, so the point side is an equi-join on
-   (gx, gy): no nested-loop join and no duplicates to remove;
-4. the exact boundary-inclusive even-odd test runs over the cell's edge array
-   with higher-order functions (JVM side).  Cells no edge of a zone passes
-   through are decided once (inside: kept without edges, points match without
-   a test; outside: dropped), so large zones cost only their boundary cells.
+1. every zone edge is listed in the grid cells it passes through, so entries
+   grow with the length of the boundary, whatever the size of the zone;
+2. per (zone, grid row) a running sum over the boundary cells says on which
+   side of the zone the right end of each cell lies;
+3. cells between two boundary cells of a row lie wholly inside or outside;
+   inside runs are kept as aligned blocks of 1, 16, 256 or 4,096 cells, so a
+   large zone does not list its interior cell by cell;
+4. each point falls in exactly one cell (and one block of each block size in
+   use), so the join is an equi-join: no nested loop, no duplicates;
+5. the exact boundary-inclusive test runs over the cell's own edges with a
+   higher-order function (JVM side); inside blocks need no test.
 
 A hot cell (many points) is a skewed equi-join partition, which AQE splits.
 The cell table is written to the shared folder once and its size measured from
@@ -32,14 +32,16 @@ cells, for parts that do not share vertices along a common border.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import EDGE_TYPE, orient_rings, point_in_edges, ring_edges
+from ..functions.geometry import edge_tolerance, orient_rings, point_in_cell, ring_edges
 from ..session import broadcast_threshold, cut_lineage
 
 # --- fixed values -----------------------------------------------------------
-EDGE_BYTES = 40          # one edge struct in an array: null bits + four doubles
+EDGE_BYTES = 72          # one edge struct in an array: null bits and fields
+BLOCK_SIZES = (1, 16, 256, 4096)      # inside blocks, in cells of a row
+ROW_LINE = 0.6180339887498949         # where a row's test line lies in its cells
 ROW_BYTES = 16           # row header and array header
 # ---------------------------------------------------------------------------
 
@@ -64,39 +66,75 @@ def suggest_cell_size(edges: DataFrame, keys) -> float:
 
 
 def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = None) -> DataFrame:
-    """(zone keys, _gx, _gy, _edges, _inside) - the build side of the spatial
-    join.  A cell no edge of the zone passes through lies wholly inside or
-    wholly outside it: its status is decided once at the cell centre, outside
-    cells are dropped and inside cells carry no edges (``_inside``)."""
+    """(zone keys, _lv, _gx, _gy, _edges, _odd) - the build side of the spatial
+    join.  Level 0 rows with edges are the cells the boundary passes through;
+    rows without edges are blocks of ``16 ** _lv`` cells of a row that lie
+    inside the zone.  ``_odd``: the point at the right end of the cell on the
+    row's test line lies inside."""
     keys = list(keys)
-    left = edges.groupBy(*keys).agg(F.min(F.least("x1", "x2")).alias("_zx0"))
     c = F.lit(float(cell))
-    exploded = (
-        edges.join(left, keys)
-        .withColumn("_gy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / c),
-                                                F.floor(F.greatest("y1", "y2") / c))))
-        .withColumn("_gx", F.explode(F.sequence(F.floor(F.col("_zx0") / c),
-                                                F.floor(F.greatest("x1", "x2") / c)))))
-    # the edge lies in this cell's row band by construction; it passes through
-    # the (half-open) cell when the cell is within its column range as well
-    touch = F.col("_gx") >= F.floor(F.least("x1", "x2") / c)
-    cells = exploded.groupBy(*keys, "_gx", "_gy").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"),
-        F.max(touch).alias("_touch"))
-    centre = point_in_edges(f"((_gx + 0.5D) * {float(cell)}D)", f"((_gy + 0.5D) * {float(cell)}D)", "_edges")
-    cells = (cells.withColumn("_inside", ~F.col("_touch") & centre)
-                  .where(F.col("_touch") | F.col("_inside"))
-                  .withColumn("_edges", F.when(F.col("_touch"), F.col("_edges"))
-                              .otherwise(F.array().cast(f"array<{EDGE_TYPE}>")))
-                  .drop("_touch"))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    m = F.col("m")
+
+    def at(y):      # x of the edge at height y, kept on the edge
+        share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - F.col("y1")) / dy))
+        return F.col("x1") + share * dx
+    rows = (edges.select(*keys, "x1", "y1", "x2", "y2", edge_tolerance().alias("m"))
+            .withColumn("_gy", F.explode(F.sequence(F.floor((F.least("y1", "y2") - m) / c),
+                                                    F.floor((F.greatest("y1", "y2") + m) / c)))))
+    line = row_line(c)
+    flat = dy == 0
+    ends = [F.when(flat, F.col(end)).otherwise(at(y)) for end, y in
+            (("x1", F.col("_gy") * c - m), ("x2", (F.col("_gy") + 1) * c + m))]
+    crosses = (F.col("y1") > line) != (F.col("y2") > line)
+    rows = rows.withColumn("_gc", F.when(crosses, F.floor(at(line) / c)))
+    cells = rows.withColumn("_gx", F.explode(F.sequence(
+        F.least(F.floor((F.least(*ends) - m) / c), "_gc"), F.greatest(F.floor((F.greatest(*ends) + m) / c), "_gc"))))
+    here = F.coalesce(F.col("_gx") == F.col("_gc"), F.lit(False))
+    cells = cells.groupBy(*keys, "_gx", "_gy").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2", here.alias("c"), (m * F.hypot(dx, dy)).alias("t"), "m")).alias("_edges"),
+        F.count_if(here).alias("_n"))
+    row = Window.partitionBy(*keys, "_gy").orderBy(F.desc("_gx"))
+    cells = cells.withColumn("_odd", F.coalesce(F.sum("_n").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1) \
+                 .withColumn("_next", F.lag("_gx").over(row))
+    # a run of inside cells right of a boundary cell, cut into aligned blocks
+    first, last = F.col("_gx") + 1, F.col("_next") - 1
+    spans = []
+    for level, size in enumerate(BLOCK_SIZES):
+        f, g = F.ceil(first / size), F.floor((last + 1) / size) - 1
+        if level + 1 < len(BLOCK_SIZES):
+            up = BLOCK_SIZES[level + 1]
+            ratio = up // size
+            uf, ug = F.ceil(first / up), F.floor((last + 1) / up) - 1
+            spans += [(level, f, F.when(uf <= ug, uf * ratio - 1).otherwise(g)), (level, F.when(uf <= ug, (ug + 1) * ratio), g)]
+        else:
+            spans.append((level, f, g))
+    none = F.array().cast("array<bigint>")
+
+    def of_level(level):
+        return lambda x: F.struct(F.lit(level).alias("_lv"), x.alias("_gx"))
+    blocks = F.flatten(F.array(*[F.transform(F.when(f <= g, F.sequence(f, g)).otherwise(none), of_level(level))
+                                 for level, f, g in spans]))
+    boundary = F.array(F.struct(F.lit(0).alias("_lv"), F.col("_gx").alias("_gx")))
+    every = F.when(F.col("_odd") & (F.col("_next") > F.col("_gx") + 1), F.concat(boundary, blocks)).otherwise(boundary)
+    out = cells.select(*keys, "_gy", "_odd", F.col("_edges").alias("_own"), F.col("_gx").alias("_at"), F.explode(every).alias("_b"))
+    mine = (F.col("_b._lv") == 0) & (F.col("_b._gx") == F.col("_at"))
+    out = out.select(*keys, F.col("_b._lv").alias("_lv"), F.col("_b._gx").alias("_gx"), "_gy", "_odd",
+                     F.when(mine, F.col("_own")).otherwise(F.filter("_own", lambda e: F.lit(False))).alias("_edges"))
     if attrs is not None:
-        cells = cells.join(attrs, keys, "left")
-    return cells
+        out = out.join(attrs, keys, "left")
+    return out
+
+
+def row_line(c):
+    """Height of a grid row's test line: off any regular fraction of the cell."""
+    return (F.col("_gy") + F.lit(ROW_LINE)) * c
 
 
-def measured_bytes(cells: DataFrame) -> int:
+def measured_bytes(cells: DataFrame) -> tuple[int, list[int]]:
     """Size of a cell table measured from its data (one aggregate): fixed
-    width columns, string bytes and edge-array lengths."""
+    width columns, string bytes and edge-array lengths; and the block levels
+    in use."""
     fixed, strings = 0, []
     for f in cells.schema.fields:
         if f.name == "_edges":
@@ -107,8 +145,8 @@ def measured_bytes(cells: DataFrame) -> int:
     total = F.lit(ROW_BYTES + fixed) + F.lit(EDGE_BYTES) * F.size("_edges")
     for s_ in strings:
         total = total + s_
-    row = cells.agg(F.sum(total.cast("long")).alias("b")).first()
-    return int(row["b"] or 0)
+    row = cells.agg(F.sum(total.cast("long")).alias("b"), F.array_sort(F.collect_set("_lv")).alias("levels")).first()
+    return int(row["b"] or 0), list(row["levels"]) or [0]
 
 
 def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y: str = "y",
@@ -132,15 +170,22 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
         cell = suggest_cell_size(edges, keys)
     cells = cut_lineage(zone_cells(edges, keys, cell, attrs))
     limit = broadcast_threshold(cells.sparkSession) if broadcast_limit is None else broadcast_limit
-    if 0 <= measured_bytes(cells) <= limit:
+    size, levels = measured_bytes(cells)
+    if 0 <= size <= limit:
         cells = F.broadcast(cells)
     else:
         cells = cells.hint("shuffle_hash")
     c = F.lit(float(cell))
-    pts = points.withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
-    joined = pts.join(cells, ["_gx", "_gy"], "inner")
-    return joined.where(F.col("_inside") | point_in_edges(f"`{x}`", f"`{y}`", "_edges")) \
-        .drop("_gx", "_gy", "_edges", "_inside")
+    pts = (points.withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
+           .withColumn("_yc", row_line(c)))
+    if levels == [0]:
+        pts = pts.withColumn("_lv", F.lit(0))
+    else:       # at most four block sizes
+        pts = pts.withColumn("_lv", F.explode(F.lit(levels))) \
+                 .withColumn("_gx", F.floor(F.col("_gx") / F.pow(F.lit(16), F.col("_lv"))))
+    joined = pts.join(cells, ["_lv", "_gx", "_gy"], "inner")
+    return joined.where(point_in_cell(f"`{x}`", f"`{y}`", "_yc", "_odd", "_edges")) \
+        .drop("_lv", "_gx", "_gy", "_yc", "_edges", "_odd")
 
 
 def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
@@ -152,25 +197,28 @@ def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
     Vertices are found with a grid equi-join: an edge is listed in the cells
     of its bounding box (``cell`` about the edge length, so an edge covers a
     few cells), a vertex in the one cell that holds it; candidates meet only
-    within a (key, cell) and are tested exactly (zero cross product, strictly
-    between the end points).  Vertex and edge use the same ``floor(v / cell)``
-    mapping, so a vertex on a cell border is never missed."""
+    within a (key, cell) and are tested with a tolerance scaled to the edge's
+    length, strictly between its end points.  The cut is the vertex itself, so
+    both sides of a border get identical segments.  An edge's box is widened
+    by the tolerance, so a vertex on a cell border is never missed."""
     keys = list(keys)
     c = F.lit(float(cell))
     e = cut_lineage(edges.select(*keys, "x1", "y1", "x2", "y2")
-                    .withColumn("_eid", F.monotonically_increasing_id()))
+                    .withColumn("_eid", F.monotonically_increasing_id()).withColumn("_m", edge_tolerance()))
     verts = e.select(*keys, F.col("x1").alias("_vx"), F.col("y1").alias("_vy")).distinct()
-    ec = (e.withColumn("_gx", F.explode(F.sequence(F.floor(F.least("x1", "x2") / c),
-                                                   F.floor(F.greatest("x1", "x2") / c))))
-           .withColumn("_gy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / c),
-                                                   F.floor(F.greatest("y1", "y2") / c)))))
+    m = F.col("_m")
+    ec = (e.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("x1", "x2") - m) / c),
+                                                   F.floor((F.greatest("x1", "x2") + m) / c))))
+           .withColumn("_gy", F.explode(F.sequence(F.floor((F.least("y1", "y2") - m) / c),
+                                                   F.floor((F.greatest("y1", "y2") + m) / c)))))
     vc = verts.withColumn("_gx", F.floor(F.col("_vx") / c)).withColumn("_gy", F.floor(F.col("_vy") / c))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     cross = dx * (F.col("_vy") - F.col("y1")) - (F.col("_vx") - F.col("x1")) * dy
     along = (F.col("_vx") - F.col("x1")) * dx + (F.col("_vy") - F.col("y1")) * dy
     length2 = dx * dx + dy * dy
     hits = (ec.join(vc, [*keys, "_gx", "_gy"])
-              .where((cross == 0) & (along > 0) & (along < length2))
+              .where((F.abs(cross) <= m * F.sqrt(length2)) & (along > m * F.sqrt(length2))
+                     & (along < length2 - m * F.sqrt(length2)))
               .select("_eid", (along / length2).alias("_t"), "_vx", "_vy").distinct())
     cuts = hits.groupBy("_eid").agg(F.array_sort(F.collect_list(F.struct("_t", "_vx", "_vy"))).alias("_c"))
     point = "struct<_t:double,_vx:double,_vy:double>"
@@ -217,8 +265,9 @@ def dissolve(edges: DataFrame, keys, snap_digits: int | None = None,
 
 
 def edges_area(edges: DataFrame, keys) -> DataFrame:
-    """Shoelace area per key from directed edge rows (partial aggregation)."""
+    """Area per key from directed edge rows (trapezoids, partial aggregation): its
+    terms are as small as the edges, so little is lost far from the origin."""
     mult = F.col("mult") if "mult" in edges.columns else F.lit(1)
-    term = (F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) * mult
+    term = (F.col("x1") - F.col("x2")) * (F.col("y1") + F.col("y2")) * mult
     return edges.groupBy(*keys).agg((F.sum(term) / 2).alias("area"),
                                     F.count(F.lit(1)).alias("n_edges"))
