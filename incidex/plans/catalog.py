@@ -16,7 +16,7 @@ from ..operators.aggregate import pivot_counts, total_and_type_counts
 from ..operators.classify import classify
 from ..operators.columns import drop_suffix_columns, drop_void_columns
 from ..operators.dedup import keep_top_priority, union_sources
-from ..operators.logs import forward_fill, parse_log_lines, stage_metrics
+from ..operators.logs import LINE_ORDER, forward_fill, line_order, line_time, parse_log_lines, stage_metrics
 from ..operators.rates import rate_index
 from ..operators.rings import assemble_polygons, assemble_rings
 from ..operators.spatial import dissolve, edges_area, spatial_join, zone_edges
@@ -38,8 +38,7 @@ MAP_MUNICIPALITIES = ["3500003", "3500007", "3500011", "3500013", "3500002", "35
                       "3500009", "3500010", "3500012", "3500014", "3500016", "3500018", "3500007"]
 MAP_CITY = "3500007"
 MAP_AFTER_YEAR = 2021
-SECTOR_CELL = 1.0                # sectors are unit grid cells: the size the cell-size estimate
-                                 # gives; the layered run (etl.py) estimates it instead
+AREA_DIGITS = 9                  # square degrees, rounded for the comparison with SQL
 # ---------------------------------------------------------------------------
 
 
@@ -305,8 +304,8 @@ def log_stage_metrics(spark, sf):
 def _write_logs(spark, sf):
     """Events written as run-log text files (two runs, one folder each) in the
     shared folder.  Each run is a folder of sorted part files (no single
-    writer); readers order lines by their timestamps.  Times are written from
-    integer cents."""
+    writer).  Line times are whole hours, so many lines share one and their
+    order is that of the files.  Times are written from integer cents."""
     ev = T(spark, sf, "events")
     cents = F.round(F.col("value") * 100).cast("long")
     secs = F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
@@ -317,7 +316,7 @@ def _write_logs(spark, sf):
             .when(F.col("event_type") == "click", F.concat(F.lit("treat_data: "), secs))
             .when(F.col("event_type") == "purchase", F.concat(F.lit("write_data: "), secs))
             .otherwise(F.concat(F.lit("rows: "), F.col("user_id").cast("string"))))
-    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" - ETL - INFO - "), msg)
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:00:00"), F.lit(" - ETL - INFO - "), msg)
     root = shared_path(spark, "logs")
     for run in (1, 2):
         (ev.where(F.col("event_id") % 2 == run - 1).orderBy("ts", "event_id").select(line.alias("value"))
@@ -334,15 +333,16 @@ def log_scan(spark, sf):
         .withColumn("run", F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1))
     newest = readers.latest_file(lines, "run").select("run")            # one row
     lines = lines.join(newest, "run", "left_semi")
-    parsed = parse_log_lines(lines).withColumn("_ord", F.unix_micros(F.to_timestamp("log_time")))
-    m = stage_metrics(parsed, "_ord")
+    m = stage_metrics(line_order(parse_log_lines(lines)), LINE_ORDER)
+    m = m.withColumn("section_start", line_time("section_start"))
     times = ("read_time", "treat_time", "write_time", "test_time", "total_time")
     return m.select(*[F.round(c, 2).alias(c) if c in times else c for c in m.columns])
 
 
 def log_latest_file(spark, sf):
     root = _write_logs(spark, sf)
-    return readers.latest_file(readers.read_text_lines(spark, f"{root}/*_ETL"))
+    newest = readers.latest_file(readers.read_text_lines(spark, f"{root}/*_ETL"))
+    return newest.select(F.regexp_extract("file_path", r"(run\d+)_ETL", 1).alias("run"))
 
 
 # --------------------------------------------------------------- geometry --
@@ -360,7 +360,7 @@ def scan_zones(spark, sf):
 def zone_area_km2(spark, sf):
     z = fx.sector_parts(spark, sf).withColumn("rings", orient_rings("rings"))
     return z.select("CD_SETOR", "part",
-                    F.round(area_km2_mercator("rings"), 3).alias("area_km2"))
+                    F.round(area_km2_mercator("rings"), 6).alias("area_km2"))
 
 
 def reproject_mercator(spark, sf):
@@ -371,12 +371,13 @@ def reproject_mercator(spark, sf):
 
 
 def spatial_join_points_zones(spark, sf):
-    """Both point sets against the three zone shapes in one join: the shape is
+    """Both point sets against five zone shapes (one of them 1,500 times as
+    large as the others) in one join: the shape is
     part of the zone key, so cells, cell size and the join are built once."""
     pts = fx.point_sets(spark, sf)
     zones = fx.cells(spark, sf).select(
         "zone_id", F.explode(F.array(*[F.struct(F.lit(shape).alias("shape"), F.expr(fx.shape_rings(shape))
-                                                .alias("rings")) for shape in ("cell", "ell", "hole")]))
+                                                .alias("rings")) for shape in ("cell", "ell", "hole", "tri", "block")]))
         .alias("z")).select("z.shape", "zone_id", "z.rings")
     edges = zone_edges(zones, ["shape", "zone_id"])
     j = spatial_join(pts, edges, ["shape", "zone_id"], x="px", y="py")
@@ -392,15 +393,19 @@ def dissolve_boundary_edges(spark, sf):
 
 
 def dissolve_area(spark, sf):
-    return edges_area(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"])
+    return rounded(edges_area(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"]))
+
+
+def rounded(df):
+    return df.withColumn("area", F.round("area", AREA_DIGITS))
 
 
 def dissolve_rings(spark, sf):
     """Dissolved boundaries stitched into ordered rings; per group the vertex
     count and the shoelace area over the ring order."""
     rings = assemble_rings(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"])
-    return rings.groupBy("grp").agg(F.sum(F.size("vertices") - 1).alias("n_vertices"),
-                                    F.sum("area").alias("area"))
+    return rounded(rings.groupBy("grp").agg(F.sum(F.size("vertices") - 1).alias("n_vertices"),
+                                            F.sum("area").alias("area")))
 
 
 def dissolve_polygons(spark, sf):
@@ -409,13 +414,13 @@ def dissolve_polygons(spark, sf):
     polys = assemble_polygons(dissolve(_cell_edges(spark, sf), ["grp"]), ["grp"])
     n = F.aggregate(F.col("polygons"), F.lit(0).cast("long"), lambda acc, poly: acc + F.aggregate(
         poly, F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1))
-    return polys.select("grp", n.alias("n_vertices"), "area")
+    return rounded(polys.select("grp", n.alias("n_vertices"), "area"))
 
 
 def _shoelace(ring):
     """Signed area of a closed ring of [x, y] pairs (a Column of arrays)."""
     return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0.0),
-                       lambda acc, k: acc + ring[k - 1][0] * ring[k][1] - ring[k][0] * ring[k - 1][1]) / 2
+                       lambda acc, k: acc + (ring[k - 1][0] - ring[k][0]) * (ring[k - 1][1] + ring[k][1])) / 2
 
 
 def geojson_municipalities(spark, sf):
@@ -434,7 +439,8 @@ def geojson_municipalities(spark, sf):
     area = F.aggregate(coords, F.lit(0.0), lambda acc, poly: acc + F.aggregate(
         poly, F.lit(0.0), lambda a, r: a + _shoelace(r)))
     return f.select(F.col("properties.CD_MUN").alias("CD_MUN"), F.col("properties.NM_MUN").alias("NM_MUN"),
-                    F.col("geometry.type").alias("geometry_type"), n.alias("n_points"), area.alias("area"))
+                    F.col("geometry.type").alias("geometry_type"), n.alias("n_points"),
+                    F.round(area, AREA_DIGITS).alias("area"))
 
 
 def dissolve_t_junctions(spark, sf):
@@ -444,8 +450,8 @@ def dissolve_t_junctions(spark, sf):
     vertices first, so shared borders cancel; per municipality the boundary
     edge count and area."""
     parts = fx.sector_parts(spark, sf, whole_when=f"(c_custkey DIV {fx.GRID_WIDTH}) % 2 = 0")
-    edges = dissolve(zone_edges(parts.where(pl.in_state()), ["CD_MUN"]), ["CD_MUN"], split_cell=0.5)
-    return edges_area(edges, ["CD_MUN"]).select("CD_MUN", "n_edges", "area")
+    edges = dissolve(zone_edges(parts.where(pl.in_state()), ["CD_MUN"]), ["CD_MUN"], split_cell=0.001)
+    return rounded(edges_area(edges, ["CD_MUN"]).select("CD_MUN", "n_edges", "area"))
 
 
 def geojson_features_q(spark, sf):
@@ -460,7 +466,7 @@ def geojson_features_q(spark, sf):
     return f.select("properties.CD_SETOR", "properties.CD_MUN", "properties.part",
                     F.col("geometry.type").alias("geometry_type"), F.size(coords).alias("n_rings"),
                     F.aggregate(coords, F.lit(0), lambda acc, r: acc + F.size(r)).alias("n_points"),
-                    _shoelace(coords[0]).alias("area"))
+                    F.round(_shoelace(coords[0]), AREA_DIGITS).alias("area"))
 
 
 # -------------------------------------------------------------- pipeline --
@@ -503,17 +509,17 @@ def bronze_incremental(spark, sf):
 
 def silver_sector_geometry(spark, sf):
     geom, _ = pl.sector_geometry(fx.sector_parts(spark, sf))
-    return geom.select("ID_SC", "ID_MUN", "MUN", "STATE", F.round("AREA_KM2", 3).alias("AREA_KM2"), "n_edges")
+    return geom.select("ID_SC", "ID_MUN", "MUN", "STATE", F.round("AREA_KM2", 6).alias("AREA_KM2"), "n_edges")
 
 
 def silver_municipality_geometry(spark, sf):
     geom, _ = pl.municipality_geometry(fx.sector_parts(spark, sf))
-    return geom.select("ID_MUN", "MUN", "STATE", F.round("AREA_KM2", 2).alias("AREA_KM2"), "n_edges")
+    return geom.select("ID_MUN", "MUN", "STATE", F.round("AREA_KM2", 5).alias("AREA_KM2"), "n_edges")
 
 
 def join_zone_demographics(spark, sf):
     sectors, _ = _sector_tables(spark, sf)
-    return sectors.select("ID_SC", "ID_MUN", "MUN", "STATE", F.round("AREA_KM2", 3).alias("AREA_KM2"),
+    return sectors.select("ID_SC", "ID_MUN", "MUN", "STATE", F.round("AREA_KM2", 6).alias("AREA_KM2"),
                           "POP_TOTAL", "YEAR_INFO")
 
 
@@ -550,7 +556,7 @@ def _silver_incidents(spark, sf):
             lambda: source("vehicles", crime_type=pl.VEHICLE_TYPE),
             lambda: source("others", month="MES_ESTATISTICA", year="ANO_ESTATISTICA",
                            type_col="NATUREZA_APURADA"))
-        silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors, cell=SECTOR_CELL),
+        silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors),
                                 "silver_incidents", ["YEAR_INFO", "MONTH_INFO"], 10000)
         return silver, sectors
     return layer(spark, sf, "silver_incidents", ("lineitem", "customer", "nation"), build)
@@ -567,13 +573,13 @@ def gold_incidents(spark, sf):
 def gold_sector_rates(spark, sf):
     silver, sectors = _silver_incidents(spark, sf)
     return pl.sector_rates(silver, sectors.drop("n_edges")) \
-        .withColumn("AREA_KM2", F.round("AREA_KM2", 3))
+        .withColumn("AREA_KM2", F.round("AREA_KM2", 6))
 
 
 def gold_municipality_rates(spark, sf):
     silver, _ = _silver_incidents(spark, sf)
     return pl.municipality_rates(silver, _municipality_table(spark, sf).drop("n_edges")) \
-        .withColumn("AREA_KM2", F.round("AREA_KM2", 2))
+        .withColumn("AREA_KM2", F.round("AREA_KM2", 5))
 
 
 def map_extract_municipality(spark, sf):
@@ -607,7 +613,7 @@ def _map_layer(spark, extract: DataFrame, edges: DataFrame, zone_key: str, id_co
         poly, F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1))
     area = F.aggregate(coords, F.lit(0.0), lambda acc, poly: acc + F.aggregate(
         poly, F.lit(0.0), lambda a, r: a + _shoelace(r)))
-    return f.select("properties.*", n.alias("n_points"), area.alias("area"))
+    return f.select("properties.*", n.alias("n_points"), F.round(area, AREA_DIGITS).alias("area"))
 
 
 def map_layer_municipality(spark, sf):

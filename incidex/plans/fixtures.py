@@ -1,9 +1,10 @@
 """Inputs derived by Spark from the driver's tables, so every query's work
 grows with the data.  Each one stands for an input of the incident pipeline:
 
-* ``cells``          customers as unit squares on a 50-wide grid (zones)
-* ``point_sets``     events as points inside the grid (never on a border) and
-                     as points on vertical grid lines, from one scan
+* ``cells``          customers as small squares in blocks of 50 x 30, the blocks
+                     side by side over real longitudes and latitudes (zones)
+* ``point_sets``     events as points spread over all zones and as points on
+                     the zones' left sides, from one scan
 * ``incidents``      orders located at their customer's nation, typed by status
 * ``population``     customers per nation
 * ``sources``        lineitem rows as three prioritised sources (by return flag)
@@ -23,9 +24,16 @@ from pyspark.sql import functions as F
 from ..session import ensure_parallelism, table_path
 
 # --- fixed values -----------------------------------------------------------
-GRID_WIDTH = 50                 # cells per grid row
-POINT_X_MOD = 49999             # point x in thousandths, x < 50
-POINT_Y_MOD = 29989             # point y in thousandths, y < 30
+# Coordinates are whole units of 1/10,000 degree: a quotient of whole numbers is
+# the double that the decimal text of a coordinate gives, so equal vertices and
+# points on borders have equal bits.
+DEGREE = 10000                  # units per degree
+CELL = 20                       # units per cell side (0.002 degrees)
+GRID_WIDTH = 50                 # cells per row of a block
+BLOCK_CELLS = 1500              # cells per block (30 rows)
+BLOCKS_ACROSS = 1000            # blocks side by side, with gaps: 104 degrees of longitude
+PITCH_X, PITCH_Y = 1040, 640    # units from block to block
+WEST, SOUTH = -600000, -300000  # the first block's corner
 STATE_CODE = 35
 MUNICIPALITY_PREFIX = "35"
 STREETS = ("Rua São João", "Avenida Paulista", "Praça da Sé", "Rua Açaí", "Alameda Santos")
@@ -33,7 +41,7 @@ DISTRICTS = ("Centro", "Jardim Ângela", "Vila Mariana", "Mooca")
 REDACTED = "VEDAÇÃO DA DIVULGAÇÃO DOS DADOS RELATIVOS"
 OTHER_TYPES = ("ROUBO DE VEÍCULO", "Furto de veículo", "HOMICÍDIO DOLOSO",
                "LESÃO CORPORAL DOLOSA", "TRÁFICO DE ENTORPECENTES", "ROUBO - OUTROS",
-               "FURTO DE CARGA")
+               "EXTRAVIO DE CARGA")   # the last one is in no list of types
 CELLPHONE_TYPE = "FURTO ROUBO DE CELULAR"
 VEHICLE_TYPE = "FURTO ROUBO DE VEICULO"
 # ---------------------------------------------------------------------------
@@ -50,23 +58,48 @@ def _sql_list(values) -> str:
 def cells(spark, sf_dir) -> DataFrame:
     return ensure_parallelism(table(spark, sf_dir, "customer")).selectExpr(
         "c_custkey AS zone_id", "c_nationkey AS grp",
-        f"CAST(c_custkey % {GRID_WIDTH} AS DOUBLE) AS x",
-        f"CAST(c_custkey DIV {GRID_WIDTH} AS DOUBLE) AS y")
+        f"{lon_units('c_custkey')} AS ux", f"{lat_units('c_custkey')} AS uy")
+
+
+def lon_units(key: str, div: str = "DIV") -> str:
+    """SQL for the left side of cell ``key`` in units (``div``: the dialect's
+    whole-number division)."""
+    return (f"({WEST} + (({key}) {div} {BLOCK_CELLS}) % {BLOCKS_ACROSS} * {PITCH_X} "
+            f"+ ({key}) % {GRID_WIDTH} * {CELL})")
+
+
+def lat_units(key: str, div: str = "DIV") -> str:
+    """SQL for the lower side of cell ``key`` in units."""
+    return (f"({SOUTH} + (({key}) {div} {BLOCK_CELLS * BLOCKS_ACROSS}) * {PITCH_Y} "
+            f"+ ((({key}) % {BLOCK_CELLS}) {div} {GRID_WIDTH}) * {CELL})")
+
+
+def degrees(units: str) -> str:
+    return f"(CAST({units} AS DOUBLE) / {DEGREE})"
+
+
+def ring_sql(points) -> str:
+    """SQL for a ring at (ux, uy) from points in units."""
+    return "array(" + ", ".join(f"named_struct('x', {degrees(f'ux + {a}')}, 'y', {degrees(f'uy + {b}')})"
+                                for a, b in points) + ")"
 
 
 def shape_rings(shape: str) -> str:
-    """SQL for the rings of a zone of the given shape anchored at (x, y)."""
-    def ring(pts):
-        return "array(" + ", ".join(
-            f"named_struct('x', x + {px}D, 'y', y + {py}D)" for px, py in pts) + ")"
-    square = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+    """SQL for the rings of a zone of the given shape anchored at (ux, uy).
+    ``tri`` has a diagonal side; ``block`` is a diamond as large as a whole
+    block of cells, one a block."""
+    square = [(0, 0), (20, 0), (20, 20), (0, 20), (0, 0)]
     if shape == "cell":
-        return f"array({ring(square)})"
+        return f"array({ring_sql(square)})"
     if shape == "ell":
-        return f"array({ring([(0, 0), (1, 0), (1, 0.5), (0.5, 0.5), (0.5, 1), (0, 1), (0, 0)])})"
+        return f"array({ring_sql([(0, 0), (20, 0), (20, 10), (10, 10), (10, 20), (0, 20), (0, 0)])})"
     if shape == "hole":
-        inner = [(0.25, 0.25), (0.25, 0.75), (0.75, 0.75), (0.75, 0.25), (0.25, 0.25)]
-        return f"array({ring(square)}, {ring(inner)})"
+        return f"array({ring_sql(square)}, {ring_sql([(5, 5), (5, 15), (15, 15), (15, 5), (5, 5)])})"
+    if shape == "tri":
+        return f"array({ring_sql([(0, 0), (20, 0), (0, 20), (0, 0)])})"
+    if shape == "block":
+        return (f"CASE WHEN zone_id % {BLOCK_CELLS} = 0 THEN "
+                f"array({ring_sql([(0, 300), (500, 0), (1000, 300), (500, 600), (0, 300)])}) END")
     raise ValueError(shape)
 
 
@@ -84,12 +117,15 @@ def point_sets(spark, sf_dir) -> DataFrame:
 
 
 def points_sql():
-    return (f"CAST(event_id * 7919 % {POINT_X_MOD} AS DOUBLE) / 1000 + 0.0005",
-            f"CAST(event_id * 104729 % {POINT_Y_MOD} AS DOUBLE) / 1000 + 0.0005")
+    """Points over all cells (customers are 3 to 20 events)."""
+    key = "event_id * 3 DIV 20"
+    return (degrees(f"{lon_units(key)} + 1 + event_id * 7919 % 19"),
+            degrees(f"{lat_units(key)} + 1 + event_id * 104729 % 19"))
 
 
 def border_points_sql():
-    return f"CAST(event_id % {GRID_WIDTH + 1} AS DOUBLE)", "CAST(event_id % 30 AS DOUBLE) + 0.5"
+    key = "event_id * 3 DIV 20"
+    return degrees(lon_units(key)), degrees(f"{lat_units(key)} + event_id % 21")
 
 
 def incidents(spark, sf_dir) -> DataFrame:
@@ -157,8 +193,8 @@ def sector_demo(spark, sf_dir) -> DataFrame:
 
 
 def sector_parts(spark, sf_dir, whole_when: str | None = None) -> DataFrame:
-    """Two parts per sector: left and right half of its grid cell.  Sectors
-    matching the SQL predicate ``whole_when`` (over ``c_custkey``) are one
+    """Two parts per sector: left and right half of its grid cell, or (every
+    third sector) the halves below and above its diagonal.  Sectors matching the SQL predicate ``whole_when`` (over ``c_custkey``) are one
     whole-cell part instead, so their sides meet split neighbours at
     T-junctions."""
     c = ensure_parallelism(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
@@ -169,31 +205,41 @@ def sector_parts(spark, sf_dir, whole_when: str | None = None) -> DataFrame:
         "n_name AS NM_MUN",
         "CASE c_custkey % 5 WHEN 0 THEN '35' WHEN 1 THEN '035' WHEN 2 THEN ' 35' "
         "WHEN 3 THEN '35.0' ELSE '33' END AS CD_UF",
-        f"CAST(c_custkey % {GRID_WIDTH} AS DOUBLE) AS x",
-        f"CAST(c_custkey DIV {GRID_WIDTH} AS DOUBLE) AS y",
-        f"{whole_when or 'FALSE'} AS _whole")
+        f"{lon_units('c_custkey')} AS ux", f"{lat_units('c_custkey')} AS uy",
+        "c_custkey % 3 = 0 AS _diagonal", f"{whole_when or 'FALSE'} AS _whole")
 
     def half(x0, x1):
-        pts = [(x0, 0), (x1, 0), (x1, 1), (x0, 1), (x0, 0)]
-        return "array(array(" + ", ".join(
-            f"named_struct('x', x + {a}D, 'y', y + {b}D)" for a, b in pts) + "))"
-    parts = F.when(F.col("_whole"), F.array(F.struct(F.lit(1).alias("part"), F.expr(half(0, 1)).alias("rings")))) \
-        .otherwise(F.array(F.struct(F.lit(1).alias("part"), F.expr(half(0, 0.5)).alias("rings")),
-                           F.struct(F.lit(2).alias("part"), F.expr(half(0.5, 1)).alias("rings"))))
+        return f"array({ring_sql([(x0, 0), (x1, 0), (x1, 20), (x0, 20), (x0, 0)])})"
+
+    def parts_of(*rings):
+        return F.array(*[F.struct(F.lit(i + 1).alias("part"), F.expr(r).alias("rings")) for i, r in enumerate(rings)])
+    below = f"array({ring_sql([(0, 0), (10, 0), (20, 0), (20, 20), (0, 0)])})"
+    above = f"array({ring_sql([(0, 0), (20, 20), (10, 20), (0, 20), (0, 0)])})"
+    parts = (F.when(F.col("_whole"), parts_of(half(0, 20))).when(F.col("_diagonal"), parts_of(below, above))
+             .otherwise(parts_of(half(0, 10), half(10, 20))))
     return base.select("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", F.explode(parts).alias("p")) \
         .select("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", "p.part", "p.rings")
 
 
-def _coord_text(k: str, mod: int) -> str:
-    """Coordinate text of an order in one of three forms, all meaning the same
-    number (thousandths + 0.0005): dotted, digits only, space padded."""
-    v = f"(l_orderkey * {k} % {mod})"
-    dotted = f"concat(CAST({v} DIV 1000 AS STRING), '.', lpad(CAST({v} % 1000 AS STRING), 3, '0'), '5')"
-    digits = f"concat(lpad(CAST({v} AS STRING), 5, '0'), '5')"
+def coord_text(units: str, div: str = "DIV", text: str = "STRING") -> str:
+    """SQL for the coordinate text of an order in one of three forms, all
+    meaning the same number: dotted, without the point, space padded."""
+    sign = f"CASE WHEN {units} < 0 THEN '-' ELSE '' END"
+    whole = f"CAST(abs({units}) {div} {DEGREE} AS {text})"
+    dotted = f"concat({sign}, {whole}, '.', lpad(CAST(abs({units}) % {DEGREE} AS {text}), 4, '0'))"
+    digits = f"concat({sign}, CAST(abs({units}) AS {text}))"
     return (f"CASE l_orderkey % 3 WHEN 0 THEN {dotted} WHEN 1 THEN {digits} "
             f"ELSE concat(' ', {dotted}, ' ') END")
 
 
+def incident_units(div: str = "DIV") -> tuple[str, str]:
+    """Longitude and latitude of an order's incidents in units: ten orders a
+    cell, some on its sides and corners."""
+    key = f"(l_orderkey {div} 10)"
+    return (f"({lon_units(key, div)} + l_orderkey * 7919 % {CELL + 1})",
+            f"({lat_units(key, div)} + l_orderkey * 104729 % {CELL + 1})")
+
+
 def raw_incidents(spark, sf_dir, source: str) -> DataFrame:
     """Landing records of one source ('cellphones' R, 'vehicles' A, 'others' N)."""
     flag = {"cellphones": "R", "vehicles": "A", "others": "N"}[source]
@@ -206,8 +252,8 @@ def raw_incidents(spark, sf_dir, source: str) -> DataFrame:
         "CAST(l_orderkey % 1000 AS STRING) AS NUMERO_LOGRADOURO",
         f"try_element_at(array({_sql_list(DISTRICTS)}), CAST(l_orderkey % 4 + 1 AS INT)) AS BAIRRO",
         f"CASE WHEN l_suppkey % 50 = 0 THEN '0' WHEN l_suppkey % 50 = 1 THEN NULL "
-        f"ELSE {_coord_text('104729', POINT_Y_MOD)} END AS LATITUDE",
-        f"{_coord_text('7919', POINT_X_MOD)} AS LONGITUDE",
+        f"ELSE {coord_text(incident_units()[1])} END AS LATITUDE",
+        f"{coord_text(incident_units()[0])} AS LONGITUDE",
         "CASE WHEN l_orderkey % 4 = 0 THEN "
         "concat(lpad(CAST(1 + l_orderkey % 28 AS STRING), 2, '0'), '/', "
         "lpad(CAST(1 + l_orderkey % 12 AS STRING), 2, '0'), '/', CAST(2015 + l_orderkey % 10 AS STRING)) "

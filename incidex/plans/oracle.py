@@ -51,8 +51,15 @@ def merc_y(y: str) -> str:
     return f"({R} * ln(tan(pi() / 4 + radians({y}) / 2)))"
 
 
-def cell_area_km2(y: str, width: str) -> str:
-    return f"(({R} * radians({width})) * ({merc_y(f'({y}) + 1')} - {merc_y(y)}) / 1000000.0)"
+def cell_area_km2(uy: str, width: str) -> str:
+    """Mercator area of a cell row from ``uy`` (units), ``width`` in units."""
+    return (f"(({R} * radians({fx.degrees(width)})) * ({merc_y(fx.degrees(f'({uy}) + 20'))} - {merc_y(fx.degrees(uy))}) "
+            f"/ 1000000.0)")
+
+
+def area_deg2(cells: str, per_cell: int = 4) -> str:
+    """Square degrees of cells (4 / 1,000,000 each)."""
+    return f"CAST({per_cell} * {cells} AS DOUBLE) / 1000000"
 
 
 INC = ("SELECT c_nationkey AS zone_id, CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderkey AS id, "
@@ -69,8 +76,9 @@ SOURCES = ("SELECT l_orderkey AS id, l_linestatus AS ty, l_linenumber AS ln, "
            "CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS priority "
            "FROM lineitem WHERE l_returnflag IN ('R', 'A', 'N')")
 GW = fx.GRID_WIDTH
-CELLS = (f"SELECT c_custkey AS zone_id, c_nationkey AS grp, CAST(c_custkey % {GW} AS DOUBLE) AS x, "
-         f"CAST(c_custkey // {GW} AS DOUBLE) AS y FROM customer")
+BC = fx.BLOCK_CELLS
+LON, LAT = fx.lon_units("c_custkey", "//"), fx.lat_units("c_custkey", "//")
+CELLS = f"SELECT c_custkey AS zone_id, c_nationkey AS grp, {LON} AS ux, {LAT} AS uy FROM customer"
 DIRTY = fx.DIRTY_COORD_SQL.replace("STRING", "VARCHAR")
 DIRTY_LAT = DIRTY.replace("event_id", "(event_id + 3)")
 
@@ -104,14 +112,6 @@ REGION_POP = (f"SELECT n_regionkey AS region_id, CAST(sum(pop) AS INTEGER) AS po
 
 
 # ---------------------------------------------------------- incident world --
-def coord_text(k: str, mod: int) -> str:
-    v = f"(l_orderkey * {k} % {mod})"
-    dotted = f"concat(CAST({v} // 1000 AS VARCHAR), '.', lpad(CAST({v} % 1000 AS VARCHAR), 3, '0'), '5')"
-    digits = f"concat(lpad(CAST({v} AS VARCHAR), 5, '0'), '5')"
-    return (f"CASE l_orderkey % 3 WHEN 0 THEN {dotted} WHEN 1 THEN {digits} "
-            f"ELSE concat(' ', {dotted}, ' ') END")
-
-
 def raw_sql(source: str) -> str:
     flag = {"cellphones": "R", "vehicles": "A", "others": "N"}[source]
     month, year = ("MES_ESTATISTICA", "ANO_ESTATISTICA") if source == "others" else ("MES", "ANO")
@@ -122,8 +122,8 @@ def raw_sql(source: str) -> str:
         "CAST(l_orderkey % 1000 AS VARCHAR) AS NUMERO_LOGRADOURO",
         f"{lst(fx.DISTRICTS)}[l_orderkey % 4 + 1] AS BAIRRO",
         f"CASE WHEN l_suppkey % 50 = 0 THEN '0' WHEN l_suppkey % 50 = 1 THEN NULL "
-        f"ELSE {coord_text('104729', fx.POINT_Y_MOD)} END AS LATITUDE",
-        f"{coord_text('7919', fx.POINT_X_MOD)} AS LONGITUDE",
+        f"ELSE {fx.coord_text(fx.incident_units('//')[1], '//', 'VARCHAR')} END AS LATITUDE",
+        f"{fx.coord_text(fx.incident_units('//')[0], '//', 'VARCHAR')} AS LONGITUDE",
         "CASE WHEN l_orderkey % 4 = 0 THEN "
         "lpad(CAST(1 + l_orderkey % 28 AS VARCHAR), 2, '0') || '/' || "
         "lpad(CAST(1 + l_orderkey % 12 AS VARCHAR), 2, '0') || '/' || CAST(2015 + l_orderkey % 10 AS VARCHAR) "
@@ -164,8 +164,8 @@ def silver_source_sql(source: str) -> str:
 
 SECTORS = (f"SELECT '35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS ID_SC, "
            f"'35' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS ID_MUN, n_name AS MUN, 'SP' AS STATE, "
-           f"{cell_area_km2(f'CAST(c_custkey // {GW} AS DOUBLE)', '1.0')} AS AREA_KM2, "
-           f"CAST(c_custkey % {GW} AS DOUBLE) AS cx, CAST(c_custkey // {GW} AS DOUBLE) AS cy, "
+           f"{cell_area_km2(LAT, '20')} AS AREA_KM2, {fx.degrees(LON)} AS cx0, {fx.degrees(LON + ' + 20')} AS cx1, "
+           f"{fx.degrees(LAT)} AS cy0, {fx.degrees(LAT + ' + 20')} AS cy1, "
            f"CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(floor(c_acctbal) AS INTEGER) END AS POP_TOTAL, "
            f"c_custkey, c_nationkey "
            f"FROM customer JOIN nation ON c_nationkey = n_nationkey "
@@ -190,7 +190,7 @@ def silver_incidents_sql() -> str:
             f"i.NEIGHBORHOOD, i.DAY_INFO, i.MONTH_INFO, i.YEAR_INFO, s.ID_SC, s.ID_MUN, s.MUN, s.STATE, "
             f"i.x, i.y, upper(replace(i.CRIMINAL_CLASS, ' ', '_')) AS CRIMINAL_CLASS_TREATED, "
             f"i.CRIMINAL_TYPE_TREATED FROM ({cls}) i JOIN ({SECTORS}) s "
-            f"ON i.x BETWEEN s.cx AND s.cx + 1 AND i.y BETWEEN s.cy AND s.cy + 1")
+            f"ON i.x BETWEEN s.cx0 AND s.cx1 AND i.y BETWEEN s.cy0 AND s.cy1")
 
 
 def gold_incidents_sql() -> str:
@@ -219,8 +219,8 @@ def zone_rates_sql(zone: str, zones: str, base: int, key: str) -> str:
             f"FROM ({zones}) z JOIN ({cnt}) c ON z.{zone} = c.{zone}")
 
 
-SECTOR_ZONES = "SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 3) AS AREA_KM2, POP_TOTAL FROM (" + SECTORS + ")"
-MUN_ZONES = (f"SELECT ID_MUN, any_value(MUN) AS MUN, 'SP' AS STATE, round(sum(AREA_KM2), 2) AS AREA_KM2, "
+SECTOR_ZONES = "SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 6) AS AREA_KM2, POP_TOTAL FROM (" + SECTORS + ")"
+MUN_ZONES = (f"SELECT ID_MUN, any_value(MUN) AS MUN, 'SP' AS STATE, round(sum(AREA_KM2), 5) AS AREA_KM2, "
              f"CAST(sum(POP_TOTAL) AS INTEGER) AS POP_TOTAL FROM ({SECTORS}) GROUP BY ID_MUN")
 
 
@@ -246,8 +246,8 @@ def mun_edges_sql() -> str:
         f"WHERE CAST(try_cast({UF} AS DOUBLE) AS INTEGER) = 35"
     sides = (f"SELECT grp, k - 1 AS nb, x > 0 AS has, 1 AS n FROM s UNION ALL "
              f"SELECT grp, k + 1, x < {GW - 1}, 1 FROM s UNION ALL "
-             f"SELECT grp, k - {GW}, k >= {GW}, 2 FROM s UNION ALL "
-             f"SELECT grp, k + {GW}, TRUE, 2 FROM s")
+             f"SELECT grp, k - {GW}, k % {BC} >= {GW}, 2 FROM s UNION ALL "
+             f"SELECT grp, k + {GW}, k % {BC} < {BC - GW}, 2 FROM s")
     return (f"WITH s AS ({s}), e AS ({sides}) SELECT e.grp, CAST(sum(e.n) AS BIGINT) AS n_edges FROM e "
             f"LEFT JOIN s n ON e.has AND n.k = e.nb AND n.grp = e.grp WHERE n.k IS NULL GROUP BY e.grp")
 
@@ -263,36 +263,44 @@ def t_junction_edges_sql() -> str:
     half = f"CASE WHEN (k // {GW}) % 2 = 0 THEN 1 ELSE 2 END"
     sides = (f"SELECT grp, k - 1 AS nb, x > 0 AS has, 1 AS n FROM s UNION ALL "
              f"SELECT grp, k + 1, x < {GW - 1}, 1 FROM s UNION ALL "
-             f"SELECT grp, k - {GW}, k >= {GW}, {half} FROM s UNION ALL "
-             f"SELECT grp, k + {GW}, TRUE, {half} FROM s")
+             f"SELECT grp, k - {GW}, k % {BC} >= {GW}, {half} FROM s UNION ALL "
+             f"SELECT grp, k + {GW}, k % {BC} < {BC - GW}, {half} FROM s")
     return (f"WITH s AS ({s}), e AS ({sides}) SELECT e.grp, CAST(sum(e.n) AS BIGINT) AS n_edges FROM e "
             f"LEFT JOIN s n ON e.has AND n.k = e.nb AND n.grp = e.grp WHERE n.k IS NULL GROUP BY e.grp")
 
 
 def cell_edges_sql() -> str:
-    sides = ("SELECT grp, x AS x1, y AS y1, x + 1 AS x2, y AS y2, k - 50 AS nb, k >= 50 AS has FROM c "
-             "UNION ALL SELECT grp, x + 1, y, x + 1, y + 1, k + 1, x < 49 FROM c "
-             "UNION ALL SELECT grp, x + 1, y + 1, x, y + 1, k + 50, TRUE FROM c "
-             "UNION ALL SELECT grp, x, y + 1, x, y, k - 1, x > 0 FROM c").replace("50", str(GW)) \
-        .replace("49", str(GW - 1))
-    return (f"WITH c AS (SELECT zone_id AS k, grp, x, y FROM ({CELLS})), e AS ({sides}) "
+    def side(x1, y1, x2, y2, nb, has):
+        ends = ", ".join(f"{fx.degrees(f'u{v[0]} + {v[1:]}')} AS {n}" for v, n in
+                         ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2")))
+        return f"SELECT grp, {ends}, {nb} AS nb, {has} AS has FROM c"
+    sides = " UNION ALL ".join([
+        side("x0", "y0", "x20", "y0", f"k - {GW}", f"k % {BC} >= {GW}"),
+        side("x20", "y0", "x20", "y20", "k + 1", f"k % {GW} < {GW - 1}"),
+        side("x20", "y20", "x0", "y20", f"k + {GW}", f"k % {BC} < {BC - GW}"),
+        side("x0", "y20", "x0", "y0", "k - 1", f"k % {GW} > 0")])
+    return (f"WITH c AS (SELECT zone_id AS k, grp, ux, uy FROM ({CELLS})), e AS ({sides}) "
             f"SELECT e.grp, e.x1, e.y1, e.x2, e.y2 FROM e "
             f"LEFT JOIN c n ON e.has AND n.k = e.nb AND n.grp = e.grp WHERE n.k IS NULL")
 
 
 def spatial_sql() -> str:
-    pts = (f"SELECT 'interior' AS pointset, event_id, "
-           f"CAST(event_id * 7919 % {fx.POINT_X_MOD} AS DOUBLE) / 1000 + 0.0005 AS px, "
-           f"CAST(event_id * 104729 % {fx.POINT_Y_MOD} AS DOUBLE) / 1000 + 0.0005 AS py FROM events "
-           f"UNION ALL SELECT 'border', event_id, CAST(event_id % {GW + 1} AS DOUBLE), "
-           f"CAST(event_id % 30 AS DOUBLE) + 0.5 FROM events")
-    cell = "px BETWEEN x AND x + 1 AND py BETWEEN y AND y + 1"
-    ell = ("((px BETWEEN x AND x + 1 AND py BETWEEN y AND y + 0.5) OR "
-           "(px BETWEEN x AND x + 0.5 AND py BETWEEN y AND y + 1))")
-    hole = (f"{cell} AND NOT (px > x + 0.25 AND px < x + 0.75 AND py > y + 0.25 AND py < y + 0.75)")
+    """Points and zones in whole units, so that borders are exact."""
+    key = "event_id * 3 // 20"
+    lon, lat = fx.lon_units(key, "//"), fx.lat_units(key, "//")
+    pts = (f"SELECT 'interior' AS pointset, event_id, {lon} + 1 + event_id * 7919 % 19 AS px, "
+           f"{lat} + 1 + event_id * 104729 % 19 AS py FROM events "
+           f"UNION ALL SELECT 'border', event_id, {lon}, {lat} + event_id % 21 FROM events")
+    cell = "px BETWEEN ux AND ux + 20 AND py BETWEEN uy AND uy + 20"
+    ell = ("((px BETWEEN ux AND ux + 20 AND py BETWEEN uy AND uy + 10) OR "
+           "(px BETWEEN ux AND ux + 10 AND py BETWEEN uy AND uy + 20))")
+    hole = f"{cell} AND NOT (px > ux + 5 AND px < ux + 15 AND py > uy + 5 AND py < uy + 15)"
+    tri = f"{cell} AND px - ux + py - uy <= 20"
+    block = (f"zone_id % {BC} = 0 AND px BETWEEN ux AND ux + 1000 AND py BETWEEN uy AND uy + 600 "
+             f"AND 3 * abs(px - ux - 500) + 5 * abs(py - uy - 300) <= 1500")
     return " UNION ALL ".join(
         f"SELECT '{name}' AS shape, pointset, event_id, zone_id FROM ({pts}) p JOIN ({CELLS}) c ON {cond}"
-        for name, cond in (("cell", cell), ("ell", ell), ("hole", hole)))
+        for name, cond in (("cell", cell), ("ell", ell), ("hole", hole), ("tri", tri), ("block", block)))
 
 
 def build() -> dict[str, str]:
@@ -409,54 +417,58 @@ def build() -> dict[str, str]:
         "coalesce(max_by(cents, event_id) FILTER (WHERE event_type = 'error'), 0) AS test_cents "
         "FROM f WHERE section IS NOT NULL GROUP BY section) "
         "SELECT *, read_cents + treat_cents + write_cents AS total_cents FROM m")
+    s["log_latest_file"] = "SELECT 'run' || CAST(1 + max(event_id % 2) AS VARCHAR) AS run FROM events"
     s["log_scan"] = (
-        "WITH l AS (SELECT epoch_us(ts) AS o, event_type, user_id, CAST(round(value * 100) AS BIGINT) AS cents "
-        "FROM events WHERE event_id % 2 = 1), "
+        "WITH l AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS o, epoch_us(date_trunc('hour', ts)) AS t, "
+        "event_type, user_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_id % 2 = 1), "
         "f AS (SELECT *, max(CASE WHEN event_type = 'signup' THEN o END) OVER "
         "(ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sec FROM l), "
-        "t AS (SELECT o AS sec, 'table_' || CAST(user_id AS VARCHAR) AS table_name FROM l "
+        "t AS (SELECT o AS sec, t AS start, 'table_' || CAST(user_id AS VARCHAR) AS table_name FROM l "
         "WHERE event_type = 'signup'), "
-        "m AS (SELECT f.sec, t.table_name, "
+        "m AS (SELECT f.sec, t.start, t.table_name, "
         "coalesce(sum(cents) FILTER (WHERE event_type = 'view'), 0) AS rc, "
         "coalesce(max_by(cents, o) FILTER (WHERE event_type = 'click'), 0) AS tc, "
         "coalesce(max_by(cents, o) FILTER (WHERE event_type = 'purchase'), 0) AS wc, "
         "coalesce(max_by(user_id, o) FILTER (WHERE event_type NOT IN ('signup', 'view', 'click', 'purchase')), 0) "
-        "AS row_count FROM f JOIN t ON f.sec = t.sec GROUP BY f.sec, t.table_name) "
+        "AS row_count FROM f JOIN t ON f.sec = t.sec GROUP BY f.sec, t.start, t.table_name) "
         "SELECT table_name, 'SILVER' AS level, round(rc / 100.0, 2) AS read_time, round(tc / 100.0, 2) AS treat_time, "
         "round(wc / 100.0, 2) AS write_time, CAST(0 AS DOUBLE) AS test_time, CAST(row_count AS BIGINT) AS row_count, "
-        "round((rc + tc + wc) / 100.0, 2) AS total_time, sec AS section_start FROM m")
-    parts = (f"SELECT '35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, p.part, "
-             f"CAST(c_custkey % {GW} AS DOUBLE) AS x, CAST(c_custkey // {GW} AS DOUBLE) AS y, p.dx "
-             f"FROM customer, (SELECT 1 AS part, 0.0 AS dx UNION ALL SELECT 2, 0.5) p")
-    s["scan_zones"] = (f"SELECT CD_SETOR, part, 1 AS n_rings, 5 AS n_points, x + dx AS x0, y AS y0, "
-                       f"x + dx + 0.5 AS x1, y + 1 AS y1 FROM ({parts})")
-    s["zone_area_km2"] = (f"SELECT CD_SETOR, part, round({cell_area_km2('y', '0.5')}, 3) AS area_km2 "
+        "round((rc + tc + wc) / 100.0, 2) AS total_time, start AS section_start FROM m")
+    diagonal = "c_custkey % 3 = 0"
+    parts = (f"SELECT '35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, p.part, {LAT} AS uy, "
+             f"{LON} + CASE WHEN {diagonal} THEN 0 ELSE p.dx END AS ua, "
+             f"{LON} + CASE WHEN {diagonal} THEN 20 ELSE p.dx + 10 END AS ub "
+             f"FROM customer, (SELECT 1 AS part, 0 AS dx UNION ALL SELECT 2, 10) p")
+    x0, x1, y0, y1 = (fx.degrees(u) for u in ("ua", "ub", "uy", "uy + 20"))
+    s["scan_zones"] = (f"SELECT CD_SETOR, part, 1 AS n_rings, 5 AS n_points, {x0} AS x0, {y0} AS y0, "
+                       f"{x1} AS x1, {y1} AS y1 FROM ({parts})")
+    s["zone_area_km2"] = (f"SELECT CD_SETOR, part, round({cell_area_km2('uy', '10')}, 6) AS area_km2 "
                           f"FROM ({parts})")
     s["reproject_mercator"] = (
-        f"SELECT CD_SETOR, part, round({R} * radians(x + dx), 3) + 0.0 AS x0m, round({merc_y('y')}, 3) + 0.0 AS y0m, "
-        f"round({R} * radians(x + dx + 0.5), 3) + 0.0 AS x1m, round({merc_y('y + 1')}, 3) + 0.0 AS y1m "
+        f"SELECT CD_SETOR, part, round({R} * radians({x0}), 3) + 0.0 AS x0m, round({merc_y(y0)}, 3) + 0.0 AS y0m, "
+        f"round({R} * radians({x1}), 3) + 0.0 AS x1m, round({merc_y(y1)}, 3) + 0.0 AS y1m "
         f"FROM ({parts})")
     s["spatial_join_points_zones"] = spatial_sql()
     s["dissolve_boundary_edges"] = cell_edges_sql()
-    s["dissolve_area"] = (f"SELECT c.grp, CAST(count(*) AS DOUBLE) AS area, "
+    s["dissolve_area"] = (f"SELECT c.grp, {area_deg2("count(*)")} AS area, "
                           f"(SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) AS n_edges "
                           f"FROM ({CELLS}) c GROUP BY c.grp")
     s["dissolve_rings"] = (f"SELECT c.grp, (SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) "
-                           f"AS n_vertices, CAST(count(*) AS DOUBLE) AS area FROM ({CELLS}) c GROUP BY c.grp")
+                           f"AS n_vertices, {area_deg2("count(*)")} AS area FROM ({CELLS}) c GROUP BY c.grp")
     s["dissolve_polygons"] = s["dissolve_rings"]
     s["dissolve_t_junctions"] = (
         f"SELECT '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') AS CD_MUN, e.n_edges, "
-        f"CAST(c.cnt AS DOUBLE) AS area FROM ({t_junction_edges_sql()}) e "
+        f"{area_deg2("c.cnt")} AS area FROM ({t_junction_edges_sql()}) e "
         f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
         f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp")
     part_cols = ("'35' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CD_SETOR, "
                  "'35' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS CD_MUN")
     s["geojson_features"] = " UNION ALL ".join(
         f"SELECT {part_cols}, {k} AS part, 'Polygon' AS geometry_type, 1 AS n_rings, 5 AS n_points, "
-        f"CAST(0.5 AS DOUBLE) AS area FROM customer JOIN nation ON c_nationkey = n_nationkey" for k in (1, 2))
+        f"{area_deg2("1", 2)} AS area FROM customer JOIN nation ON c_nationkey = n_nationkey" for k in (1, 2))
     s["geojson_municipalities"] = (
         f"SELECT '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') AS CD_MUN, n.n_name AS NM_MUN, "
-        f"'MultiPolygon' AS geometry_type, e.n_edges AS n_points, CAST(c.cnt AS DOUBLE) AS area "
+        f"'MultiPolygon' AS geometry_type, e.n_edges AS n_points, {area_deg2("c.cnt")} AS area "
         f"FROM ({mun_edges_sql()}) e JOIN nation n ON n.n_nationkey = e.grp "
         f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
         f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp")
@@ -467,12 +479,12 @@ def build() -> dict[str, str]:
         "coalesce(DATA_OCORRENCIA_BO, 'x'), coalesce(MES, 'x'), coalesce(ANO, 'x'))) AS ID, "
         f"try_cast(ANO AS INTEGER) AS YEAR_INFO FROM ({raw_c})")
     s["bronze_incremental"] = s["bronze_table"]
-    s["silver_sector_geometry"] = ("SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 3) AS AREA_KM2, "
+    s["silver_sector_geometry"] = ("SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 6) AS AREA_KM2, "
                                    f"CAST(6 AS BIGINT) AS n_edges FROM ({SECTORS})")
     s["silver_municipality_geometry"] = (
         f"SELECT z.ID_MUN, z.MUN, z.STATE, z.AREA_KM2, e.n_edges FROM ({MUN_ZONES}) z "
         f"JOIN ({mun_edges_sql()}) e ON z.ID_MUN = '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0')")
-    s["join_zone_demographics"] = ("SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 3) AS AREA_KM2, POP_TOTAL, "
+    s["join_zone_demographics"] = ("SELECT ID_SC, ID_MUN, MUN, STATE, round(AREA_KM2, 6) AS AREA_KM2, POP_TOTAL, "
                                    f"2022 AS YEAR_INFO FROM ({SECTORS})")
     s["silver_incident_source"] = silver_source_sql("cellphones")
     s["silver_incident_other"] = silver_source_sql("others")
@@ -484,13 +496,13 @@ def build() -> dict[str, str]:
                                      f"WHERE YEAR_INFO = {C.MAP_YEAR}")
     s["map_layer_municipality"] = (
         f"SELECT g.ID_MUN, g.MUN, g.TOTAL_CRIMES, g.POP_TOTAL, g.TOTAL_CRIME_INDEX, e.n_edges AS n_points, "
-        f"CAST(c.cnt AS DOUBLE) AS area FROM ({gold_mun_sql()}) g "
+        f"{area_deg2("c.cnt")} AS area FROM ({gold_mun_sql()}) g "
         f"JOIN ({mun_edges_sql()}) e ON g.ID_MUN = '35' || lpad(CAST(e.grp AS VARCHAR), 5, '0') "
         f"JOIN (SELECT c_nationkey, count(*) AS cnt FROM customer WHERE {IN_STATE.replace('CD_UF', UF)} "
         f"GROUP BY c_nationkey) c ON c.c_nationkey = e.grp WHERE g.YEAR_INFO = {C.MAP_YEAR}")
     ids = ", ".join(q(v) for v in C.MAP_MUNICIPALITIES)
     s["map_layer_sectors"] = (f"SELECT ID_SC, MUN, TOTAL_CRIMES, POP_TOTAL, TOTAL_CRIME_INDEX, "
-                              f"CAST(6 AS BIGINT) AS n_points, CAST(1 AS DOUBLE) AS area FROM ({gold_sector_sql()}) "
+                              f"CAST(6 AS BIGINT) AS n_points, {area_deg2("1")} AS area FROM ({gold_sector_sql()}) "
                               f"WHERE YEAR_INFO = {C.MAP_YEAR} AND ID_MUN IN ({ids})")
     s["map_extract_sectors"] = (f"SELECT ID_SC, MUN, STATE, {MAP_COLS} FROM ({gold_sector_sql()}) "
                                 f"WHERE YEAR_INFO = {C.MAP_YEAR} AND ID_MUN IN ({ids})")

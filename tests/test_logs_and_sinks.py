@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from incidex.operators.logs import forward_fill, parse_log_lines, stage_metrics
+from incidex.operators.logs import LINE_ORDER, forward_fill, line_order, parse_log_lines, stage_metrics
 from incidex.session import shared_path
 from incidex.sources import readers, sinks
 
@@ -45,8 +45,7 @@ def test_stage_metrics_from_text(spark):
     with open(os.path.join(path.replace("file:", ""), "20250319_ETL.log"), "w") as fh:
         fh.write(LOG)
     lines = readers.read_text_lines(spark, path)
-    parsed = parse_log_lines(lines).withColumn("_ord", F.unix_micros(F.to_timestamp("log_time")))
-    m = {r.table_name: r for r in stage_metrics(parsed, "_ord").collect()}
+    m = {r.table_name: r for r in stage_metrics(line_order(parse_log_lines(lines)), LINE_ORDER).collect()}
     a, b = m["bronze_a/2024"], m["silver_b"]
     assert (a.level, a.read_time, a.treat_time, a.write_time, a.test_time, a.row_count) == \
         ("BRONZE", 12.5, 0.75, 21.50, 3.15, 40213)
@@ -56,6 +55,25 @@ def test_stage_metrics_from_text(spark):
     assert len(latest) == 1 and latest[0].file_path.endswith("_ETL.log")
 
 
+def test_sections_of_one_second_stay_apart(spark, tmp_path):
+    """Lines of one second keep the order of their file, also over several splits."""
+    lines = []
+    for k in range(200):
+        lines += [f"##########  SILVER: t{k}", f"read_data: {k}.00s", f"rows: {k * 5}"]
+    with open(tmp_path / "x.log", "w") as fh:
+        fh.writelines(f"2025-03-19 19:26:10 - ETL - INFO - {x}\n" for x in lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        read = readers.read_text_lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 1
+        got = {r.table_name: (r.read_time, r.row_count) for r in
+               stage_metrics(line_order(parse_log_lines(read)), LINE_ORDER).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {f"t{k}": (float(k), k * 5) for k in range(200)}
+
+
 def test_partition_roundtrip_keeps_string_ids(spark):
     path = shared_path(spark, "sink-test")
     df = spark.createDataFrame([(1, 2024, "0350"), (2, 2024, "0351"), (3, 2023, "0350")],
@@ -95,7 +113,7 @@ def test_driver_contract(spark):
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     from incidex.plans.catalog import QUERIES
-    assert set(QUERIES) - set(s) == {"log_latest_file"}   # optional parts come on top
+    assert set(QUERIES) - set(s) == set()
 
 
 def test_full_overwrite_leaves_no_old_partition(spark, tmp_path):
