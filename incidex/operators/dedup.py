@@ -15,7 +15,7 @@ def union_sources(sources, priority_col: str = "priority") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def keep_top_priority(df: DataFrame, key, priority_col: str = "priority") -> DataFrame:
+def keep_top_priority(df: DataFrame, key, priority_col: str = "priority", null_keys: bool = True) -> DataFrame:
     """Rows whose priority is the best (lowest) of their key; ties survive
     (``rank() = 1`` semantics).
 
@@ -24,9 +24,16 @@ def keep_top_priority(df: DataFrame, key, priority_col: str = "priority") -> Dat
     in one task, and AQE splits the skewed side of the join.  The per-key
     table grows with the data, so it is never broadcast (row-count estimates
     undersize long keys such as hashes): a shuffled hash join builds on it.
+    ``null_keys=False`` (no key is NULL, as with hashes): an inner join on the
+    keys alone, so the aggregate's partitioning serves the join and the
+    minimum is computed once for all sources.
     """
     keys = [key] if isinstance(key, str) else list(key)
     best = df.groupBy(*keys).agg(F.min(priority_col).alias("_best")).hint("shuffle_hash")
+    if not null_keys:
+        best = best.select(*[F.col(k).alias(f"_best_{k}") for k in keys], "_best").hint("shuffle_hash")
+        cond = [df[k] == best[f"_best_{k}"] for k in keys] + [df[priority_col] <= best["_best"]]
+        return df.join(best, cond).select(*df.columns)
     cond = [df[k].eqNullSafe(best[k]) for k in keys] + [df[priority_col] == best["_best"]]
     return df.join(best, cond, "left_semi")
 

@@ -207,7 +207,7 @@ def union_sources_priority(spark, sf):
 
 
 def dedup_priority_rank(spark, sf):
-    return keep_top_priority(union_sources(fx.sources(spark, sf)), "id")
+    return keep_top_priority(union_sources(fx.sources(spark, sf)), "id", null_keys=False)
 
 
 def agg_total_and_pivot(spark, sf):
@@ -546,7 +546,7 @@ def _silver_incidents(spark, sf):
     application read the written tables."""
     def source(name, **kw):
         silver = pl.incident_source(_bronze(spark, sf, name), **kw)
-        return pl.materialize(silver, f"silver_incidents_{name}", "YEAR_INFO", 10000)
+        return pl.materialize(silver, f"silver_incidents_{name}", "YEAR_INFO")
 
     def build():
         # the sector tables and the three source chains are independent
@@ -557,7 +557,7 @@ def _silver_incidents(spark, sf):
             lambda: source("others", month="MES_ESTATISTICA", year="ANO_ESTATISTICA",
                            type_col="NATUREZA_APURADA"))
         silver = pl.materialize(pl.incidents(cel, veh, oth, edges, sectors),
-                                "silver_incidents", ["YEAR_INFO", "MONTH_INFO"], 10000)
+                                "silver_incidents", ["YEAR_INFO", "MONTH_INFO"])
         return silver, sectors
     return layer(spark, sf, "silver_incidents", ("lineitem", "customer", "nation"), build)
 
@@ -643,6 +643,33 @@ def map_extract_incidents(spark, sf):
                     F.col("y").alias("lat"), F.col("x").alias("long"))
 
 
+def map_layer_incidents(spark, sf):
+    """The incident layer: points of the city's incidents, written as GeoJSON
+    features and read back."""
+    path = shared_path(spark, "map_layer_incidents")
+    g = map_extract_incidents(spark, sf).select("ID_CRIME", "CRIMINAL_CLASS", "YEAR_INFO", "DATE_CRIME", "long", "lat")
+    sinks.geojson_points(g, "long", "lat").write.mode("overwrite").text(path)
+    schema = ("geometry struct<type string, coordinates array<double>>, "
+              "properties struct<ID_CRIME string, CRIMINAL_CLASS string, YEAR_INFO int, DATE_CRIME string>")
+    f = spark.read.text(path).select(F.from_json("value", schema).alias("f")).select("f.*")
+    return f.select("properties.*", F.col("geometry.type").alias("geometry_type"),
+                    F.col("geometry.coordinates")[0].alias("long"), F.col("geometry.coordinates")[1].alias("lat"))
+
+
+def map_layer_city_border(spark, sf):
+    """The border layer: the city's outline, dissolved from its sectors."""
+    parts = fx.sector_parts(spark, sf).where(F.col("CD_MUN") == MAP_CITY)
+    names = parts.where(pl.in_state()).select(F.col("CD_MUN").alias("ID_MUN"), F.col("NM_MUN").alias("MUN")).distinct()
+    return _map_layer(spark, names, pl.zone_boundaries(parts, ["CD_MUN"]), "CD_MUN", "ID_MUN", "map_layer_border",
+                      "ID_MUN string, MUN string")
+
+
+def silver_rejects(spark, sf):
+    """Landing records left out of the incident sources, by source and reason."""
+    a, b, c = (pl.incident_rejects(fx.raw_incidents(spark, sf, s), s) for s in ("cellphones", "vehicles", "others"))
+    return a.unionByName(b).unionByName(c)
+
+
 def etl_table_rows(spark, sf):
     """The whole layered run (every table written, read back and checked);
     rows per table from the metrics of the run's own log."""
@@ -716,5 +743,8 @@ QUERIES = {
     "map_extract_incidents": map_extract_incidents,
     "map_layer_municipality": map_layer_municipality,
     "map_layer_sectors": map_layer_sectors,
+    "map_layer_incidents": map_layer_incidents,
+    "map_layer_city_border": map_layer_city_border,
+    "silver_rejects": silver_rejects,
     "etl_table_rows": etl_table_rows,
 }

@@ -252,8 +252,8 @@ def raw_incidents(spark, sf_dir, source: str) -> DataFrame:
         "CAST(l_orderkey % 1000 AS STRING) AS NUMERO_LOGRADOURO",
         f"try_element_at(array({_sql_list(DISTRICTS)}), CAST(l_orderkey % 4 + 1 AS INT)) AS BAIRRO",
         f"CASE WHEN l_suppkey % 50 = 0 THEN '0' WHEN l_suppkey % 50 = 1 THEN NULL "
-        f"ELSE {coord_text(incident_units()[1])} END AS LATITUDE",
-        f"{coord_text(incident_units()[0])} AS LONGITUDE",
+        f"ELSE {coord_text("_lat")} END AS LATITUDE",
+        f"{coord_text("_lon")} AS LONGITUDE",
         "CASE WHEN l_orderkey % 4 = 0 THEN "
         "concat(lpad(CAST(1 + l_orderkey % 28 AS STRING), 2, '0'), '/', "
         "lpad(CAST(1 + l_orderkey % 12 AS STRING), 2, '0'), '/', CAST(2015 + l_orderkey % 10 AS STRING)) "
@@ -264,4 +264,5 @@ def raw_incidents(spark, sf_dir, source: str) -> DataFrame:
     ]
     if source == "others":
         cols.append(f"try_element_at(array({_sql_list(OTHER_TYPES)}), l_linenumber) AS NATUREZA_APURADA")
-    return li.selectExpr(*cols)
+    lon, lat = incident_units()
+    return li.selectExpr("*", f"{lon} AS _lon", f"{lat} AS _lat").selectExpr(*cols)

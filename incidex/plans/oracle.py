@@ -154,7 +154,7 @@ def silver_source_sql(source: str) -> str:
              f"CAST(coalesce(day(try_cast(DATA_OCORRENCIA_BO AS TIMESTAMP)), 1) AS INTEGER) AS DAY_INFO, "
              f"try_cast(mo AS INTEGER) AS MONTH_INFO, try_cast(yr AS INTEGER) AS YEAR_INFO, "
              f"{norm('ty')} AS CRIMINAL_TYPE, x, y FROM ({step2}) "
-             f"WHERE x IS NOT NULL AND x <> 0 AND y IS NOT NULL AND y <> 0 "
+             f"WHERE x IS NOT NULL AND x <> 0 AND y IS NOT NULL AND y <> 0 AND abs(x) < 180 AND abs(y) < 89 "
              f"AND LOGRADOURO NOT LIKE '{pl.REDACTION_PATTERN}'")
     key = ("sha256(concat_ws('_', ADDRESS, ADDRESS_NUMBER, NEIGHBORHOOD, LATITUDE, LONGITUDE, "
            "CAST(DAY_INFO AS VARCHAR), CAST(MONTH_INFO AS VARCHAR), CAST(YEAR_INFO AS VARCHAR)))")
@@ -511,6 +511,20 @@ def build() -> dict[str, str]:
         f"strftime(try_strptime(concat_ws('/', DAY_INFO, MONTH_INFO, YEAR_INFO), '%d/%m/%Y'), '%Y-%m-%d %H:%M:%S') "
         f"AS DATE_CRIME, y AS lat, x AS long FROM ({gold_incidents_sql()}) "
         f"WHERE ID_MUN = {q(C.MAP_CITY)} AND YEAR_INFO > {C.MAP_AFTER_YEAR}")
+    s["map_layer_incidents"] = ("SELECT ID_CRIME, CRIMINAL_CLASS, YEAR_INFO, DATE_CRIME, 'Point' AS geometry_type, long, lat "
+                                f"FROM ({s['map_extract_incidents']})")
+    s["map_layer_city_border"] = (
+        f"SELECT CD_MUN AS ID_MUN, NM_MUN AS MUN, n_points, area FROM ({s['geojson_municipalities']}) "
+        f"WHERE CD_MUN = {q(C.MAP_CITY)}")
+    rejects = []
+    for source in ("cellphones", "vehicles", "others"):
+        located = (f"SELECT LOGRADOURO, {coord_value(repair('LONGITUDE'))} AS x, {coord_value(repair('LATITUDE'))} AS y "
+                   f"FROM ({raw_sql(source)})")
+        reason = ("CASE WHEN x IS NULL OR x = 0 OR abs(x) >= 180 OR y IS NULL OR y = 0 OR abs(y) >= 89 THEN 'coordinate' "
+                  f"WHEN LOGRADOURO IS NULL THEN 'no_address' WHEN LOGRADOURO LIKE '{pl.REDACTION_PATTERN}' THEN 'redacted' END")
+        rejects.append(f"SELECT '{source}' AS source, reason, count(*) AS n FROM (SELECT {reason} AS reason FROM ({located})) "
+                       f"WHERE reason IS NOT NULL GROUP BY reason")
+    s["silver_rejects"] = " UNION ALL ".join(rejects)
     s["etl_table_rows"] = etl_rows_sql(s)
     return s
 
@@ -531,6 +545,7 @@ def etl_rows_sql(s: dict) -> str:
         ("SILVER", "silver_mun_edges", f"SELECT sum(n_edges) FROM ({s['silver_municipality_geometry']})"),
         ("SILVER", "silver_mun_geom", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
         ("SILVER", "silver_scs_shapes", f"SELECT count(*) FROM ({SECTORS})"),
+        ("SILVER", "silver_mun_shapes", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
         ("SILVER", "silver_scs", f"SELECT count(*) FROM ({s['join_zone_demographics']})"),
         ("SILVER", "silver_mun", f"SELECT count(*) FROM ({s['silver_municipality_geometry']})"),
         ("SILVER", "silver_crimes_cellphones", f"SELECT count(*) FROM ({silver_source_sql('cellphones')})"),

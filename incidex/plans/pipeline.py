@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coords import coordinate_value, repair_coordinate, valid_coordinate
+from ..functions.coords import LATITUDE_LIMIT, LONGITUDE_LIMIT, coordinate_value, repair_coordinate, usable_point
 from ..functions.dates import day_with_default
 from ..functions.geometry import EARTH_RADIUS_M, M2_PER_KM2
 from ..functions.keys import entity_key, row_fingerprint, zone_year_sha1, zone_year_sha256
@@ -50,7 +50,7 @@ def in_state(col: str = "CD_UF", code: int = 35):
 
 
 # ------------------------------------------------------------ materialise --
-def materialize(df: DataFrame, name: str, partition_cols=None, max_records: int = 100000) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_cols=None, max_records: int | None = None) -> DataFrame:
     """Write a layer table to the shared folder and read it back with the same
     schema.  Later steps then scan it instead of recomputing its lineage, and a
     lost executor only re-reads files."""
@@ -151,6 +151,20 @@ def zone_with_population(geom: DataFrame, demo: DataFrame, key: str) -> DataFram
 
 
 # -------------------------------------------------------- silver incidents --
+def reject_reason():
+    """Why a landing record (with coordinates ``x``, ``y``) is left out; NULL: it is kept."""
+    return (F.when(~usable_point("x", "y"), "coordinate").when(F.col("LOGRADOURO").isNull(), "no_address")
+            .when(F.col("LOGRADOURO").like(REDACTION_PATTERN), "redacted"))
+
+
+def incident_rejects(raw: DataFrame, source: str) -> DataFrame:
+    """Number of landing records of a source left out, by reason."""
+    located = raw.select("LOGRADOURO", coordinate_value(repair_coordinate("LONGITUDE"), LONGITUDE_LIMIT).alias("x"),
+                         coordinate_value(repair_coordinate("LATITUDE"), LATITUDE_LIMIT).alias("y"))
+    return (located.select(F.lit(source).alias("source"), reject_reason().alias("reason"))
+            .where("reason is not null").groupBy("source", "reason").agg(F.count("*").alias("n")))
+
+
 def incident_source(raw: DataFrame, crime_type=None, month: str = "MES", year: str = "ANO",
                     type_col: str | None = None) -> DataFrame:
     """Landing incident records of one source -> cleaned, keyed, de-duplicated.
@@ -168,10 +182,9 @@ def incident_source(raw: DataFrame, crime_type=None, month: str = "MES", year: s
         F.col(month).try_cast("int").alias("MONTH_INFO"),
         F.col(year).try_cast("int").alias("YEAR_INFO"),
         typ.alias("_type"))
-    df = df.withColumn("x", coordinate_value("LONGITUDE")).withColumn("y", coordinate_value("LATITUDE"))
-    df = df.where(valid_coordinate("x") & valid_coordinate("y")
-                  & F.col("LOGRADOURO").isNotNull()
-                  & ~F.col("LOGRADOURO").like(REDACTION_PATTERN))
+    df = df.withColumn("x", coordinate_value("LONGITUDE", LONGITUDE_LIMIT)) \
+           .withColumn("y", coordinate_value("LATITUDE", LATITUDE_LIMIT))
+    df = df.where(reject_reason().isNull())
     df = (df.withColumn("ADDRESS", normalize_text("LOGRADOURO"))
             .withColumn("NEIGHBORHOOD", normalize_text("BAIRRO"))
             .withColumn("CRIMINAL_TYPE", normalize_text("_type")))
@@ -186,7 +199,7 @@ def incidents(cellphones: DataFrame, vehicles: DataFrame, others: DataFrame,
     inclusive: a point on a shared border belongs to both sectors).
     ``sector_edges`` is a written layer table."""
     u = union_sources([(cellphones, 1), (vehicles, 2), (others, 3)])
-    best = keep_top_priority(u, "ID").drop("priority")
+    best = keep_top_priority(u, "ID", null_keys=False).drop("priority")
     keyed = (best.withColumn("ID_CRIME", entity_key(["ID", "CRIMINAL_TYPE", "ADDRESS", "ADDRESS_NUMBER",
                                                      "NEIGHBORHOOD", "DAY_INFO", "MONTH_INFO",
                                                      "YEAR_INFO"]))

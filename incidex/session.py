@@ -76,11 +76,6 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/incidex/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_dir(path: str) -> str:
-    """Strip a file: scheme for stdlib file access (local-mode helpers only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(spark or df.sparkSession)
@@ -92,14 +87,14 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread rows before CPU-heavy narrow work when the input has fewer
-    partitions than the cluster has cores (a small file with one row group is
-    one scan task).  Wide inputs are returned unchanged, so at scale this adds
-    no shuffle.  Meant for fresh scans: counting the partitions of a plan that
+    """Spread rows before CPU-heavy narrow work when the input has far
+    fewer partitions than the cluster has cores, a quarter at most (a small
+    file with one row group is one scan task).  Other inputs are returned
+    unchanged.  Meant for fresh scans: counting the partitions of a plan that
     already contains exchanges would run those stages."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if 4 * df.rdd.getNumPartitions() > want:
         return df
     return df.repartition(want)
 

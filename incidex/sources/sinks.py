@@ -37,10 +37,6 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "W
        .option("encoding", encoding).csv(path))
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
-
-
 def geojson_features(df: DataFrame, rings: str = "rings", properties=None) -> DataFrame:
     """One GeoJSON Feature (Polygon) per row, as a JSON string column."""
     props = properties or [c for c in df.columns if c != rings]
@@ -52,6 +48,16 @@ def geojson_features(df: DataFrame, rings: str = "rings", properties=None) -> Da
     return df.select(F.to_json(feature).alias("value"))
 
 
+def geojson_points(df: DataFrame, x: str, y: str, properties=None) -> DataFrame:
+    """One GeoJSON Feature (Point) per row."""
+    props = properties or [c for c in df.columns if c not in (x, y)]
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.lit("Point").alias("type"), F.array(x, y).alias("coordinates")).alias("geometry"),
+        F.struct(*[F.col(c) for c in props]).alias("properties"))
+    return df.select(F.to_json(feature).alias("value"))
+
+
 def geojson_multipolygons(df: DataFrame, polygons: str = "polygons", properties=None) -> DataFrame:
     """One GeoJSON Feature (MultiPolygon) per row from ``assemble_polygons``
     output: polygons = [exterior, hole, ...] rings of x/y structs."""
