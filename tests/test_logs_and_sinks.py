@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from incidex.operators.logs import LINE_ORDER, forward_fill, line_order, parse_log_lines, stage_metrics
+from incidex.operators.logs import LINE_ORDER, forward_fill, line_order, line_time, parse_log_lines, stage_metrics
 from incidex.session import shared_path
 from incidex.sources import readers, sinks
 
@@ -74,6 +74,36 @@ def test_sections_of_one_second_stay_apart(spark, tmp_path):
     assert got == {f"t{k}": (float(k), k * 5) for k in range(200)}
 
 
+def test_many_lines_of_one_time(spark, tmp_path):
+    """Over 1,024 lines of one time, then a line one microsecond later: orders stay unique,
+    each section has its own lines and starts at its own time."""
+    lines = []
+    for k in range(900):
+        lines += [f"2025-03-19 19:26:10.000000 - ETL - INFO - ##########  SILVER: t{k}",
+                  f"2025-03-19 19:26:10.000000 - ETL - INFO - read_data: {k}.00s"]
+    lines += ["2025-03-19 19:26:10.000001 - ETL - INFO - rows: 7",
+              "2025-03-19 19:26:10.000001 - ETL - INFO - ##########  SILVER: late",
+              "2025-03-19 19:26:10.000001 - ETL - INFO - rows: 8"]
+    (tmp_path / "x.log").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        read = readers.read_text_lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 1
+        ordered = line_order(parse_log_lines(read))
+        assert ordered.select(LINE_ORDER).distinct().count() == len(lines)
+        got = {r.table_name: (r.read_time, r.row_count, r.at) for r in
+               stage_metrics(ordered, LINE_ORDER).withColumn("at", line_time("section_start")).collect()}
+        # markers carried over several blocks of one time and from the time before
+        marked = ordered.withColumn("m", F.when(F.col("section") == "t3", F.lit(3)))
+        for block, levels in ((7, 2), (100, 3), (1 << 16, 3)):
+            assert forward_fill(marked, LINE_ORDER, "m", "f", block, levels).where("f = 3").count() == len(lines) - 6
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    at = got["t0"][2]
+    assert got == {f"t{k}": (float(k), 7 if k == 899 else 0, at) for k in range(900)} | {"late": (0.0, 8, at + 1)}
+
+
 def test_partition_roundtrip_keeps_string_ids(spark):
     path = shared_path(spark, "sink-test")
     df = spark.createDataFrame([(1, 2024, "0350"), (2, 2024, "0351"), (3, 2023, "0350")],
