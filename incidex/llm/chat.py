@@ -1,22 +1,28 @@
 """Chat formatting as a prefix tree.
 
-A node of the tree is a prefix of turns: its id is a hash of the parent's id,
-the role and the text, so conversations that begin alike share nodes however
-many they are.  Every node's formatted text is emitted once, depth first
-(children in id order), with its position (the characters before it on its
+A node of the tree is a prefix of turns: its id is a polynomial in the hashes
+of its turns (modulo 2^127 - 1, the base from ``key``), so conversations that
+begin alike share nodes however many they are.  Every node's formatted text is
+emitted once, depth first, with its position (the characters before it on its
 path) and its attention intervals: the merged ranges of the layout that its
 ancestors and itself occupy.
 
-Conversations are hashed turn by turn in a stream; a conversation's list of
-node ids (16 bytes a turn) is the largest thing kept.  Distinct paths are
-sorted by range partitions, so a beginning that a third of all conversations
-share is laid out by many tasks; each partition continues the stack of the one
-before it, and only those stacks pass through the driver.
-
-Rows are taken in the order of turn, role and text.  Null texts and roles are
-empty.  Rows with a null conversation id are one conversation.  Repeated rows
-are repeated turns.  Conversations without rows do not exist; an empty table
-gives empty results.  Other columns are not read.
+No row and nothing on the driver grows with a conversation's length.  Turns
+are sorted into range blocks that may cut a conversation; a block's hashes are
+made without the blocks before it, and one row a block carries id, depth and
+position on.  A node belongs to the smallest conversation through it, so a
+conversation's own nodes are the end of its path, one gapless range.  The
+child of the same conversation is laid out first, then the others by
+conversation.  Conversations are sorted by the list of conversations that own
+parts of their path, which is as long as the path has branches to others, as
+are the intervals; a running sum of sizes gives the places.
+
+Rows are taken in the order of turn, role and text.  Rows of one conversation,
+turn and role whose texts are over KEY_CHARS long and begin alike share a
+task.  Null texts and roles are empty.  Rows with a null conversation id are
+one conversation.  Repeated rows are repeated turns.  Conversations without
+rows do not exist; an empty table gives empty results.  Other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -27,7 +33,8 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidex.llm.common import write_shared
@@ -39,6 +46,9 @@ _ESCAPE = re.compile(CONTROL)
 _UNESCAPE = re.compile(r"(<|\[)\\(\\*)(s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|)")
 LOSS_ROLE = "assistant"
 BATCH_ROWS = 2000
+PRIME = 2 ** 127 - 1
+KEY_CHARS = 128     # of a text in the sort key that cuts the blocks
+PATH_CHUNK = 1024   # nodes in one row of ``PrefixTree.paths``
 
 
 def escape(text: str) -> str:
@@ -72,10 +82,11 @@ def parse_turn(turn: str) -> tuple[str, str]:
     raise ValueError(f"not a formatted turn: {turn[:40]!r}")
 
 
-_HASHED = ("kind int, conv string, depth int, node binary, role string, formatted string, loss_from int, loss_chars int, "
-           "path array<binary>, chars array<int>")
-_HASHED_TYPES = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int32(),
-                 pa.list_(pa.binary()), pa.list_(pa.int32())]
+# kind 0: a turn; ends is null for the last of its block.  kind 1: a block, its first conversation ...
+_HASHED = ("kind int, block int, conv string, head boolean, depth int, node binary, pos long, ends boolean, formatted string, "
+           "loss_from int, loss_chars int, chars long, tail_conv string, tail_depth int, tail_node binary, tail_pos long")
+_HASHED_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.binary(), pa.int64(), pa.bool_(), pa.string(),
+                 pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64()]
 
 
 def _batches(rows: Iterator[tuple], ddl: str, types: list) -> Iterator[pa.RecordBatch]:
@@ -94,33 +105,45 @@ def _batches(rows: Iterator[tuple], ddl: str, types: list) -> Iterator[pa.Record
         yield out()
 
 
-def hashed_turns(conversations: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Turn rows (kind 0: node, formatted text, where its loss lies) and one row
-    for each conversation (kind 1: leaf node, path, characters of each turn)."""
+def hash_base(key: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(key, digest_size=16).digest(), "little") % (PRIME - 2) + 2
+
+
+def hashed_turns(conversations: DataFrame, conv: str, turn: str, role: str, text: str, base: int) -> DataFrame:
+    """Sorted blocks of turns (kind 0: formatted text, where its loss lies) and one row for
+    each block (kind 1).  The first conversation of a block (head) counts depth, position and
+    node from the block's beginning, the others from their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId()
+
         def rows():
-            now, node, path, chars = None, b"", [], []
+            now, head, depth, value, pos, held, first = None, True, 0, 0, 0, None, None
             for batch in batches:
                 for c, r, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                    if held:
+                        yield (*held[:7], c != now, *held[8:])
                     if c != now:
-                        if path:
-                            yield 1, now, len(path), node, None, None, None, None, path, chars
-                        now, node, path, chars = c, b"", [], []
-                    h = hashlib.blake2b(node, digest_size=16)
+                        if now is not None and head:
+                            first, head = (now, depth, value, pos), False
+                        now, depth, value, pos = c, 0, 0 if head else 1, 0
+                    h = hashlib.blake2b(digest_size=16)
                     for x in (r, t):
                         x = x.encode()
                         h.update(len(x).to_bytes(8, "little"))
                         h.update(x)
-                    node, formatted = h.digest(), format_turn(r, t)
+                    value = (value * base + int.from_bytes(h.digest(), "little")) % PRIME
+                    formatted = format_turn(r, t)
                     before, after = marks(r)
                     loss = r == LOSS_ROLE
-                    yield (0, c, len(path), node, r, formatted, len(before) if loss else 0,
-                           len(formatted) - len(before) - len(after) if loss else 0, None, None)
-                    path.append(node)
-                    chars.append(len(formatted))
-            if path:
-                yield 1, now, len(path), node, None, None, None, None, path, chars
+                    held = (0, block, c, head, depth, value.to_bytes(16, "little"), pos, None, formatted, len(before) if loss else 0,
+                            len(formatted) - len(before) - len(after) if loss else 0, len(formatted), None, None, None, None)
+                    depth, pos = depth + 1, pos + len(formatted)
+            if held:
+                yield held
+                c, d, v, p = first or (now, depth, value, pos)
+                yield (1, block, c, head, d, v.to_bytes(16, "little"), p, None, None, None, None, None,
+                       now, depth, value.to_bytes(16, "little"), pos)
         return _batches(rows(), _HASHED, _HASHED_TYPES)
 
     def column(name):
@@ -128,115 +151,116 @@ def hashed_turns(conversations: DataFrame, conv: str, turn: str, role: str, text
 
     rows = conversations.select(F.coalesce(F.col(conv).cast("string"), F.lit("null")).alias("conv"),
                                 column(role).alias("role"), column(text).alias("text"), F.col(turn).alias("turn"))
-    return (rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
+    # equal rows may stand in any order, so a running id parts them
+    tie = F.when(F.length("text") <= KEY_CHARS, F.monotonically_increasing_id()).otherwise(F.lit(0))
+    rows = rows.withColumn("begins", F.substring("text", 1, KEY_CHARS)).withColumn("tie", tie)
+    return (rows.repartitionByRange("conv", "turn", "role", "begins", "tie").sortWithinPartitions("conv", "turn", "role", "text")
             .select("conv", "role", "text").mapInArrow(run, _HASHED))
 
 
-def common_prefix(a, b) -> int:
-    n = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        n += 1
-    return n
-
-
-def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Ascending ranges with touching ones joined."""
-    out: list[tuple[int, int]] = []
-    for a, b in intervals:
-        if out and out[-1][1] == a:
-            out[-1] = (out[-1][0], b)
+def carried(hashed: DataFrame, base: int) -> DataFrame:
+    """Turns with node, depth and position from the beginning of their conversation, and
+    whether they are its last."""
+    begin: dict[int, tuple[int, int, int]] = {}
+    over: dict[int, bool] = {}
+    conv, state, block = None, (0, 1, 0), None
+    blocks = hashed.where("kind = 1").select("block", "conv", "head", "depth", "node", "pos", "tail_conv", "tail_depth", "tail_node", "tail_pos")
+    for r in sorted(blocks.collect(), key=lambda r: r["block"]):       # one row a block
+        if block is not None:
+            over[block] = r["conv"] != conv
+        block = r["block"]
+        begin[block] = state if r["conv"] == conv else (0, 1, 0)
+        conv = r["tail_conv"]
+        if r["head"]:       # the block has one conversation
+            depth, value, pos = begin[block]
+            state = (depth + r["depth"], (value * pow(base, r["depth"], PRIME) + int.from_bytes(r["node"], "little")) % PRIME, pos + r["pos"])
         else:
-            out.append((a, b))
-    return out
-
-
-_PLACED = "node binary, start long, position long, chars int, intervals array<struct<a: long, b: long>>, leaf boolean"
-_PLACED_TYPES = [pa.binary(), pa.int64(), pa.int64(), pa.int32(),
-                 pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.bool_()]
-_BLOCK = "block long, first array<binary>, first_chars array<int>, last array<binary>, last_starts array<long>, total long"
-_BLOCK_TYPES = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int64()]
-
-
-def layout(paths: DataFrame) -> DataFrame:
-    """Depth-first places of the nodes of sorted distinct paths ``(path, chars)``."""
-    spark = paths.sparkSession
-    blocks = (paths.select("path", "chars").repartitionByRange("path").sortWithinPartitions("path")
-              .withColumn("block", F.spark_partition_id().cast("long")))
-    blocks = write_shared(blocks, "paths")
-    ordered = blocks.select("block", "path", "chars").repartition("block").sortWithinPartitions("block", "path")
-
-    def paths_of(batches):
-        for batch in batches:
-            yield from zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-
-    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            now = None
-            for block, path, chars in paths_of(batches):
-                if block != now:
-                    if now is not None:
-                        yield now, first, first_chars, stack, starts, at
-                    now, first, first_chars, stack, starts, at = block, path, chars, [], [], 0
-                same = common_prefix(stack, path)
-                starts = starts[:same]
-                for n in chars[same:]:
-                    starts.append(at)
-                    at += n
-                stack = path
-            if now is not None:
-                yield now, first, first_chars, stack, starts, at
-        return _batches(rows(), _BLOCK, _BLOCK_TYPES)
-
-    # one row a block: where its first and last path lie
-    begin: dict[int, tuple[list, list, int]] = {}
-    stack, starts, base = [], [], 0
-    for r in sorted(ordered.mapInArrow(summary, _BLOCK).collect(), key=lambda r: r["block"]):
-        first, last = [bytes(x) for x in r["first"]], [bytes(x) for x in r["last"]]
-        had = common_prefix(stack, first)
-        begin[r["block"]] = (stack[:had], starts[:had], base)
-        shift = base - sum(r["first_chars"][:had])
-        kept = min(had, common_prefix(first, last))
-        starts = starts[:kept] + [s + shift for s in r["last_starts"][kept:]]
-        stack, base = last, shift + r["total"]
+            state = (r["tail_depth"], int.from_bytes(r["tail_node"], "little"), r["tail_pos"])
+    if block is not None:
+        over[block] = True
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            now = None
-            for block, path, chars in paths_of(batches):
-                if block != now:
-                    now = block
-                    stack, starts, at = begin[block][0], list(begin[block][1]), begin[block][2]
-                same = common_prefix(stack, path)
-                starts = starts[:same]
-                ranges = merged(list(zip(starts, (s + n for s, n in zip(starts, chars, strict=False)), strict=True)))
-                position = sum(chars[:same])
-                for d in range(same, len(path)):
-                    starts.append(at)
-                    ranges = merged([*ranges, (at, at + chars[d])])
-                    yield (path[d], at, position, chars[d], [{"a": a, "b": b} for a, b in ranges], d == len(path) - 1)
-                    at += chars[d]
-                    position += chars[d]
-                stack = path
-        return _batches(rows(), _PLACED, _PLACED_TYPES)
-
-    return ordered.mapInArrow(place, _PLACED)
+        for batch in batches:
+            at = {n: batch.schema.get_field_index(n) for n in ("block", "head", "depth", "node", "pos", "ends")}
+            block, head, depth, node, pos, ends = (batch.column(i).to_pylist() for i in at.values())
+            for i, (k, first) in enumerate(zip(block, head, strict=True)):
+                if first:
+                    d, value, p = begin[k]
+                    value = (value * pow(base, depth[i] + 1, PRIME) + int.from_bytes(node[i], "little")) % PRIME
+                    depth[i], node[i], pos[i] = depth[i] + d, value.to_bytes(16, "little"), pos[i] + p
+                if ends[i] is None:
+                    ends[i] = over[k]
+            for n, values in (("depth", depth), ("node", node), ("pos", pos), ("ends", ends)):
+                batch = batch.set_column(at[n], batch.schema.field(at[n]), pa.array(values, batch.schema.field(at[n]).type))
+            yield batch
+
+    turns = hashed.where("kind = 0").select("block", "head", "conv", "depth", "node", "pos", "ends", "chars", "formatted", "loss_from", "loss_chars")
+    return turns.mapInArrow(place, turns.schema).drop("block", "head")
+
+
+def layout(links: DataFrame) -> DataFrame:
+    """``(owner, own_pos, own_start, before)``: for each conversation that owns nodes, where
+    its own part begins on its path and in the layout, and the merged ranges of the part before."""
+    spark = links.sparkSession
+    owners = links.groupBy("node").agg(F.min("conv").alias("owner"))
+    parts = (links.select("node", "conv", "depth", "pos", "chars").join(owners, "node").groupBy("conv", "owner")
+             .agg(F.min("depth").alias("depth"), F.min("pos").alias("pos"), F.max(F.col("pos") + F.col("chars")).alias("end")))
+    parts = write_shared(parts, "parts")
+    own = parts.where("conv = owner").select("conv", F.col("pos").alias("own_pos"), (F.col("end") - F.col("pos")).alias("size"))
+    # deeper branches come before shallower ones, as the way back from the end of a path meets them
+    order = F.sort_array(F.collect_list(F.struct("depth", "owner")))
+    keys = (parts.groupBy("conv").agg(order.alias("order")).join(own, "conv")
+            .withColumn("order", F.transform("order", lambda x: F.struct((-x["depth"]).alias("depth"), x["owner"].alias("owner")))))
+    keys = write_shared(keys.repartitionByRange("order").withColumn("block", F.spark_partition_id()), "order")
+    sums = sorted(keys.groupBy("block").agg(F.sum("size").alias("n")).collect(), key=lambda r: r["block"])
+    bases, at = [], 0
+    for r in sums:
+        bases.append((r["block"], at))
+        at += r["n"]
+    bases = spark.createDataFrame(bases, "block int, base long")
+    earlier = Window.partitionBy("block").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (keys.withColumn("sum", F.coalesce(F.sum("size").over(earlier), F.lit(0))).join(F.broadcast(bases), "block")
+              .select(F.col("conv").alias("owner"), "own_pos", (F.col("base") + F.col("sum")).alias("own_start")))
+    starts = write_shared(starts, "starts")
+    ranges = (parts.where("conv <> owner").join(starts, "owner")
+              .select("conv", "depth", F.col("own_start").alias("a"), (F.col("own_start") + F.col("end") - F.col("pos")).alias("b")))
+    held = F.transform(F.sort_array(F.collect_list(F.struct("depth", "a", "b"))), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
+    ranges = ranges.groupBy(F.col("conv").alias("owner")).agg(held.alias("r")).select("owner", F.expr(
+        "zip_with(filter(r, (x, i) -> i = 0 OR get(r, i - 1).b <> x.a), filter(r, (x, i) -> i = size(r) - 1 OR get(r, i + 1).a <> x.b), "
+        "(x, y) -> named_struct('a', x.a, 'b', y.b))").alias("before"))
+    return starts.join(ranges, "owner", "left")
 
 
 class PrefixTree:
     """``nodes``: every node once, with formatted text, place, position and
-    attention intervals; ``paths``: distinct conversations as lists of nodes;
-    ``conversations``: the last node of each conversation."""
+    attention intervals; ``paths``: distinct conversations as lists of nodes, in
+    rows of PATH_CHUNK of them; ``conversations``: the last node of each
+    conversation.  With a secret ``key`` nobody can make two prefixes of one id."""
 
     def __init__(self, conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-                 text: str = "text"):
+                 text: str = "text", key: bytes = b""):
         self.key, self.key_type = conv, conversations.schema[conv].dataType
-        rows = write_shared(hashed_turns(conversations, conv, turn, role, text), "turns")
-        self.conversations = rows.where("kind = 1").select("conv", F.col("node").alias("leaf"), "depth")
-        self.paths = (rows.where("kind = 1").select(F.col("node").alias("leaf"), "path", "chars").dropDuplicates(["leaf"]))
-        texts = rows.where("kind = 0").select("node", "depth", "formatted", "loss_from", "loss_chars").dropDuplicates(["node"])
-        self.nodes = write_shared(layout(self.paths).join(texts, "node"), "nodes")
+        base = hash_base(key)
+        turns = carried(write_shared(hashed_turns(conversations, conv, turn, role, text, base), "turns"), base)
+        links = write_shared(turns.select("conv", "depth", "node", "pos", "chars", "ends"), "links")
+        self.conversations = links.where("ends").select("conv", F.col("node").alias("leaf"), (F.col("depth") + 1).alias("depth"))
+        one = self.conversations.groupBy("leaf").agg(F.min("conv").alias("conv"))
+        self.steps = links.join(one, "conv").select("leaf", "depth", "node", "chars")
+        held = F.sort_array(F.collect_list(F.struct("depth", "node", "chars")))
+        self.paths = (self.steps.groupBy("leaf", F.floor(F.col("depth") / PATH_CHUNK).alias("chunk")).agg(held.alias("s"))
+                      .select("leaf", "chunk", F.col("s.node").alias("path"), F.col("s.chars").alias("chars")))
+        told = F.struct("depth", "pos", "chars", "formatted", "loss_from", "loss_chars")
+        texts = (turns.groupBy("node").agg(F.min("conv").alias("owner"), F.max("ends").alias("leaf"), F.first(told).alias("x"))
+                 .select("node", "owner", "leaf", "x.*"))
+        start = F.col("own_start") + F.col("pos") - F.col("own_pos")
+        nodes = texts.join(layout(links), "owner").withColumn("start", start)
+        nodes = nodes.withColumn("intervals", F.expr(
+            "CASE WHEN before IS NULL THEN array(named_struct('a', own_start, 'b', start + chars)) "
+            "WHEN element_at(before, -1).b = own_start THEN concat(slice(before, 1, size(before) - 1), "
+            "array(named_struct('a', element_at(before, -1).a, 'b', start + chars))) "
+            "ELSE concat(before, array(named_struct('a', own_start, 'b', start + chars))) END"))
+        self.nodes = write_shared(nodes.select("node", "start", F.col("pos").alias("position"), F.col("chars").cast("int").alias("chars"),
+                                               "intervals", "leaf", "depth", "formatted", "loss_from", "loss_chars"), "nodes")
 
     def read_back(self) -> DataFrame:
         """One row per conversation, from the emitted nodes: number of turns, digests of
@@ -262,8 +286,7 @@ class PrefixTree:
             return _batches(rows(), out, [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()])
 
         out = "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-        steps = self.paths.select("leaf", F.explode("path").alias("node"))
-        told = (steps.join(self.nodes.select("node", "depth", "formatted", "loss_from", "loss_chars"), "node")
+        told = (self.steps.select("leaf", "node").join(self.nodes.select("node", "depth", "formatted", "loss_from", "loss_chars"), "node")
                 .repartition("leaf").sortWithinPartitions("leaf", "depth")
                 .select("leaf", "formatted", "loss_from", "loss_chars").mapInArrow(run, out))
         key = F.when(F.col("conv") != "null", F.col("conv")).cast(self.key_type).alias(self.key)

@@ -345,6 +345,51 @@ def test_prefix_tree(spark):
     assert PrefixTree(df.limit(0)).read_back().count() == 0
 
 
+def test_prefix_tree_cuts_long_conversations(spark, monkeypatch):
+    """One conversation over several range blocks: ids, places and positions go on across them,
+    no row holds it whole, and the driver gets one row a block."""
+    from incidex.llm import chat
+    rows = [(None, t // 3, "user", "same") for t in range(900)]
+    rows += [(c, t, "user", f"{t}" if t < 40 * c else f"{c} {t}") for c in range(1, 6) for t in range(300)] + [(9, t, "user", f"{t}") for t in range(80)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    base = chat.hash_base(b"")
+    hashed = chat.hashed_turns(df, "conv_id", "turn", "role", "text", base)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = hashed.where("kind = 0 and conv = 'null'").select("block").distinct().count()
+        tree = PrefixTree(df)
+        nodes = {bytes(r["node"]): r for r in tree.nodes.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert cut > 1
+    spans = sorted((r["start"], r["start"] + r["chars"]) for r in nodes.values())
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+    prefixes, texts = set(), {}
+    for c, _, _, x in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        texts[c] = (*texts.get(c, ()), x)
+        prefixes.add(texts[c])
+    assert len(nodes) == len(prefixes)
+    assert max(len(r["intervals"]) for r in nodes.values()) <= 6
+    monkeypatch.setattr(chat, "PATH_CHUNK", 100)
+    steps: dict = {}
+    for r in PrefixTree(df).paths.collect():
+        assert len(r["path"]) <= 100
+        steps.setdefault(bytes(r["leaf"]), []).append((r["chunk"], r["path"]))
+    assert sorted(sum(len(p) for _, p in x) for x in steps.values()) == sorted(len(x) for x in texts.values())
+    for parts in steps.values():
+        at, held = 0, set()
+        for _, path in sorted(parts):
+            for n in path:
+                node = nodes[bytes(n)]
+                held |= set(range(node["start"], node["start"] + node["chars"]))
+                assert node["position"] == at
+                assert sum(i["b"] - i["a"] for i in node["intervals"]) == at + node["chars"]
+                at += node["chars"]
+        assert {x for i in nodes[bytes(path[-1])]["intervals"] for x in range(i["a"], i["b"])} == held
+    got = {r["conv_id"]: r["turns_sha256"] for r in tree.read_back().collect()}
+    assert got == {c: hashlib.sha256("".join(f"user\n{x}\n" for x in t).encode()).hexdigest() for c, t in texts.items()}
+
+
 def test_warc_round_trip(spark, tmp_path):
     html = ["<p>é</p>", "x\r\ny\r\n", "", None, "<p>é</p>", "WARC/1.1\r\nContent-Length: 3\r\n\r\n", "\r", "日本語😀" * 500, "日本語😀" * 500, "\n\r\n\r"]
     rows = [(i, None if i == 2 else f"http://x/{i}\r\nEvil: 1", h) for i, h in enumerate(html)] + [(None, "u", "x\r\ny\r\n")]
