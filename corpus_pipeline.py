@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from incidex.llm import langid, toxicity
 from incidex.llm.common import table, workers_find_package, write_shared
@@ -39,14 +40,25 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class: the one with the smallest id.
 
-    Repeated rows of one id stay once; rows with a null id all stay."""
+    Rows of one id with different texts are documents of their own, ordered by
+    the text's SHA-1; of rows with equal id and text the smallest stays.  Rows
+    with a null id all stay."""
     workers_find_package(spark)
-    found = write_shared(near_duplicates(docs, "doc_id", "text", SIMILARITY_PERCENT), "classes")
-    known = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    stay = docs.join(known.select("doc_id"), "doc_id", "left_semi")
-    if not known.where("n > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id"])
-    return stay.union(docs.where("doc_id is null").select(stay.columns)).select(docs.columns)
+    named = docs.where("doc_id is not null")
+    repeated = not named.groupBy("doc_id").count().where("count > 1").isEmpty()
+    if repeated:
+        # text keys in the order of the ids; sha1 tells the texts of one id apart
+        key = "doc_id"
+        if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+            key = "lpad(hex(CAST(doc_id AS BIGINT) ^ (-9223372036854775807L - 1)), 16, '0')"
+        named = named.withColumn("_key", F.expr(f"concat({key}, char(0), sha1(coalesce(text, '')))"))
+    else:
+        named = named.withColumn("_key", F.col("doc_id"))
+    found = write_shared(near_duplicates(named, "_key", "text", SIMILARITY_PERCENT), "classes")
+    stay = named.join(found.where("kept").select("_key").distinct(), "_key", "left_semi")
+    if repeated:
+        stay = stay.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return stay.select(docs.columns).union(docs.where("doc_id is null"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -304,6 +304,18 @@ def test_toxicity_chain(spark):
     assert none.predict(np.zeros((1, 0))).shape == (1, 2)
 
 
+def test_near_dedup_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(10, a, "x"), (10, b, "x"), (10, a, "w"), (9, a + " end", "x"), (-3, c, "x"), (11, c, "x"), (11, None, "x"), (11, "", "y"), (None, a, "x"), (None, a, "x")]
+    for kind in ("long", "string"):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("doc_id", F.col("doc_id").cast(kind))
+        got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+        near = (9, a + " end", "x") if kind == "long" else (10, a, "w")       # "10" < "9"
+        want = [near, (10, b, "x"), (-3, c, "x"), (11, None, "x"), (None, a, "x"), (None, a, "x")]
+        assert sorted((str(r.doc_id), str(r.text), r.lang) for r in got) == sorted((str(r[0]), str(r[1]), r[2]) for r in want)
+
+
 def test_escaping_is_reversible():
     rng = random.Random(0)
     parts = ["<", "[", "\\", "s>", "/s>", "INST]", "/INST]", "<SYS>>", "|", ">", "x", " ", "</s>", "[INST] "]
