@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidex.llm import langid, toxicity
+from incidex.llm import langid, quality, toxicity
 from incidex.llm.ann import nearest
 from incidex.llm.bpe import bpe_decode, bpe_encode
 from incidex.llm.chat import CONTROL, PrefixTree
 from incidex.llm.common import table, workers_find_package
 from incidex.llm.embed_dedup import near_duplicate_vectors
+from incidex.llm.lexical import ranked_search
 from incidex.llm.minhash import near_duplicates
+from incidex.llm.negatives import hard_negatives
 from incidex.llm.packing import pack_documents
 from incidex.llm.token_counts import token_count
 from incidex.llm.warc import archive_records
@@ -124,7 +126,36 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None
                     F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op1_adaptive_scan, op2_minhash, op3_language_id, op4_grid_order_join, op5_toxicity, op6_chat_prefix_tree, op7_warc, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip)}
+QUALITY_FROM = 0.7
+
+
+def op11_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from those not held out."""
+    workers_find_package(spark)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = quality.fit(docs, labels, "doc_id", "text", F.col("quality") == 1)
+    return (docs.select("doc_id", held_out.alias("held_out"), quality.predict_quality("text", model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int")))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str, k: int = 50) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    workers_find_package(spark)
+    return ranked_search(table(spark, sf_dir, "documents"), "doc_id", "text",
+                         table(spark, sf_dir, "benchmark"), "item_id", "text", k)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50."""
+    workers_find_package(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_adaptive_scan, op2_minhash, op3_language_id, op4_grid_order_join, op5_toxicity, op6_chat_prefix_tree, op7_warc, op8_token_counts, op9_best_fit_packing, op10_bpe_round_trip,
+                                  op11_quality_model, op12_ranked_search, op13_hard_negatives)}
 
 # shingles as lists of words; candidate pairs share a shingle; closure by recursion
 OP2_SQL = r"""
@@ -194,4 +225,53 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM p JOIN f USING (h)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_grid_order_join": OP4_SQL, "op6_chat_prefix_tree": OP6_SQL, "op7_warc": OP7_SQL}
+# terms as lists; one row a term of an item and document
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM benchmark),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM words GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, total),
+part AS (
+  SELECT doc_id, term, CAST(1000000000 * tf AS BIGINT) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)) AS c
+  FROM tf, total),
+score AS (
+  SELECT item_id, doc_id, CAST(sum(w * c) AS BIGINT) AS score
+  FROM b JOIN weight USING (term) JOIN part USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+s AS (
+  SELECT a.vec_id AS a, a.label = c.label AS same, c.vec_id AS c, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS s
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT a, c, s, row_number() OVER (PARTITION BY a ORDER BY s DESC, c) AS k FROM s WHERE same),
+n AS (
+  SELECT p.a, p.c AS p, p.s AS ps, s.c AS n, s.s AS ns,
+    CAST(row_number() OVER (PARTITION BY p.a, p.c ORDER BY s.s DESC, s.c) AS INTEGER) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s
+  WHERE p.k <= 5)
+SELECT a AS anchor_id, p AS positive_id, rank, n AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE rank <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2_SQL, "op4_grid_order_join": OP4_SQL, "op6_chat_prefix_tree": OP6_SQL, "op7_warc": OP7_SQL,
+                              "op12_ranked_search": OP12_SQL, "op13_hard_negatives": OP13_SQL}
