@@ -26,17 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from incidex.llm.memory import held
 from incidex.llm.pieces import PieceStore, Slots, gather, safe_pieces, texts_by_size
 
 # fixed value: how the byte-level pre-tokenizer cuts words
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-REMEMBERED = 250_000
+REMEMBERED_BYTES = 64 << 20    # of a worker
 SHORT = 64
 CHUNK_CHARS = 1 << 19
 INF = np.iinfo(np.int64).max
 
-_loaded: dict = {}
-
 
 def printable_bytes() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies:
@@ -63,7 +62,6 @@ class SegmentTreeBpe:
             raise ValueError(f"added tokens with matching options are not handled: {path}")
         vocab: dict[str, int] = model["vocab"]
         shown = printable_bytes()
-        back = {c: b for b, c in shown.items()}
         self.special = {a["content"]: a["id"] for a in added}
         self.cut_special = regex.compile("|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.words = regex.compile(WORD_PATTERN)
@@ -78,7 +76,12 @@ class SegmentTreeBpe:
         merged = np.array([vocab[x + y] for x, y in pairs], np.int64)
         self.merged_by_rank = merged
         self.pair = {int(k): i for i, k in enumerate(keys)}
-        self.store = PieceStore(safe_pieces, self.encode_pieces, REMEMBERED)
+        self.store = PieceStore(safe_pieces, self.encode_pieces, REMEMBERED_BYTES)
+
+    @property
+    def nbytes(self) -> int:
+        tables = (self.first, self.keys, self.ranks, self.merged_by_rank)
+        return self.store.nbytes + sum(t.nbytes for t in tables) + 120 * len(self.pair)
 
     # -- merging ---------------------------------------------------------
     def _pair_values(self, left, right, width: int, pos):
@@ -244,6 +247,7 @@ class ByteVocabulary:
         back = {c: b for b, c in printable_bytes().items()}
         special = {a["id"]: a["content"].encode() for a in spec["added_tokens"]}
         tokens = {i: bytes(back[c] for c in t) for t, i in spec["model"]["vocab"].items() if i not in special} | special
+        self.nbytes = 16 * len(tokens)
         self.by_id = pa.array([tokens.get(i, b"") for i in range(1 + max(tokens))], pa.large_binary())
 
     def decode(self, offsets: np.ndarray, ids: np.ndarray) -> list[str]:
@@ -259,9 +263,19 @@ class ByteVocabulary:
 
 def load(path: str, kind: type = SegmentTreeBpe):
     """The worker's own encoder or vocabulary of a file, read once."""
-    if (path, kind) not in _loaded:
-        _loaded[path, kind] = kind(path)
-    return _loaded[path, kind]
+    return held("bpe", (path, kind), lambda: kind(path))
+
+
+def _encoded(model: SegmentTreeBpe, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Offsets and ids of consecutive texts, about ``CHUNK_CHARS`` characters a time."""
+    for some in texts_by_size(texts, CHUNK_CHARS):
+        yield model.encode(some)
+
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.ListArray:
+    sizes = np.concatenate([np.zeros(1, np.int64), *(np.diff(at) for at, _ in parts)])
+    flat = np.concatenate([np.zeros(0, np.int32), *(ids for _, ids in parts)])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat, pa.int32()))
 
 
 def bpe_encode(text: Column | str, tokenizer: str) -> Column:
@@ -269,27 +283,36 @@ def bpe_encode(text: Column | str, tokenizer: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = load(tokenizer)
         for texts in batches:
-            offsets, parts, base = [np.zeros(1, np.int64)], [], 0
-            for some in texts_by_size(texts, CHUNK_CHARS):
-                at, ids = model.encode(some)
-                offsets.append(at[1:] + base)
-                parts.append(ids)
-                base += len(ids)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(flat, pa.int32()))
+            yield _joined(list(_encoded(load(tokenizer), texts)))
 
     return encode(F.col(text) if isinstance(text, str) else text)
 
 
+def bpe_round_trip(text: Column | str, tokenizer: str) -> Column:
+    """``struct<ids: array<int>, text: string>``: the ids of the whole text, and the text
+    that they stand for.  One worker holds both tables, ids cross to it once."""
+
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts, back = [], []
+            for at, ids in _encoded(load(tokenizer), texts):
+                parts.append((at, ids))
+                back.append(pa.array(load(tokenizer, ByteVocabulary).decode(at, ids), pa.string()))
+            back = pa.concat_arrays(back) if back else pa.array([], pa.string())
+            yield pa.StructArray.from_arrays([_joined(parts), back], names=["ids", "text"])
+
+    return both(F.col(text) if isinstance(text, str) else text)
+
+
 def bpe_decode(ids: Column | str, tokenizer: str) -> Column:
     """The text that the ids stand for, special tokens included."""
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = load(tokenizer, ByteVocabulary)
         for lists in batches:
+            vocabulary = load(tokenizer, ByteVocabulary)
             lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             yield pa.array(vocabulary.decode(np.concatenate([[0], np.cumsum(lengths)]), flat), pa.string())

@@ -12,9 +12,17 @@ from incidex.session import ensure_checkpoint_dir, shared_path
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_ROWS = 2_000
+
+
 def workers_find_package(spark: SparkSession) -> None:
     """Let Python workers import this package when it was not installed or sent
-    with ``--py-files`` and the folder exists on their machine."""
+    with ``--py-files`` and the folder exists on their machine.
+
+    Batches of Spark's standard 10,000 rows are cut to ``BATCH_ROWS``: rows
+    here are whole texts, and both sides hold a batch at a time."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in have.split(os.pathsep):

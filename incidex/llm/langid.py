@@ -18,23 +18,25 @@ part.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidex.llm.memory import release_others
+
 BITS = 14
 SAMPLE_PER_LANGUAGE = 800
 CLUSTERS = 3
 REJECT_SHARE = 0.3
 UNKNOWN = "und"
 CHUNK_CHARS = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _NO_LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 
 
@@ -100,6 +102,7 @@ def fit(docs: DataFrame, text: str, language: str, sample: int = SAMPLE_PER_LANG
              .where("language is not null and text is not null"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others("langid")
         found, rows = np.zeros(1 << BITS, np.int64), 0
         for batch in batches:
             for t in batch.column(0):
@@ -161,6 +164,7 @@ def predict_language(text: Column | str, model: LanguageModel) -> Column:
 
     @F.arrow_udf("struct<lang: string, score: double, rejected: boolean>")
     def predict(texts: pa.Array) -> pa.Array:
+        release_others("langid")
         out = [model.predict(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()),
                                            pa.array([x[2] for x in out], pa.bool_())], names=["lang", "score", "rejected"])

@@ -32,12 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incidex.llm.common import connected_components, write_shared
+from incidex.llm.memory import held
 
 BINS_BITS = 8
 BANDS, ROWS = 42, 6
 CHUNK = 512
 BLOOM_BITS = 22
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 U = np.uint64
 _STEP, _FINAL1, _FINAL2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 
@@ -52,13 +53,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of each word, remembered by the worker."""
 
+    @property
+    def nbytes(self) -> int:
+        return 160 * len(self)
+
     def __missing__(self, word: bytes) -> int:
         self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
 
 
-_words = WordHashes()
-
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles of ``width`` words.
@@ -70,9 +73,10 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, U)
-    if len(_words) > REMEMBERED:
-        _words.clear()
-    h = np.fromiter(map(_words.__getitem__, words), U, len(words))
+    known = held("minhash", "words", WordHashes)
+    if len(known) > REMEMBERED:
+        known.clear()
+    h = np.fromiter(map(known.__getitem__, words), U, len(words))
     n = min(width, len(h))
     s = np.full(len(h) - n + 1, n, U)
     for x in range(n):

@@ -13,6 +13,12 @@ Pieces then take the plan's places by their rank among pieces of the same
 length.  Ranks are counted in salted groups, so a length that holds a third of
 all pieces is ranked by many tasks.  Only the histogram passes through the
 driver; the plan travels with the function that looks places up.
+
+Null and empty texts are one end token; null keys and repeated rows are packed
+like any other (equal rows are interchangeable, ties in length go by key);
+texts of any length are cut piece by piece; an empty table stays empty; the
+caller's columns stay as they are, whatever their names (``sequence_id`` and
+``offset`` are appended).
 """
 
 from __future__ import annotations
@@ -31,36 +37,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incidex.llm.common import write_shared
+from incidex.llm.memory import held
 from incidex.llm.pieces import PieceStore, blank_free_pieces, by_bytes, texts_by_size
 
 CHUNK_CHARS = 1 << 20
 ENCODE_BYTES = 1 << 18
 ROWS_IN_GROUP = 50_000
-REMEMBERED = 1_200_000
-
-_stores: dict[str, PieceStore] = {}
+REMEMBERED_BYTES = 96 << 20    # of a worker
 
 
 # -- tokens -------------------------------------------------------------------
-def _store(path: str) -> PieceStore:
+def _store(path: str, budget: int = REMEMBERED_BYTES) -> PieceStore:
     """Encoder of a tokenizer file that drops white space, piece by piece."""
-    if path not in _stores:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tokenizers
-        t = tokenizers.Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tokenizers
+    t = tokenizers.Tokenizer.from_file(path)
+    t.no_truncation()
+    t.no_padding()
 
-        def learn(new):
-            ids, sizes = [], []
-            for batch in by_bytes(new, ENCODE_BYTES):
-                found = t.encode_batch_fast(batch, add_special_tokens=False)
-                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-                ids.append(np.fromiter(chain.from_iterable(e.ids for e in found), np.int32, int(sizes[-1].sum())))
-            return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    def learn(new):
+        ids, sizes = [], []
+        for batch in by_bytes(new, ENCODE_BYTES):
+            found = t.encode_batch_fast(batch, add_special_tokens=False)
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(e.ids for e in found), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
-        _stores[path] = PieceStore(blank_free_pieces, learn, REMEMBERED)
-    return _stores[path]
+    return PieceStore(blank_free_pieces, learn, budget)
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int,
@@ -83,7 +86,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = _store(tokenizer)
+        store = held("packing", tokenizer, lambda: _store(tokenizer))
         for batch in batches:
             at = 0
             for texts in texts_by_size(batch.column(1), CHUNK_CHARS):
@@ -283,16 +286,17 @@ def pack(pieces: DataFrame, keys: list[str], length: str, capacity: int) -> Data
     groups = F.lit([max(1, -(-hist.get(s, 0) // share)) for s in range(capacity + 1)])
     salts = F.coalesce(F.get(groups, F.when(F.col(length).between(1, capacity), F.col(length)).cast("int")), F.lit(spread))
     known = pieces.columns
-    group = [F.col(length).alias("_size"), "_salt"]
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*known), salts))
-    before = (salted.groupBy(*group).agg(F.count("*").alias("_n"))
-              .withColumn("_before", F.sum("_n").over(Window.partitionBy("_size").orderBy("_salt")) - F.col("_n"))
-              .select(F.col("_size").alias("_size2"), F.col("_salt").alias("_salt2"), "_before"))
-    ranked = (salted.withColumn("_size", F.col(length)).withColumn("_rank", F.row_number().over(
-        Window.partitionBy("_size", "_salt").orderBy(*keys, F.xxhash64(*known))) - 1))
-    joined = ranked.join(before, (F.col("_size") == F.col("_size2")) & (F.col("_salt") == F.col("_salt2")), "left")
-    return (joined.withColumn("_place", place(F.col("_size").cast("long"), F.col("_rank") + F.col("_before")))
-            .select(*known, F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset")))
+    row = "r"        # all of the caller's columns travel as one, so no name can clash
+    salted = pieces.select(F.struct(*known).alias(row), F.col(length).alias("size"), F.struct(*keys).alias("key"),
+                           F.xxhash64(*known).alias("hash"), salts.alias("salts"))
+    salted = salted.withColumn("salt", F.pmod("hash", "salts")).drop("salts")
+    before = (salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
+              .withColumn("before", F.sum("n").over(Window.partitionBy("size").orderBy("salt")) - F.col("n"))
+              .select(F.col("size").alias("size2"), F.col("salt").alias("salt2"), "before"))
+    ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("size", "salt").orderBy("key", "hash")) - 1)
+    joined = ranked.join(before, (F.col("size") == F.col("size2")) & (F.col("salt") == F.col("salt2")), "left")
+    return (joined.withColumn("place", place(F.col("size").cast("long"), F.col("rank") + F.col("before")))
+            .select(f"{row}.*", F.col("place.sequence_id").alias("sequence_id"), F.col("place.offset").alias("offset")))
 
 
 def pack_documents(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int,

@@ -73,33 +73,59 @@ def gather(values: np.ndarray, begin: np.ndarray, number: np.ndarray) -> tuple[n
 
 
 class PieceStore:
-    """Token ids of texts, piece by piece; a bounded number of pieces is remembered.
+    """Token ids of texts, piece by piece; what is remembered stays under ``budget`` bytes.
 
     ``cut`` splits a text; ``learn`` encodes a list of new pieces and returns
-    all their ids and where each piece's ids end (from 0).
+    all their ids and where each piece's ids end (from 0).  Past the budget,
+    pieces met once are forgotten and the most frequent others are kept, at
+    most a half of the budget; their counts are halved, so old favourites fade.
     """
 
-    def __init__(self, cut: Callable, learn: Callable, remembered: int = 400_000):
-        self.cut, self.learn, self.remembered = cut, learn, remembered
-        self._forget()
-
-    def _forget(self):
-        self.slots = Slots()
-        self.ends = np.zeros(1, np.int64)   # slot s: flat[ends[s]:ends[s + 1]]
-        self.flat = np.zeros(0, np.int32)
+    ENTRY_BYTES = 160    # dictionary entry, string header and slot number of a piece, about
+
+    def __init__(self, cut: Callable, learn: Callable, budget: int = 64 << 20):
+        self.cut, self.learn, self.budget = cut, learn, budget
+        self._start(Slots(), np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), 0)
+
+    def _start(self, slots, ends, flat, hits, chars):
+        self.slots = slots
+        self.ends = ends            # slot s: flat[ends[s]:ends[s + 1]]
+        self.flat = flat
+        self.hits = hits
+        self.chars = chars
+
+    @property
+    def nbytes(self) -> int:
+        return self.ENTRY_BYTES * len(self.slots) + 2 * self.chars + self.flat.nbytes + self.ends.nbytes + self.hits.nbytes
+
+    def _shrink(self):
+        pieces = list(self.slots)
+        size = self.ENTRY_BYTES + 16 + 2 * np.fromiter(map(len, pieces), np.int64, len(pieces)) + 4 * np.diff(self.ends)
+        order = np.argsort(-self.hits, kind="stable")
+        order = order[(np.cumsum(size[order]) <= self.budget // 2) & (self.hits[order] > 1)]
+        begin = self.ends[order]
+        flat, ends = gather(self.flat, begin, self.ends[order + 1] - begin)
+        slots = Slots()
+        for s in order.tolist():
+            slots[pieces[s]]
+        slots.new = []
+        self._start(slots, ends, flat, (self.hits[order] + 1) // 2, sum(map(len, slots)))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids end (from 0), and the ids, one text after the other."""
-        if len(self.slots) > self.remembered or len(self.flat) > 8 * self.remembered:
-            self._forget()
+        if self.nbytes > self.budget:
+            self._shrink()
         cut = [self.cut(t) if t else [] for t in texts]
         sizes = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
         slots = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(cut)), np.int64, sizes[-1])
         if self.slots.new:
             flat, ends = self.learn(self.slots.new)
+            self.chars += sum(map(len, self.slots.new))
             self.ends = np.concatenate([self.ends, ends[1:] + self.ends[-1]])
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
             self.slots.new = []
+        self.hits = np.bincount(slots, minlength=len(self.slots)) + np.append(
+            self.hits, np.zeros(len(self.slots) - len(self.hits), np.int64))
         begin = self.ends[slots]
         ids, ends = gather(self.flat, begin, self.ends[slots + 1] - begin)
         return ends[sizes], ids

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from incidex.llm import langid, quality, toxicity
 from incidex.llm.ann import nearest
-from incidex.llm.bpe import bpe_decode, bpe_encode
+from incidex.llm.bpe import bpe_round_trip
 from incidex.llm.chat import CONTROL, PrefixTree
 from incidex.llm.common import table, workers_find_package
 from incidex.llm.embed_dedup import near_duplicate_vectors
@@ -18,17 +18,10 @@ from incidex.llm.packing import pack_documents
 from incidex.llm.token_counts import token_count
 from incidex.llm.warc import archive_records
 
-TOKENIZERS = "/opt/tokenizers"
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
-
 
 def tokenizer_path(name: str) -> str:
-    try:
-        import public_tokenizers
-        return public_tokenizers.path(name)
-    except ImportError:
-        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def op1_adaptive_scan(spark: SparkSession, sf_dir: str, k: int = 20) -> DataFrame:
@@ -119,11 +112,10 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None
     workers_find_package(spark)
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     return (table(spark, sf_dir, "documents")
-            .select("doc_id", bpe_encode(F.col("text"), path).alias("ids"))
-            .withColumn("text", bpe_decode(F.col("ids"), path))
-            .select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                    F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                    F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")))
+            .select("doc_id", bpe_round_trip(F.col("text"), path).alias("r"))
+            .select("doc_id", F.size("r.ids").cast("long").alias("n_tokens"),
+                    F.sha2(F.concat_ws(",", F.col("r.ids").cast("array<string>")), 256).alias("ids_sha256"),
+                    F.sha2(F.encode("r.text", "UTF-8"), 256).alias("decoded_sha256")))
 
 
 QUALITY_FROM = 0.7

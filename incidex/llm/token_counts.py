@@ -22,14 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from incidex.llm.memory import held
 from incidex.llm.pieces import Slots, by_bytes, safe_pieces, texts_by_size
 
 BATCH_BYTES = 1 << 18
 REMEMBERED = 600_000
 REMEMBERED_CHARS = 16 * REMEMBERED
 
-_counters: dict[str, "PieceCounter"] = {}
-
 
 class PieceCounter:
     """Lengths of pieces under one tokenizer file."""
@@ -54,6 +53,10 @@ class PieceCounter:
     def _forget(self):
         self.slots, self.known, self.chars = Slots(), np.zeros(0, np.int64), 0
 
+    @property
+    def nbytes(self) -> int:
+        return 160 * len(self.slots) + 2 * self.chars + self.known.nbytes
+
     def count(self, texts: list[str | None]) -> np.ndarray:
         if len(self.slots) > self.remembered or self.chars > REMEMBERED_CHARS:
             self._forget()
@@ -76,9 +79,7 @@ def token_count(text: Column | str, tokenizer: str) -> Column:
 
     @F.arrow_udf("long")
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = _counters.get(tokenizer)
-        if counter is None:
-            counter = _counters[tokenizer] = PieceCounter(tokenizer)
+        counter = held("token_counts", tokenizer, lambda: PieceCounter(tokenizer))
         for texts in batches:
             out = [counter.count(part) for part in texts_by_size(texts, 4 * BATCH_BYTES)]
             yield pa.array(np.concatenate(out) if out else [], pa.int64())

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidex.llm.common import write_shared
+from incidex.llm.memory import release_others
 
 SAMPLE_PER_CLASS = 6_000
 FEATURES = 256
@@ -143,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: dic
                         "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others("toxicity")
         every = Features()
         n = np.zeros((1 + len(ys), 1 << BITS), np.int64)
         total = np.zeros(1 + len(ys), np.int64)
@@ -173,6 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: dic
                     chosen.setdefault(r["feature"], len(chosen))
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others("toxicity")
         some = Features(chosen)
         for batch in batches:
             f = pa.array([some.of(t.as_py()) for t in batch.column(0)], pa.list_(pa.int32()))
@@ -193,6 +196,7 @@ def predict_toxicity(text: Column | str, chain: Chain) -> Column:
 
     @F.arrow_udf(f"struct<{fields}>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_others("toxicity")
         some = Features(chain.wanted)
         for texts in batches:
             x = np.zeros((len(texts), len(chain.wanted)), np.float32)
