@@ -22,19 +22,25 @@ CAPACITY = 2048
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; the model learns from all rows with a language."""
+    """Documents whose language is recognised; the model learns from all rows with a language.
+
+    Null and empty texts and texts without letters have no language and go;
+    without rows to learn from, every document goes.  Repeated rows are judged
+    alike; ids and other columns play no part."""
     workers_find_package(spark)
     model = langid.fit(docs, "text", "lang")
-    keep = langid.predict_language("text", model)
-    return docs.withColumn("_language", keep).where(~F.col("_language.rejected")).drop("_language")
+    return docs.where(~langid.predict_language("text", model).getField("rejected"))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain does not call toxic."""
+    """Documents that the chain does not call toxic.
+
+    Null and empty texts get the base rate of the labels, and without labels
+    every text has probability 0: all stay.  Repeated rows are judged alike;
+    rows with a null id are judged but do not train."""
     workers_find_package(spark)
     chain = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", toxicity_categories())
-    p = toxicity.predict_toxicity("text", chain)
-    return docs.withColumn("_p", p).where(F.col("_p.toxic") < TOXIC_FROM).drop("_p")
+    return docs.where(toxicity.predict_toxicity("text", chain).getField("toxic") < TOXIC_FROM)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +48,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one id with different texts are documents of their own, ordered by
     the text's SHA-1; of rows with equal id and text the smallest stays.  Rows
-    with a null id all stay."""
+    with a null id, a null text or a text without words all stay (the latter
+    two once an id)."""
     workers_find_package(spark)
+    name = "key"      # of the helper column: no column of the documents
+    while name in docs.columns:
+        name += "_"
     named = docs.where("doc_id is not null")
     repeated = not named.groupBy("doc_id").count().where("count > 1").isEmpty()
     if repeated:
@@ -51,18 +61,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         key = "doc_id"
         if isinstance(docs.schema["doc_id"].dataType, IntegralType):
             key = "lpad(hex(CAST(doc_id AS BIGINT) ^ (-9223372036854775807L - 1)), 16, '0')"
-        named = named.withColumn("_key", F.expr(f"concat({key}, char(0), sha1(coalesce(text, '')))"))
+        named = named.withColumn(name, F.expr(f"concat({key}, char(0), sha1(coalesce(text, '')))"))
     else:
-        named = named.withColumn("_key", F.col("doc_id"))
-    found = write_shared(near_duplicates(named, "_key", "text", SIMILARITY_PERCENT), "classes")
-    stay = named.join(found.where("kept").select("_key").distinct(), "_key", "left_semi")
+        named = named.withColumn(name, F.col("doc_id"))
+    found = write_shared(near_duplicates(named, name, "text", SIMILARITY_PERCENT), "classes")
+    stay = named.join(found.where("kept").select(name).distinct(), name, "left_semi")
     if repeated:
-        stay = stay.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+        stay = stay.groupBy(name).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
     return stay.select(docs.columns).union(docs.where("doc_id is null"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents with their sequence and offset."""
+    """Token pieces of all documents with their sequence and offset.
+
+    A null or empty text is its end token alone; null ids and repeated rows
+    are packed like any other; an empty table gives no piece."""
     workers_find_package(spark)
     return pack_documents(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), CAPACITY)
 
