@@ -188,6 +188,29 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
         .drop("_lv", "_gx", "_gy", "_yc", "_edges", "_odd")
 
 
+def edge_cells(e: DataFrame, cell: float, crossing: bool = False) -> DataFrame:
+    """Edges (with tolerance ``_m``) listed in the grid cells they pass through,
+    row by row: (length / cell) entries, also for a diagonal edge.  ``crossing``
+    adds ``_gc``, the cell of the row in which the edge crosses the test line."""
+    c = F.lit(float(cell))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    m = F.col("_m")
+
+    def at(y):      # x of the edge at height y, kept on the edge
+        share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - F.col("y1")) / dy))
+        return F.col("x1") + share * dx
+    rows = e.withColumn("_gy", F.explode(F.sequence(F.floor((F.least("y1", "y2") - m) / c),
+                                                    F.floor((F.greatest("y1", "y2") + m) / c))))
+    ends = [F.when(dy == 0, F.col(end)).otherwise(at(y)) for end, y in
+            (("x1", F.col("_gy") * c - m), ("x2", (F.col("_gy") + 1) * c + m))]
+    low, high = F.floor((F.least(*ends) - m) / c), F.floor((F.greatest(*ends) + m) / c)
+    if crossing:
+        line = row_line(c)
+        rows = rows.withColumn("_gc", F.when((F.col("y1") > line) != (F.col("y2") > line), F.floor(at(line) / c)))
+        low, high = F.least(low, "_gc"), F.greatest(high, "_gc")
+    return rows.withColumn("_gx", F.explode(F.sequence(low, high)))
+
+
 def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
     """Split every edge at the vertices of its key that lie strictly inside it
     (T-junctions: a part's corner in the middle of a neighbour's side), so
@@ -195,11 +218,11 @@ def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
     ``dissolve``.
 
     Vertices are found with a grid equi-join: an edge is listed in the cells
-    of its bounding box (``cell`` about the edge length, so an edge covers a
-    few cells), a vertex in the one cell that holds it; candidates meet only
+    it passes through (``cell`` about the edge length, so these are few), a
+    vertex in the one cell that holds it; candidates meet only
     within a (key, cell) and are tested with a tolerance scaled to the edge's
     length, strictly between its end points.  The cut is the vertex itself, so
-    both sides of a border get identical segments.  An edge's box is widened
+    both sides of a border get identical segments.  An edge's cells are widened
     by the tolerance, so a vertex on a cell border is never missed."""
     keys = list(keys)
     c = F.lit(float(cell))
@@ -207,10 +230,7 @@ def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
                     .withColumn("_eid", F.monotonically_increasing_id()).withColumn("_m", edge_tolerance()))
     verts = e.select(*keys, F.col("x1").alias("_vx"), F.col("y1").alias("_vy")).distinct()
     m = F.col("_m")
-    ec = (e.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("x1", "x2") - m) / c),
-                                                   F.floor((F.greatest("x1", "x2") + m) / c))))
-           .withColumn("_gy", F.explode(F.sequence(F.floor((F.least("y1", "y2") - m) / c),
-                                                   F.floor((F.greatest("y1", "y2") + m) / c)))))
+    ec = edge_cells(e, cell)
     vc = verts.withColumn("_gx", F.floor(F.col("_vx") / c)).withColumn("_gy", F.floor(F.col("_vy") / c))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     cross = dx * (F.col("_vy") - F.col("y1")) - (F.col("_vx") - F.col("x1")) * dy
@@ -220,6 +240,12 @@ def split_at_vertices(edges: DataFrame, keys, cell: float) -> DataFrame:
               .where((F.abs(cross) <= m * F.sqrt(length2)) & (along > m * F.sqrt(length2))
                      & (along < length2 - m * F.sqrt(length2)))
               .select("_eid", (along / length2).alias("_t"), "_vx", "_vy").distinct())
+    return cut_edges(e, hits, keys)
+
+
+def cut_edges(e: DataFrame, hits: DataFrame, keys) -> DataFrame:
+    """Edges ``e`` (with ``_eid``) cut at their ``hits`` (_eid, place ``_t`` along
+    the edge, _vx, _vy)."""
     cuts = hits.groupBy("_eid").agg(F.array_sort(F.collect_list(F.struct("_t", "_vx", "_vy"))).alias("_c"))
     point = "struct<_t:double,_vx:double,_vy:double>"
     path = F.concat(F.array(F.struct(F.lit(0.0).alias("_t"), F.col("x1").alias("_vx"), F.col("y1").alias("_vy"))),
@@ -238,22 +264,14 @@ def dissolve(edges: DataFrame, keys, snap_digits: int | None = None,
     Parts must be oriented consistently (``zone_edges`` does it); borders
     shared by two parts cancel.  With ``split_cell`` the edges are first split
     at T-junctions (``split_at_vertices``), so the parts need not be
-    edge-matched.  Output: keys, directed edge, ``mult`` (1 for a proper
+    edge-matched.  Parts that overlap need ``overlay.union_parts``.  Output: keys, directed edge, ``mult`` (1 for a proper
     coverage).
     """
     keys = list(keys)
     e = split_at_vertices(edges, keys, split_cell) if split_cell else edges
     if snap_digits is not None:
         e = e.select(*keys, *[F.round(c, snap_digits).alias(c) for c in ("x1", "y1", "x2", "y2")])
-    fwd = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
-    canon = e.select(
-        *keys,
-        F.when(fwd, F.col("x1")).otherwise(F.col("x2")).alias("ax"),
-        F.when(fwd, F.col("y1")).otherwise(F.col("y2")).alias("ay"),
-        F.when(fwd, F.col("x2")).otherwise(F.col("x1")).alias("bx"),
-        F.when(fwd, F.col("y2")).otherwise(F.col("y1")).alias("by"),
-        F.when(fwd, F.lit(1)).otherwise(F.lit(-1)).alias("d"))
-    net = canon.groupBy(*keys, "ax", "ay", "bx", "by").agg(F.sum("d").alias("net")).where("net <> 0")
+    net = net_edges(e, keys)
     pos = F.col("net") > 0
     return net.select(
         *keys,
@@ -264,6 +282,20 @@ def dissolve(edges: DataFrame, keys, snap_digits: int | None = None,
         F.abs(F.col("net")).cast("int").alias("mult"))
 
 
+def net_edges(e: DataFrame, keys) -> DataFrame:
+    """Equal segments of a key put together: canonical ends and the net number
+    of times the segment is passed from ``a`` to ``b``; those that cancel go."""
+    fwd = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
+    canon = e.select(
+        *keys,
+        F.when(fwd, F.col("x1")).otherwise(F.col("x2")).alias("ax"),
+        F.when(fwd, F.col("y1")).otherwise(F.col("y2")).alias("ay"),
+        F.when(fwd, F.col("x2")).otherwise(F.col("x1")).alias("bx"),
+        F.when(fwd, F.col("y2")).otherwise(F.col("y1")).alias("by"),
+        F.when(fwd, F.lit(1)).otherwise(F.lit(-1)).alias("d"))
+    return canon.groupBy(*keys, "ax", "ay", "bx", "by").agg(F.sum("d").alias("net")).where("net <> 0")
+
+
 def edges_area(edges: DataFrame, keys) -> DataFrame:
     """Area per key from directed edge rows (trapezoids, partial aggregation): its
     terms are as small as the edges, so little is lost far from the origin."""

@@ -18,6 +18,7 @@ from ..operators.columns import drop_suffix_columns, drop_void_columns
 from ..operators.dedup import keep_top_priority, union_sources
 from ..operators.logs import LINE_ORDER, forward_fill, line_order, line_time, parse_log_lines, stage_metrics
 from ..operators.rates import rate_index
+from ..operators.overlay import union_parts
 from ..operators.rings import assemble_polygons, assemble_rings
 from ..operators.spatial import dissolve, edges_area, spatial_join, zone_edges
 from ..session import concurrently, ensure_parallelism, shared_path
@@ -454,6 +455,14 @@ def dissolve_t_junctions(spark, sf):
     return rounded(edges_area(edges, ["CD_MUN"]).select("CD_MUN", "n_edges", "area"))
 
 
+def union_overlapping(spark, sf):
+    """Union of overlapping parts by group: area and length of the boundary."""
+    edges = union_parts(zone_edges(fx.overlapping_parts(spark, sf), ["grp"]), ["grp"])
+    return edges.groupBy("grp").agg(
+        F.round(F.sum((F.col("x1") - F.col("x2")) * (F.col("y1") + F.col("y2"))) / 2, AREA_DIGITS).alias("area"),
+        F.round(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), 6).alias("length"))
+
+
 def geojson_features_q(spark, sf):
     """Zone parts written as GeoJSON Polygon features and read back."""
     path = shared_path(spark, "geojson")
@@ -677,6 +686,49 @@ def etl_table_rows(spark, sf):
     return run_etl(spark, sf)["metrics"].select("level", "table_name", "row_count")
 
 
+LANDING_YEARS = list(range(2015, 2025))
+
+
+def write_landing(spark, sf, base: str) -> dict:
+    """Landing folders of the three incident sources, one folder a year, with
+    headings that differ between the years and a part that holds no data;
+    returns the spec that reads them."""
+    tables = {}
+    for source, fmt in (("cellphones", "csv"), ("vehicles", "parquet"), ("others", "csv")):
+        year = "ANO_ESTATISTICA" if source == "others" else "ANO"
+        raw = fx.raw_incidents(spark, sf, source).withColumn("y", F.col(year))
+        columns = [c for c in raw.columns if c != "y"]
+        place = f"{base}/{source}"
+
+        def put(part, order, mode):
+            out = part.select(*order, "y").hint("rebalance", "y").write.partitionBy("y").mode(mode)
+            if fmt == "csv":
+                (out.option("sep", ";").option("encoding", "Windows-1252").option("header", True)
+                    .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(place))
+            else:
+                out.parquet(place)
+        odd = F.col("y").cast("int") % 2 == 1
+        put(raw.where(odd), columns, "overwrite")
+        put(raw.where(~odd).withColumn("OBS", F.lit(None).cast("string")), ["OBS", *reversed(columns)], "append")
+        if fmt == "csv":
+            note = spark.range(1).select(F.lit("field").alias("CAMPO"), F.lit("meaning").alias("DESCRIÇÃO"))
+            sinks.write_delimited(note, f"{place}/y={LANDING_YEARS[0]}/METODOLOGIA")
+        tables[f"bronze_crimes_{source}"] = {"input": f"{source}/y={{year}}", "format": fmt, "years": LANDING_YEARS,
+                                             "skip_parts": ["METODOLOGIA"]}
+    return {"base": base, "tables": tables}
+
+
+def landing_run(spark, sf):
+    """The whole layered run with the incident tables read from landing files
+    by spec; contents of its gold sector table, polygons included."""
+    import copy
+    from .etl import RUN_SPEC, run_etl
+    landing = write_landing(spark, sf, shared_path(spark, "landing"))
+    gold = run_etl(spark, sf, spec={**copy.deepcopy(RUN_SPEC), "landing": landing})["tables"]["gold_crimes_scs"]
+    return (gold.withColumn("AREA_KM2", F.round("AREA_KM2", 6)).withColumn("n_polygons", F.size("polygons"))
+            .withColumn("n_points", F.size(F.expr("polygons[0][0]"))).drop("polygons"))
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_partition_pruned": scan_partition_pruned,
@@ -747,4 +799,6 @@ QUERIES = {
     "map_layer_city_border": map_layer_city_border,
     "silver_rejects": silver_rejects,
     "etl_table_rows": etl_table_rows,
+    "landing_run": landing_run,
+    "union_overlapping": union_overlapping,
 }

@@ -61,6 +61,29 @@ def cells(spark, sf_dir) -> DataFrame:
         f"{lon_units('c_custkey')} AS ux", f"{lat_units('c_custkey')} AS uy")
 
 
+# widened cells: whole multiples of OVERLAP_STEP beyond the cell on each side
+OVERLAP_STEP = 5
+OVERLAP_GROUP = 25
+
+
+def overlap_box(div: str = "DIV") -> list[str]:
+    """SQL for the box (x0, y0, x1, y1 in units) of a customer's widened cell:
+    neighbours overlap, cross and share parts of their sides."""
+    x, y, s = lon_units("c_custkey", div), lat_units("c_custkey", div), OVERLAP_STEP
+    return [f"({x} - {s} * (c_custkey % 2))", f"({y} - {s} * (c_custkey % 3))",
+            f"({x} + {CELL + s} + {s} * (c_custkey % 4))", f"({y} + {CELL} + {s} * (c_custkey % 2))"]
+
+
+def overlapping_parts(spark, sf_dir) -> DataFrame:
+    """Widened cells as parts, grouped by consecutive keys."""
+    x0, y0, x1, y1 = overlap_box()
+    return (ensure_parallelism(table(spark, sf_dir, "customer"))
+            .selectExpr(f"c_custkey DIV {OVERLAP_GROUP} AS grp", *[f"{degrees(v)} AS {n}" for v, n in
+                                                                   ((x0, "x0"), (y0, "y0"), (x1, "xx"), (y1, "yy"))])
+            .selectExpr("grp", "array(array(struct(x0 AS x, y0 AS y), struct(xx AS x, y0 AS y), struct(xx AS x, yy AS y), "
+                               "struct(x0 AS x, yy AS y), struct(x0 AS x, y0 AS y))) AS rings"))
+
+
 def lon_units(key: str, div: str = "DIV") -> str:
     """SQL for the left side of cell ``key`` in units (``div``: the dialect's
     whole-number division)."""
@@ -227,7 +250,8 @@ def coord_text(units: str, div: str = "DIV", text: str = "STRING") -> str:
     sign = f"CASE WHEN {units} < 0 THEN '-' ELSE '' END"
     whole = f"CAST(abs({units}) {div} {DEGREE} AS {text})"
     dotted = f"concat({sign}, {whole}, '.', lpad(CAST(abs({units}) % {DEGREE} AS {text}), 4, '0'))"
-    digits = f"concat({sign}, CAST(abs({units}) AS {text}))"
+    # two digits before the point, also below ten degrees: the repair puts the point after two
+    digits = f"concat({sign}, lpad(CAST(abs({units}) AS {text}), 6, '0'))"
     return (f"CASE l_orderkey % 3 WHEN 0 THEN {dotted} WHEN 1 THEN {digits} "
             f"ELSE concat(' ', {dotted}, ' ') END")
 

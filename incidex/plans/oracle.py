@@ -492,6 +492,23 @@ def build() -> dict[str, str]:
     s["gold_incidents"] = gold_incidents_sql()
     s["gold_sector_rates"] = gold_sector_sql()
     s["gold_municipality_rates"] = gold_mun_sql()
+    # the union painted on a raster of the step; its sides without a painted neighbour are the boundary
+    x0, y0, x1, y1 = fx.overlap_box("//")
+    step = fx.OVERLAP_STEP
+    s["union_overlapping"] = (
+        f"WITH box AS (SELECT c_custkey // {fx.OVERLAP_GROUP} AS grp, {x0} AS x0, {y0} AS y0, {x1} AS x1, {y1} AS y1 FROM customer), "
+        f"col AS (SELECT grp, y0, y1, unnest(generate_series(x0, x1 - {step}, {step})) AS x FROM box), "
+        f"paint AS (SELECT DISTINCT grp, x, y FROM (SELECT grp, x, unnest(generate_series(y0, y1 - {step}, {step})) AS y FROM col)), "
+        "side AS (SELECT p.grp, (CASE WHEN l.x IS NULL THEN 1 ELSE 0 END) + (CASE WHEN r.x IS NULL THEN 1 ELSE 0 END) "
+        "+ (CASE WHEN d.x IS NULL THEN 1 ELSE 0 END) + (CASE WHEN u.x IS NULL THEN 1 ELSE 0 END) AS n FROM paint p "
+        f"LEFT JOIN paint l ON l.grp = p.grp AND l.x = p.x - {step} AND l.y = p.y "
+        f"LEFT JOIN paint r ON r.grp = p.grp AND r.x = p.x + {step} AND r.y = p.y "
+        f"LEFT JOIN paint d ON d.grp = p.grp AND d.x = p.x AND d.y = p.y - {step} "
+        f"LEFT JOIN paint u ON u.grp = p.grp AND u.x = p.x AND u.y = p.y + {step}) "
+        f"SELECT grp, round(CAST(count(*) AS DOUBLE) * {step * step} / {fx.DEGREE * fx.DEGREE}, {C.AREA_DIGITS}) AS area, "
+        f"round(CAST(sum(n) AS DOUBLE) * {step} / {fx.DEGREE}, 6) AS length FROM side GROUP BY grp")
+    s["landing_run"] = ("SELECT *, CAST(1 AS INTEGER) AS n_polygons, CAST(7 AS INTEGER) AS n_points "
+                        f"FROM ({gold_sector_sql()})")
     s["map_extract_municipality"] = (f"SELECT ID_MUN, MUN, STATE, {MAP_COLS} FROM ({gold_mun_sql()}) "
                                      f"WHERE YEAR_INFO = {C.MAP_YEAR}")
     s["map_layer_municipality"] = (

@@ -67,8 +67,11 @@ def materialize(df: DataFrame, name: str, partition_cols=None, max_records: int
 
 # ----------------------------------------------------------------- bronze --
 def bronze(df: DataFrame, year_col: str | None = None, year: int | None = None) -> DataFrame:
+    """Fingerprint, year and distinct rows of a landing table.  A column
+    ``YEAR_INFO`` (the year of the row's landing file) is the year itself and
+    no part of the fingerprint."""
     df = drop_void_columns(drop_suffix_columns(df))
-    cols = df.columns
+    cols = [c for c in df.columns if c != "YEAR_INFO"]
     df = df.withColumn("ID", row_fingerprint(cols))
     if year is not None:
         df = df.withColumn("YEAR_INFO", F.lit(int(year)))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings the library relies on.  AQE re-plans joins from runtime sizes (a join
 # side is broadcast only when its measured size is under the threshold) and
@@ -87,16 +88,22 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread rows before CPU-heavy narrow work when the input has far
-    fewer partitions than the cluster has cores, a quarter at most (a small
-    file with one row group is one scan task).  Other inputs are returned
-    unchanged.  Meant for fresh scans: counting the partitions of a plan that
-    already contains exchanges would run those stages."""
+    """Spread rows before CPU-heavy narrow work when far fewer partitions than
+    the cluster has cores hold rows, a quarter at most.  A file with one row
+    group is one filled split however often it is cut, so splits are counted
+    by their rows: the count reads no column (file footers only).  Inputs of
+    many splits (eight a core) are returned unchanged without a count.  Meant
+    for fresh scans: a plan that already contains exchanges would run them."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if 4 * df.rdd.getNumPartitions() > want:
-        return df
-    return df.repartition(want)
+    if df.rdd.getNumPartitions() < 8 * want and 4 * filled_partitions(df) <= want:
+        return df.repartition(want)
+    return df
+
+
+def filled_partitions(df) -> int:
+    """Partitions that hold rows."""
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}

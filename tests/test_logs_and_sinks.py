@@ -24,33 +24,33 @@ def test_forward_fill_across_blocks(spark):
         assert got == want, (block, levels)
 
 
-LOG = """2025-03-19 19:26:10 - ETL - INFO - ##########  BRONZE: bronze_a/2024
-2025-03-19 19:26:11 - ETL - INFO - read_data: 10.50s
-2025-03-19 19:26:12 - ETL - INFO - read_data: 2.00s
-2025-03-19 19:26:13 - ETL - INFO - treat_data: 0.75s
-2025-03-19 19:26:14 - ETL - INFO - write_data: 21.50s
-2025-03-19 19:26:15 - ETL - INFO - rows: 40213
-2025-03-19 19:26:16 - ETL - INFO - test_data: 3.15s
-2025-03-19 19:26:17 - ETL - INFO - ##########  SILVER: silver_b
-2025-03-19 19:26:18 - ETL - INFO - read_data: 1.00s
-2025-03-19 19:26:19 - ETL - INFO - treat_data_scs_geom: 2.00s
-2025-03-19 19:26:20 - ETL - INFO - write_data: 3.00s
-2025-03-19 19:26:21 - ETL - INFO - silver_b: 9.50s
+LOG = """2031-01-04 07:00:10 - ETL - INFO - ##########  BRONZE: bronze_a/2030
+2031-01-04 07:00:11 - ETL - INFO - read_data: 8.25s
+2031-01-04 07:00:12 - ETL - INFO - read_data: 4.00s
+2031-01-04 07:00:13 - ETL - INFO - treat_data: 0.50s
+2031-01-04 07:00:14 - ETL - INFO - write_data: 17.25s
+2031-01-04 07:00:15 - ETL - INFO - rows: 1234
+2031-01-04 07:00:16 - ETL - INFO - test_data: 6.00s
+2031-01-04 07:00:17 - ETL - INFO - ##########  SILVER: silver_b
+2031-01-04 07:00:18 - ETL - INFO - read_data: 1.00s
+2031-01-04 07:00:19 - ETL - INFO - treat_data_zones: 2.00s
+2031-01-04 07:00:20 - ETL - INFO - write_data: 3.00s
+2031-01-04 07:00:21 - ETL - INFO - silver_b: 7.75s
 """
 
 
 def test_stage_metrics_from_text(spark):
     path = shared_path(spark, "log-test")
     os.makedirs(path.replace("file:", ""), exist_ok=True)
-    with open(os.path.join(path.replace("file:", ""), "20250319_ETL.log"), "w") as fh:
+    with open(os.path.join(path.replace("file:", ""), "20310104_ETL.log"), "w") as fh:
         fh.write(LOG)
     lines = readers.read_text_lines(spark, path)
     m = {r.table_name: r for r in stage_metrics(line_order(parse_log_lines(lines)), LINE_ORDER).collect()}
-    a, b = m["bronze_a/2024"], m["silver_b"]
+    a, b = m["bronze_a/2030"], m["silver_b"]
     assert (a.level, a.read_time, a.treat_time, a.write_time, a.test_time, a.row_count) == \
-        ("BRONZE", 12.5, 0.75, 21.50, 3.15, 40213)
-    assert abs(a.total_time - (12.5 + 0.75 + 21.50)) < 1e-9       # no own total -> fallback
-    assert (b.treat_time, b.total_time) == (2.0, 9.5)               # prefix match, own total
+        ("BRONZE", 12.25, 0.5, 17.25, 6.0, 1234)
+    assert abs(a.total_time - (12.25 + 0.5 + 17.25)) < 1e-9       # no own total -> fallback
+    assert (b.treat_time, b.total_time) == (2.0, 7.75)               # prefix match, own total
     latest = readers.latest_file(lines).collect()
     assert len(latest) == 1 and latest[0].file_path.endswith("_ETL.log")
 

@@ -1,6 +1,9 @@
 """Session helpers: broadcast threshold parsing and concurrent actions."""
 
-from incidex.session import broadcast_threshold, concurrently
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from incidex.session import broadcast_threshold, concurrently, ensure_parallelism, filled_partitions
 
 
 def test_broadcast_threshold_units(spark):
@@ -21,3 +24,20 @@ def test_broadcast_threshold_units(spark):
 def test_concurrent_actions_keep_order(spark):
     counts = concurrently(*[(lambda n=n: spark.range(n).count()) for n in (3, 1, 2)])
     assert counts == [3, 1, 2]
+
+
+def test_one_row_group_of_many_splits_is_spread(spark, tmp_path):
+    """Splits of a file with one row group: one holds the rows, the others none."""
+    path = f"{tmp_path}/one.parquet"
+    pq.write_table(pa.table({"s": [f"{i:064d}" * 4 for i in range(20_000)]}), path, compression="none", use_dictionary=False)
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1m")
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= 4 and filled_partitions(df) == 1
+        want = df.rdd.getNumPartitions()
+        assert filled_partitions(ensure_parallelism(df, want)) == want
+        assert ensure_parallelism(df, 3) is df          # a third of the tasks hold rows
+    finally:
+        spark.conf.set(key, old)
