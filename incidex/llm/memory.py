@@ -16,7 +16,7 @@ from collections.abc import Callable, Hashable
 
 import pyarrow as pa
 
-WORKER_BYTES = 160 << 20
+WORKER_BYTES = 256 << 20
 
 _held: OrderedDict[tuple[str, Hashable], object] = OrderedDict()
 

@@ -43,11 +43,11 @@ from incidex.llm.pieces import PieceStore, blank_free_pieces, by_bytes, texts_by
 CHUNK_CHARS = 1 << 20
 ENCODE_BYTES = 1 << 18
 ROWS_IN_GROUP = 50_000
-REMEMBERED_BYTES = 96 << 20    # of a worker
+REMEMBERED_BYTES = 192 << 20    # of a worker
 
 
 # -- tokens -------------------------------------------------------------------
-def _store(path: str, budget: int = REMEMBERED_BYTES) -> PieceStore:
+def _store(path: str, budget: int) -> PieceStore:
     """Encoder of a tokenizer file that drops white space, piece by piece."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import tokenizers
@@ -67,7 +67,7 @@ def _store(path: str, budget: int = REMEMBERED_BYTES) -> PieceStore:
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int,
-                 end_id: int = 0, with_ids: bool = False) -> DataFrame:
+                 end_id: int = 0, with_ids: bool = False, remembered: int = REMEMBERED_BYTES) -> DataFrame:
     """Cut every document's token ids into pieces of at most ``capacity``.
 
     A document is its ids (a tokenizer that drops white space, no special
@@ -86,7 +86,7 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = held("packing", tokenizer, lambda: _store(tokenizer))
+        store = held("packing", (tokenizer, remembered), lambda: _store(tokenizer, remembered))
         for batch in batches:
             at = 0
             for texts in texts_by_size(batch.column(1), CHUNK_CHARS):
@@ -300,8 +300,9 @@ def pack(pieces: DataFrame, keys: list[str], length: str, capacity: int) -> Data
 
 
 def pack_documents(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int,
-                   end_id: int = 0) -> DataFrame:
+                   end_id: int = 0, remembered: int = REMEMBERED_BYTES) -> DataFrame:
     """Token pieces of all documents with their places: the pieces are written to
-    the shared folder once (without ids) and packed from there."""
-    pieces = write_shared(token_pieces(docs, key, text, tokenizer, capacity, end_id), "pieces")
+    the shared folder once (without ids) and packed from there.  ``remembered``
+    bounds what a worker keeps of encoded words."""
+    pieces = write_shared(token_pieces(docs, key, text, tokenizer, capacity, end_id, remembered=remembered), "pieces")
     return pack(pieces, [key, "piece"], "length", capacity)

@@ -78,7 +78,7 @@ class PieceStore:
     ``cut`` splits a text; ``learn`` encodes a list of new pieces and returns
     all their ids and where each piece's ids end (from 0).  Past the budget,
     pieces met once are forgotten and the most frequent others are kept, at
-    most a half of the budget; their counts are halved, so old favourites fade.
+    most three quarters of the budget; their counts are halved, so old favourites fade.
     """
 
     ENTRY_BYTES = 160    # dictionary entry, string header and slot number of a piece, about
@@ -102,7 +102,7 @@ class PieceStore:
         pieces = list(self.slots)
         size = self.ENTRY_BYTES + 16 + 2 * np.fromiter(map(len, pieces), np.int64, len(pieces)) + 4 * np.diff(self.ends)
         order = np.argsort(-self.hits, kind="stable")
-        order = order[(np.cumsum(size[order]) <= self.budget // 2) & (self.hits[order] > 1)]
+        order = order[(np.cumsum(size[order]) <= 3 * self.budget // 4) & (self.hits[order] > 1)]
         begin = self.ends[order]
         flat, ends = gather(self.flat, begin, self.ends[order + 1] - begin)
         slots = Slots()
