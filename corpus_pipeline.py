@@ -19,6 +19,7 @@ from incidex.llm.queries import TOXIC_FROM, tokenizer_path, toxicity_categories
 
 SIMILARITY_PERCENT = 80
 CAPACITY = 2048
+REMEMBERED_BYTES = 96 << 20    # of encoded words a worker: it has served three stages before
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +78,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is its end token alone; null ids and repeated rows
     are packed like any other; an empty table gives no piece."""
     workers_find_package(spark)
-    return pack_documents(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), CAPACITY)
+    return pack_documents(docs, "doc_id", "text", tokenizer_path("word_bpe_49k.json"), CAPACITY,
+                          remembered=REMEMBERED_BYTES)
 
 
 STAGES = [("language_id", language_id), ("toxicity", toxicity_filter),
