@@ -510,10 +510,9 @@ def bronze_incremental(spark, sf):
     root = shared_path(spark, "landing_cellphones")
     raw = fx.raw_incidents(spark, sf, "cellphones")
     raw.write.partitionBy("ANO").mode("overwrite").parquet(f"{root}/landing")
-    ingest_landing(spark, f"{root}/landing", raw.schema, f"{root}/bronze", f"{root}/_checkpoint",
-                   year_col="ANO", files_per_batch=64)
-    out = spark.read.parquet(f"{root}/bronze")
-    return out.select(*[c for c in raw.columns], "ID", F.col("YEAR_INFO").cast("int").alias("YEAR_INFO"))
+    table = ingest_landing(spark, f"{root}/landing", raw.schema, f"{root}/bronze", f"{root}/_checkpoint",
+                           year_col="ANO", files_per_batch=64)
+    return table.read().select(*[c for c in raw.columns], "ID", F.col("YEAR_INFO").cast("int").alias("YEAR_INFO"))
 
 
 def silver_sector_geometry(spark, sf):
