@@ -14,6 +14,11 @@
 5. the exact boundary-inclusive test runs over the cell's own edges with a
    higher-order function (JVM side); inside blocks need no test.
 
+A (zone, cell) that more than ``EDGES_A_CELL`` edges pass through is cut into 8 x
+8 smaller cells, level by level, so no row holds all edges of a finely drawn
+boundary (``finer_cells``; edges that meet in one point cannot be separated
+and stay together after ``LEVELS`` levels).  Levels below 0 number these.
+
 A hot cell (many points) is a skewed equi-join partition, which AQE splits.
 The cell table is written to the shared folder once and its size measured from
 the data (rows, edges, key bytes); it is broadcast only when that measured size
@@ -43,8 +48,12 @@ EDGE_BYTES = 72          # one edge struct in an array: null bits and fields
 BLOCK_SIZES = (1, 16, 256, 4096)      # inside blocks, in cells of a row
 ROW_LINE = 0.6180339887498949         # where a row's test line lies in its cells
 ROW_BYTES = 16           # row header and array header
+SPLIT = 8                # finer cells a side; a power of two, so finer cells nest exactly
 # ---------------------------------------------------------------------------
 
+EDGES_A_CELL = 512       # edges in one row of a cell table
+LEVELS = 6               # of finer cells
+
 
 def zone_edges(zones: DataFrame, keys, rings: str = "rings") -> DataFrame:
     """Zone parts with ``rings`` -> one row per directed edge (rings oriented)."""
@@ -65,38 +74,140 @@ def suggest_cell_size(edges: DataFrame, keys) -> float:
     return float(c) if c and c > 0 else 1.0
 
 
-def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = None) -> DataFrame:
+def same_cell(a: DataFrame, b: DataFrame, cols, how: str) -> DataFrame:
+    """Join on ``cols`` (null keys are equal); ``b``'s copies of them are dropped."""
+    b = b.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)], *[c for c in b.columns if c not in cols])
+    names = [f"_k{i}" for i in range(len(cols))]
+    on = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(cols, names)]
+    return a.join(b, on, how).drop(*names)
+
+
+def edge_array(keep=None):
+    """Edges of a group as one array (``keep``: only those rows)."""
+    e = F.struct("x1", "y1", "x2", "y2", F.col("_here").alias("c"),
+                 (F.col("m") * F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("t"), "m")
+    return F.collect_list(e if keep is None else F.when(keep, e))
+
+
+def crowded(rows: DataFrame, cell_keys, most: int) -> DataFrame:
+    """Cells that more than ``most`` edges pass through."""
+    return cut_lineage(rows.groupBy(*cell_keys).count().where(F.col("count") > most).select(*cell_keys))
+
+
+def finer_cells(rows: DataFrame, odd: DataFrame, keys, cell: float) -> tuple[DataFrame, DataFrame]:
+    """Edges listed in cells of size ``cell`` (``rows``), and the cells'
+    ``_odd``, for cells cut into ``SPLIT`` x ``SPLIT``: the edges listed in
+    the finer cells, and ``_odd`` of every finer cell.
+
+    In each cell an anchor stands on the test line of each finer row.  The
+    cell's own edges tell whether the anchor is inside, as they do for a
+    point; from there the crossings of the finer row's line up to a finer
+    cell's right end are counted.  All of it is sums over edge rows.
+    """
+    at_cell = [*keys, "_gx", "_gy"]
+    f = F.lit(float(cell) / SPLIT)
+    x1, y1, x2, y2, m = (F.col(n) for n in ("x1", "y1", "x2", "y2", "m"))
+    px, line = row_line(F.lit(float(cell)), "_gx"), row_line(F.lit(float(cell)))
+    sub = rows.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1)))) \
+              .withColumn("_fy", F.col("_gy") * SPLIT + F.col("_j"))
+    py = row_line(f, "_fy")
+
+    def side(y):        # of the edge, seen from just right of (px, y)
+        cross = (x2 - x1) * (y - y1) - (px - x1) * (y2 - y1)
+        return (cross > 0) | ((cross == 0) & (y2 < y1))
+
+    def at(y):
+        return x1 + F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - y1) / (y2 - y1))) * (x2 - x1)
+    up = ((x1 > px) != (x2 > px)) & (side(py) != side(line))
+    right = F.col("_here") & (side(line) == (y2 > y1))
+    crosses = (y1 > py) != (y2 > py)
+    sub = (sub.withColumn("_n", up.cast("int") + right.cast("int"))
+              .withColumn("_gc", F.when(crosses, F.floor(at(py) / f) - F.col("_gx") * SPLIT))
+              .withColumn("_right", side(py) == (y2 > y1)))
+    counts = [F.count_if((F.col("_gc") == k) & (F.col("_right") if r else ~F.col("_right"))).alias(f"_{r}{k}")
+              for r in (0, 1) for k in range(SPLIT)]
+    sums = same_cell(sub.groupBy(*at_cell, "_fy").agg(F.sum("_n").alias("_n"), *counts), odd, at_cell, "inner")
+    anchor = int(SPLIT * ROW_LINE)      # the finer cell of a row that holds its anchor
+    ends = []
+    for k in range(SPLIT):
+        passed = [f"_1{i}" for i in range(k + 1)] if k >= anchor else [f"_0{i}" for i in range(k + 1, SPLIT)]
+        n = sum((F.col(c) for c in passed), F.col("_n") + F.col("_odd").cast("int"))
+        ends.append(F.struct((F.col("_gx") * SPLIT + k).alias("_gx"), (n % 2 == 1).alias("_odd")))
+    finer_odd = (sums.select(*keys, F.col("_fy").alias("_gy"), F.explode(F.array(*ends)).alias("_e"))
+                 .select(*keys, "_e._gx", "_gy", "_e._odd"))
+    touched = (F.col("_fy") >= F.floor((F.least("y1", "y2") - m) / f)) & (F.col("_fy") <= F.floor((F.greatest("y1", "y2") + m) / f))
+    tips = [F.when(y1 == y2, F.col(end)).otherwise(at(y)) for end, y in (("x1", F.col("_fy") * f - m), ("x2", (F.col("_fy") + 1) * f + m))]
+    first = F.col("_gx") * SPLIT
+    low = F.greatest(first, F.least(F.floor((F.least(*tips) - m) / f), first + F.col("_gc")))
+    high = F.least(first + (SPLIT - 1), F.greatest(F.floor((F.greatest(*tips) + m) / f), first + F.col("_gc")))
+    listed = (sub.where(touched).withColumn("_low", low).withColumn("_high", high).where("_low <= _high")
+              .withColumn("_fx", F.explode(F.sequence("_low", "_high"))))
+    finer = listed.select(*keys, F.col("_fx").alias("_gx"), F.col("_fy").alias("_gy"), "x1", "y1", "x2", "y2", "m",
+                          F.coalesce(F.col("_fx") == first + F.col("_gc"), F.lit(False)).alias("_here"))
+    return finer, finer_odd
+
+
+def listed_edges(edges: DataFrame, keys, cell: float) -> DataFrame:
+    """Edges in the cells they pass through; ``_here``: the edge crosses the
+    row's test line in this cell."""
+    e = edges.select(*keys, "x1", "y1", "x2", "y2", edge_tolerance().alias("_m"))
+    here = F.coalesce(F.col("_gx") == F.col("_gc"), F.lit(False))
+    return edge_cells(e, cell, crossing=True).select(*keys, "_gx", "_gy", "x1", "y1", "x2", "y2", F.col("_m").alias("m"),
+                                                     here.alias("_here"))
+
+
+def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = None,
+               most_edges: int = EDGES_A_CELL) -> DataFrame:
     """(zone keys, _lv, _gx, _gy, _edges, _odd) - the build side of the spatial
     join.  Level 0 rows with edges are the cells the boundary passes through;
-    rows without edges are blocks of ``16 ** _lv`` cells of a row that lie
-    inside the zone.  ``_odd``: the point at the right end of the cell on the
-    row's test line lies inside."""
+    rows of higher levels (and of level 0 without edges) are blocks of ``16 **
+    _lv`` cells of a row that lie inside the zone; rows of lower levels are
+    cells of size ``cell * 8 ** _lv`` in place of a level 0 cell with more than
+    ``most_edges`` edges.  ``_odd``: the point at the right end of the cell on
+    the row's test line lies inside."""
     keys = list(keys)
-    c = F.lit(float(cell))
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    m = F.col("m")
-
-    def at(y):      # x of the edge at height y, kept on the edge
-        share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - F.col("y1")) / dy))
-        return F.col("x1") + share * dx
-    rows = (edges.select(*keys, "x1", "y1", "x2", "y2", edge_tolerance().alias("m"))
-            .withColumn("_gy", F.explode(F.sequence(F.floor((F.least("y1", "y2") - m) / c),
-                                                    F.floor((F.greatest("y1", "y2") + m) / c)))))
-    line = row_line(c)
-    flat = dy == 0
-    ends = [F.when(flat, F.col(end)).otherwise(at(y)) for end, y in
-            (("x1", F.col("_gy") * c - m), ("x2", (F.col("_gy") + 1) * c + m))]
-    crosses = (F.col("y1") > line) != (F.col("y2") > line)
-    rows = rows.withColumn("_gc", F.when(crosses, F.floor(at(line) / c)))
-    cells = rows.withColumn("_gx", F.explode(F.sequence(
-        F.least(F.floor((F.least(*ends) - m) / c), "_gc"), F.greatest(F.floor((F.greatest(*ends) + m) / c), "_gc"))))
-    here = F.coalesce(F.col("_gx") == F.col("_gc"), F.lit(False))
-    cells = cells.groupBy(*keys, "_gx", "_gy").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2", here.alias("c"), (m * F.hypot(dx, dy)).alias("t"), "m")).alias("_edges"),
-        F.count_if(here).alias("_n"))
+    at_cell = [*keys, "_gx", "_gy"]
+    rows = cut_lineage(listed_edges(edges, keys, cell))
+    hot = crowded(rows, at_cell, most_edges)
+    if hot.isEmpty():
+        cells = base_cells(rows.withColumn("_hot", F.lit(False)), keys)
+        out = inside_blocks(cells, keys)
+    else:
+        rows = same_cell(rows, hot.withColumn("_hot", F.lit(True)), at_cell, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+        cells = cut_lineage(base_cells(rows, keys))
+        out = inside_blocks(cells, keys)
+        rows, odd, size = rows.where("_hot"), cells.where("_hot").select(*at_cell, "_odd"), float(cell)
+        for level in range(1, LEVELS + 1):
+            rows, odd = map(cut_lineage, finer_cells(rows, odd, keys, size))
+            size /= SPLIT
+            hot = crowded(rows, at_cell, most_edges)
+            last = level == LEVELS or hot.isEmpty()
+            here = rows if last else same_cell(rows, hot, at_cell, "left_anti")
+            own = odd if last else same_cell(odd, hot, at_cell, "left_anti")
+            listed = here.groupBy(*at_cell).agg(edge_array().alias("_edges"))
+            none = F.array().cast(listed.schema["_edges"].dataType)
+            done = same_cell(own, listed, at_cell, "left").where("_odd or _edges is not null") \
+                .withColumn("_edges", F.coalesce("_edges", none)).withColumn("_lv", F.lit(-level))
+            out = out.unionByName(done)
+            if last:
+                break
+            rows, odd = same_cell(rows, hot, at_cell, "left_semi"), same_cell(odd, hot, at_cell, "left_semi")
+    return out if attrs is None else out.join(attrs, keys, "left")
+
+
+def base_cells(rows: DataFrame, keys) -> DataFrame:
+    """One row a cell that the boundary passes through, with ``_odd`` and the
+    next such cell of the row; edges of ``_hot`` cells are left out."""
+    cells = rows.groupBy(*keys, "_gx", "_gy").agg(edge_array(~F.col("_hot")).alias("_edges"), F.count_if("_here").alias("_n"),
+                                                  F.max("_hot").alias("_hot"))
     row = Window.partitionBy(*keys, "_gy").orderBy(F.desc("_gx"))
     cells = cells.withColumn("_odd", F.coalesce(F.sum("_n").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1) \
                  .withColumn("_next", F.lag("_gx").over(row))
+    return cells
+
+
+def inside_blocks(cells: DataFrame, keys) -> DataFrame:
+    """The cells, and the runs of inside cells between them as blocks."""
     # a run of inside cells right of a boundary cell, cut into aligned blocks
     first, last = F.col("_gx") + 1, F.col("_next") - 1
     spans = []
@@ -117,18 +228,15 @@ def zone_cells(edges: DataFrame, keys, cell: float, attrs: DataFrame | None = No
                                  for level, f, g in spans]))
     boundary = F.array(F.struct(F.lit(0).alias("_lv"), F.col("_gx").alias("_gx")))
     every = F.when(F.col("_odd") & (F.col("_next") > F.col("_gx") + 1), F.concat(boundary, blocks)).otherwise(boundary)
-    out = cells.select(*keys, "_gy", "_odd", F.col("_edges").alias("_own"), F.col("_gx").alias("_at"), F.explode(every).alias("_b"))
+    out = cells.select(*keys, "_gy", "_odd", "_hot", F.col("_edges").alias("_own"), F.col("_gx").alias("_at"), F.explode(every).alias("_b"))
     mine = (F.col("_b._lv") == 0) & (F.col("_b._gx") == F.col("_at"))
-    out = out.select(*keys, F.col("_b._lv").alias("_lv"), F.col("_b._gx").alias("_gx"), "_gy", "_odd",
+    return out.where(~(mine & F.col("_hot"))).select(*keys, F.col("_b._lv").alias("_lv"), F.col("_b._gx").alias("_gx"), "_gy", "_odd",
                      F.when(mine, F.col("_own")).otherwise(F.filter("_own", lambda e: F.lit(False))).alias("_edges"))
-    if attrs is not None:
-        out = out.join(attrs, keys, "left")
-    return out
 
 
-def row_line(c):
+def row_line(c, row: str = "_gy"):
     """Height of a grid row's test line: off any regular fraction of the cell."""
-    return (F.col("_gy") + F.lit(ROW_LINE)) * c
+    return (F.col(row) + F.lit(ROW_LINE)) * c
 
 
 def measured_bytes(cells: DataFrame) -> tuple[int, list[int]]:
@@ -151,7 +259,8 @@ def measured_bytes(cells: DataFrame) -> tuple[int, list[int]]:
 
 def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y: str = "y",
                  cell: float | None = None, attrs: DataFrame | None = None,
-                 broadcast_limit: int | None = None, edges_written: bool = False) -> DataFrame:
+                 broadcast_limit: int | None = None, edges_written: bool = False,
+                 most_edges: int = EDGES_A_CELL) -> DataFrame:
     """Inner join of points with every zone that contains or touches them.
 
     ``edges``: one row per directed zone edge (``zone_edges`` or ``dissolve``
@@ -160,7 +269,8 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
     ``broadcast_limit``: bytes (default: the session's broadcast threshold).
     ``edges_written``: the edges are a scan of a written table, so the
     cell-size estimate and the cell table may both read them without a
-    checkpoint of their own.
+    checkpoint of their own.  ``most_edges``: edges in one row of the cell
+    table, beyond it a cell is cut into smaller ones.
     """
     keys = list(keys)
     if cell is None:
@@ -168,21 +278,21 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
         if not edges_written:
             edges = cut_lineage(edges.select(*keys, "x1", "y1", "x2", "y2"))
         cell = suggest_cell_size(edges, keys)
-    cells = cut_lineage(zone_cells(edges, keys, cell, attrs))
+    cells = cut_lineage(zone_cells(edges, keys, cell, attrs, most_edges))
     limit = broadcast_threshold(cells.sparkSession) if broadcast_limit is None else broadcast_limit
     size, levels = measured_bytes(cells)
     if 0 <= size <= limit:
         cells = F.broadcast(cells)
     else:
         cells = cells.hint("shuffle_hash")
-    c = F.lit(float(cell))
-    pts = (points.withColumn("_gx", F.floor(F.col(x) / c)).withColumn("_gy", F.floor(F.col(y) / c))
-           .withColumn("_yc", row_line(c)))
-    if levels == [0]:
-        pts = pts.withColumn("_lv", F.lit(0))
-    else:       # at most four block sizes
-        pts = pts.withColumn("_lv", F.explode(F.lit(levels))) \
-                 .withColumn("_gx", F.floor(F.col("_gx") / F.pow(F.lit(16), F.col("_lv"))))
+    # a point's place in each level in use: inside blocks, cells, finer cells
+    sizes = [F.struct(F.lit(lv).alias("_lv"), F.lit(float(cell) * float(SPLIT) ** min(lv, 0)).alias("_c"),
+                      F.lit(16 ** max(lv, 0)).cast("long").alias("_w")) for lv in levels]
+    pts = points.withColumn("_l", F.explode(F.array(*sizes))).withColumn("_lv", F.col("_l._lv")) if len(sizes) > 1 else \
+        points.withColumn("_l", sizes[0]).withColumn("_lv", F.lit(levels[0]))
+    pts = (pts.withColumn("_gx", F.floor(F.floor(F.col(x) / F.col("_l._c")) / F.col("_l._w")))
+              .withColumn("_gy", F.floor(F.col(y) / F.col("_l._c")))
+              .withColumn("_yc", row_line(F.col("_l._c"))).drop("_l"))
     joined = pts.join(cells, ["_lv", "_gx", "_gy"], "inner")
     return joined.where(point_in_cell(f"`{x}`", f"`{y}`", "_yc", "_odd", "_edges")) \
         .drop("_lv", "_gx", "_gy", "_yc", "_edges", "_odd")
