@@ -728,6 +728,23 @@ def landing_run(spark, sf):
             .withColumn("n_points", F.size(F.expr("polygons[0][0]"))).drop("polygons"))
 
 
+def gold_refresh(spark, sf):
+    """Gold incidents built once, then brought up to date after one year of
+    silver lost its first six months: only that year is rebuilt."""
+    from ..sources.versions import VersionedTable
+    from .refresh import refresh
+    root = shared_path(spark, "refresh")
+    silver, gold = VersionedTable(spark, f"{root}/silver"), VersionedTable(spark, f"{root}/gold")
+    rows = _silver_incidents(spark, sf)[0]
+    silver.replace(rows, "YEAR_INFO")
+    refresh(silver, gold, pl.gold_incidents, "YEAR_INFO")
+    year = max(n for n in silver.manifest()["folders"] if n.startswith("YEAR_INFO=2"))
+    silver.replace(silver.read(names=[year]).where("MONTH_INFO > 6"), "YEAR_INFO", keep="untouched")
+    if refresh(silver, gold, pl.gold_incidents, "YEAR_INFO") != [year]:
+        raise AssertionError("a year that did not change was rebuilt")
+    return gold.read()
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_partition_pruned": scan_partition_pruned,
@@ -800,4 +817,5 @@ QUERIES = {
     "etl_table_rows": etl_table_rows,
     "landing_run": landing_run,
     "union_overlapping": union_overlapping,
+    "gold_refresh": gold_refresh,
 }

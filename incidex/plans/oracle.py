@@ -507,6 +507,8 @@ def build() -> dict[str, str]:
         f"LEFT JOIN paint u ON u.grp = p.grp AND u.x = p.x AND u.y = p.y + {step}) "
         f"SELECT grp, round(CAST(count(*) AS DOUBLE) * {step * step} / {fx.DEGREE * fx.DEGREE}, {C.AREA_DIGITS}) AS area, "
         f"round(CAST(sum(n) AS DOUBLE) * {step} / {fx.DEGREE}, 6) AS length FROM side GROUP BY grp")
+    s["gold_refresh"] = (f"WITH g AS ({gold_incidents_sql()}) SELECT * FROM g WHERE YEAR_INFO IS NULL "
+                         "OR YEAR_INFO < (SELECT max(YEAR_INFO) FROM g) OR MONTH_INFO > 6")
     s["landing_run"] = ("SELECT *, CAST(1 AS INTEGER) AS n_polygons, CAST(7 AS INTEGER) AS n_points "
                         f"FROM ({gold_sector_sql()})")
     s["map_extract_municipality"] = (f"SELECT ID_MUN, MUN, STATE, {MAP_COLS} FROM ({gold_mun_sql()}) "
