@@ -109,3 +109,18 @@ def point_in_cell(px: str, py: str, yc: str, odd: str, edges: str) -> Column:
              f"ELSE if({up}, 1, 0) + if({right}, 1, 0) END)")
     return F.expr(f"CASE WHEN size({edges}) = 0 THEN {odd} ELSE transform(array({total}), "
                   f"n -> n >= {touched} OR ((n % 2 = 1) <> {odd}))[0] END")
+
+
+def place_key(x, y) -> Column:
+    """Morton key of a longitude and latitude: their 31-bit places on the globe
+    with bits interleaved, so rows close on the map are close in key order.
+    Coordinates off the globe go to its edge; NULL for a missing or NaN one."""
+    def spread(c, limit):
+        share = (c.cast("double") + limit) / (2 * limit)
+        v = F.floor(F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)) * ((1 << 31) - 1))
+        v = F.when(c.isNotNull() & ~F.isnan(c.cast("double")), v)     # least and greatest skip nulls
+        for step in (16, 8, 4, 2, 1):
+            mask = sum(((1 << step) - 1) << at for at in range(0, 64, 2 * step))
+            v = (v.bitwiseOR(F.shiftleft(v, step))).bitwiseAND(F.lit(mask))
+        return v
+    return spread(F.col(x), 180.0).bitwiseOR(F.shiftleft(spread(F.col(y), 90.0), 1))

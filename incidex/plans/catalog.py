@@ -745,6 +745,24 @@ def gold_refresh(spark, sf):
     return gold.read()
 
 
+# the map window: shares of the incidents' extent on both axes
+WINDOW_SHARE = (0.25, 0.6)
+
+
+def map_window(spark, sf):
+    """Incidents of a map window, read from a table laid out by place: the
+    window's comparisons reach the parquet scan and skip what lies elsewhere."""
+    from ..sources.versions import VersionedTable
+    table = VersionedTable(spark, shared_path(spark, "by_place"))
+    table.replace(_silver_incidents(spark, sf)[0], "YEAR_INFO", near=("x", "y"))
+    rows = table.read()
+    box = rows.agg(*[f(c).alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    for c in ("x", "y"):
+        low, size = box[f"lo_{c}"], box[f"hi_{c}"] - box[f"lo_{c}"]
+        rows = rows.where(F.col(c).between(low + WINDOW_SHARE[0] * size, low + WINDOW_SHARE[1] * size))
+    return rows.select(*pl.INCIDENT_COLUMNS)
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_partition_pruned": scan_partition_pruned,
@@ -818,4 +836,5 @@ QUERIES = {
     "landing_run": landing_run,
     "union_overlapping": union_overlapping,
     "gold_refresh": gold_refresh,
+    "map_window": map_window,
 }

@@ -507,6 +507,11 @@ def build() -> dict[str, str]:
         f"LEFT JOIN paint u ON u.grp = p.grp AND u.x = p.x AND u.y = p.y + {step}) "
         f"SELECT grp, round(CAST(count(*) AS DOUBLE) * {step * step} / {fx.DEGREE * fx.DEGREE}, {C.AREA_DIGITS}) AS area, "
         f"round(CAST(sum(n) AS DOUBLE) * {step} / {fx.DEGREE}, 6) AS length FROM side GROUP BY grp")
+    lo, hi = C.WINDOW_SHARE
+    window = " AND ".join(f"{c} BETWEEN lo_{c} + {lo}::DOUBLE * (hi_{c} - lo_{c}) AND lo_{c} + {hi}::DOUBLE * (hi_{c} - lo_{c})"
+                          for c in ("x", "y"))
+    s["map_window"] = (f"WITH s AS ({silver_incidents_sql()}), b AS (SELECT min(x) AS lo_x, max(x) AS hi_x, min(y) AS lo_y, "
+                       f"max(y) AS hi_y FROM s) SELECT s.* FROM s, b WHERE {window}")
     s["gold_refresh"] = (f"WITH g AS ({gold_incidents_sql()}) SELECT * FROM g WHERE YEAR_INFO IS NULL "
                          "OR YEAR_INFO < (SELECT max(YEAR_INFO) FROM g) OR MONTH_INFO > 6")
     s["landing_run"] = ("SELECT *, CAST(1 AS INTEGER) AS n_polygons, CAST(7 AS INTEGER) AS n_points "
