@@ -38,7 +38,7 @@ from incidex.llm.vectors import common_length, matrix, usable
 SAMPLE = 16_384
 ROWS_A_LIST = 800
 MOST_LISTS = 4_096
-PROBE_SHARE, LEAST_PROBES = 0.65, 12
+PROBE_SHARE = 0.68   # of the lists, at every size
 CHUNK = 2_048
 GROUP = 256
 BLOCK = 16
@@ -100,7 +100,7 @@ def scan_chunk(ids, columns, vectors, query_id, rotated, query, limit, k: int):
 
 
 def nearest(vectors: DataFrame, key: str, vec: str, is_query: Column, k: int = 20,
-            probe_share: float = PROBE_SHARE) -> DataFrame:
+            probe_share: float = PROBE_SHARE, rows_a_list: int = ROWS_A_LIST) -> DataFrame:
     """Rows ``(query_id, rank, key, score)``: for each row where ``is_query``
     holds, its ``k`` nearest other rows by inner product."""
     spark = vectors.sparkSession
@@ -114,7 +114,7 @@ def nearest(vectors: DataFrame, key: str, vec: str, is_query: Column, k: int = 2
     good = good.where(F.size("v") == d)
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     n, top = good.agg(F.count("*"), F.max(squares)).first()
-    lists = min(MOST_LISTS, max(1, n // ROWS_A_LIST))
+    lists = min(MOST_LISTS, max(1, n // rows_a_list))
     rotation = np.linalg.qr(np.random.default_rng(20).standard_normal((d + 1, d + 1)))[0]
 
     def rotated(x: np.ndarray, query: bool) -> np.ndarray:
@@ -124,7 +124,7 @@ def nearest(vectors: DataFrame, key: str, vec: str, is_query: Column, k: int = 2
     drawn = good.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < math.ceil(min(1.0, SAMPLE / n) * (1 << 30)))
     sample = np.array([r["v"] for r in drawn.select("id", "v").orderBy("id").limit(2 * SAMPLE).collect()])  # bounded
     centroids = kmeans(rotated(sample.reshape(-1, d), False), lists) if lists > 1 else np.zeros((1, d + 1))
-    probes = min(lists, max(LEAST_PROBES, math.ceil(probe_share * lists)))
+    probes = math.ceil(probe_share * lists)
 
     @F.arrow_udf("int")
     def own_list(x: pa.Array) -> pa.Array:
