@@ -49,6 +49,7 @@ BATCH_ROWS = 2000
 PRIME = 2 ** 127 - 1
 KEY_CHARS = 128     # of a text in the sort key that cuts the blocks
 PATH_CHUNK = 1024   # nodes in one row of ``PrefixTree.paths``
+LAYOUT_BLOCK = 1024   # characters of the layout by which intervals meet nodes
 
 
 def escape(text: str) -> str:
@@ -263,32 +264,50 @@ class PrefixTree:
                                                "intervals", "leaf", "depth", "formatted", "loss_from", "loss_chars"), "nodes")
 
     def read_back(self) -> DataFrame:
-        """One row per conversation, from the emitted nodes: number of turns, digests of
-        turns and of the text under the loss mask, characters."""
+        """One row per conversation, from the emitted layout alone: number of turns,
+        digests of turns and of the text under the loss mask, characters.
+
+        A conversation is what the intervals of its last node show of the layout: the
+        nodes that start in them, in layout order.  Intervals meet nodes by blocks of
+        the layout.  A place, position or interval that does not fit raises ValueError;
+        a conversation without any has nulls."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def rows():
-                now = None
+                now = last = None
+
+                def whole_path():
+                    if last != now:
+                        raise ValueError(f"the intervals of node {now.hex()} do not end with it")
+
                 for batch in batches:
-                    for leaf, formatted, at, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                    for leaf, node, position, formatted, at, n in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                         if leaf != now:
                             if now is not None:
+                                whole_path()
                                 yield now, turns, whole.hexdigest(), loss_chars, loss.hexdigest(), total
                             now, turns, total, loss_chars = leaf, 0, 0, 0
                             whole, loss = hashlib.sha256(), hashlib.sha256()
+                        if position != total:
+                            raise ValueError(f"node {node.hex()} at position {position} follows {total} characters")
                         role, text = parse_turn(formatted)
                         whole.update(f"{role}\n{text}\n".encode())
                         under = unescape(formatted[at:at + n])
                         loss.update(under.encode())
-                        turns, total, loss_chars = turns + 1, total + len(formatted), loss_chars + len(under)
+                        turns, total, loss_chars, last = turns + 1, total + len(formatted), loss_chars + len(under), node
                 if now is not None:
+                    whole_path()
                     yield now, turns, whole.hexdigest(), loss_chars, loss.hexdigest(), total
             return _batches(rows(), out, [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()])
 
         out = "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-        told = (self.steps.select("leaf", "node").join(self.nodes.select("node", "depth", "formatted", "loss_from", "loss_chars"), "node")
-                .repartition("leaf").sortWithinPartitions("leaf", "depth")
-                .select("leaf", "formatted", "loss_from", "loss_chars").mapInArrow(run, out))
+        shown = (self.nodes.where("leaf").select(F.col("node").alias("leaf"), F.inline("intervals"))
+                 .withColumn("block", F.explode(F.expr(f"sequence(a div {LAYOUT_BLOCK}, (b - 1) div {LAYOUT_BLOCK})"))))
+        placed = self.nodes.select(F.expr(f"start div {LAYOUT_BLOCK}").alias("block"), "start", "node", "position", "formatted",
+                                   "loss_from", "loss_chars")
+        told = (shown.join(placed, "block").where("start >= a AND start < b")
+                .repartition("leaf").sortWithinPartitions("leaf", "start")
+                .select("leaf", "node", "position", "formatted", "loss_from", "loss_chars").mapInArrow(run, out))
         key = F.when(F.col("conv") != "null", F.col("conv")).cast(self.key_type).alias(self.key)
-        return (self.conversations.join(told, "leaf")
+        return (self.conversations.join(told, "leaf", "left")
                 .select(key, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))
