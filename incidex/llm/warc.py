@@ -11,7 +11,10 @@ any store Spark reaches and a lost executor only repeats its files.
 
 Equal payloads are stored once: the record with the smallest key is the
 response, the others are ``revisit`` records without payload that name it.
-Equal payloads are found by SHA-1 and length with pre-aggregated groups.
+Equal payloads are found by SHA-1 and length with pre-aggregated groups over
+rows without payloads, and revisits are made of such rows.  A payload leaves
+its scan split only when its row is the response of a repeated payload (or
+looks like one to the bit tables, whose size is fixed).
 
 A null payload is empty.  Rows with equal payload and equal smallest key are
 all responses.  A null key is the largest: such a record revisits one with a
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidex.llm.common import shared_path, write_shared
+from incidex.llm.minhash import probably_in
 
 CHUNK_BYTES = 1 << 18
 YIELD_BYTES = 1 << 22
@@ -55,16 +59,29 @@ def cuts(data: memoryview, size: int) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def with_revisits(pages: DataFrame, key: str, payload: str, min_bytes: int = 0) -> DataFrame:
-    """``pages`` with a null-payload-free text, and ``refers_to`` where an equal
-    payload of at least ``min_bytes`` bytes has a smaller key."""
+def with_revisits(pages: DataFrame, key: str, uri: str, payload: str, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(_key, _uri, _text)`` to be stored whole, and rows ``(_key, _uri, _sha, _n,
+    _first)`` of payloads of at least ``min_bytes`` bytes that have a smaller key elsewhere."""
     text = F.coalesce(F.col(payload).cast("string"), F.lit(""))
-    narrow = pages.select(F.col(key).alias("_key"), F.sha1(text).alias("_sha"), F.octet_length(text).alias("_n"))
-    first = write_shared(narrow.groupBy("_sha", "_n").agg(F.min("_key").alias("_first"), F.count("*").alias("_copies"))
-                         .where((F.col("_copies") > 1) & (F.col("_n") >= min_bytes)).drop("_copies"), "first")
-    return (pages.withColumn("_sha", F.sha1(text)).withColumn("_n", F.octet_length(text))
-            .join(first, ["_sha", "_n"], "left")
-            .withColumn("_refers", F.when(F.col("_first").isNotNull() & ~F.col(key).eqNullSafe(F.col("_first")), F.col("_first"))))
+    whole = pages.select(F.col(key).alias("_key"), F.col(uri).alias("_uri"), text.alias("_text"),
+                         F.sha1(text).alias("_sha"), F.octet_length(text).alias("_n"))
+    narrow = write_shared(whole.drop("_text"), "keys")
+    first = write_shared(narrow.where(F.col("_n") >= min_bytes).groupBy("_sha", "_n")
+                         .agg(F.min("_key").alias("_first"), F.count("*").alias("_copies"))
+                         .where("_copies > 1 and _first is not null").drop("_copies"), "first")
+    again = ~F.col("_key").eqNullSafe(F.col("_first"))
+    repeated = probably_in("_sha", first.select("_sha"))
+    # the rows that look repeated and are stored whole
+    looked = narrow.where(repeated).join(first, ["_sha", "_n"], "left")
+    kept = write_shared(looked.where(F.col("_first").isNull() | ~again).select("_key", "_sha", "_n").distinct(), "kept")
+    place = F.xxhash64("_key", "_sha")
+    likely = probably_in("_place", kept.select(place.alias("_place")))
+    near = whole.withColumn("_place", place).where(repeated & likely)
+    x, y = near.alias("x"), kept.alias("y")
+    same = F.col("x._key").eqNullSafe(F.col("y._key")) & (F.col("x._sha") == F.col("y._sha")) & (F.col("x._n") == F.col("y._n"))
+    stored = (whole.where(~repeated).select("_key", "_uri", "_text")
+              .union(x.join(y, same, "left_semi").select("_key", "_uri", "_text")))
+    return stored, narrow.join(first, ["_sha", "_n"]).where(again).select("_key", "_uri", "_sha", "_n", "_first")
 
 
 def chunk_table(pages: DataFrame, key: str, uri: str, payload: str, min_bytes: int = 0,
@@ -80,30 +97,34 @@ def chunk_table(pages: DataFrame, key: str, uri: str, payload: str, min_bytes: i
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
         for batch in batches:
-            record, link, refers, texts = (batch.column(i) for i in range(4))
+            record, link, texts = (batch.column(i) for i in range(3))
             for x in range(batch.num_rows):
                 buffer = texts[x].as_buffer()
                 data = memoryview(buffer if buffer is not None else b"")
-                sha, done, target = hashlib.sha1(), 0, refers[x].as_py()
+                sha = hashlib.sha1()
                 for no, (a, b) in enumerate(cuts(data, chunk_bytes)):
                     sha.update(data[a:b])
-                    done, last = b, b == len(data)
-                    if target is None or last:
-                        rows.append((record[x].as_py(), link[x].as_py(), no if target is None else 0, last,
-                                     "revisit" if target is not None else "continuation" if no else "response", target,
-                                     "" if target is not None else str(data[a:b], "utf-8", "replace"), done, base32_sha1(sha)))
-                        size += b - a
+                    rows.append((record[x].as_py(), link[x].as_py(), no, b == len(data), "continuation" if no else "response",
+                                 None, str(data[a:b], "utf-8", "replace"), b, base32_sha1(sha)))
+                    size += b - a
                     if size >= YIELD_BYTES:
                         yield batch_of(rows)
                         rows, size = [], 0
         if rows:
             yield batch_of(rows)
 
-    ready = with_revisits(pages.select(F.col(key), F.col(uri), F.col(payload)), key, payload, min_bytes)
-    return ready.select(F.coalesce(F.col(key).cast("string"), F.lit("null")),
-                        F.regexp_replace(F.coalesce(F.col(uri).cast("string"), F.lit("")), r"[\r\n]", ""),
-                        F.col("_refers").cast("string"),
-                        F.coalesce(F.col(payload).cast("string"), F.lit(""))).mapInArrow(run, CHUNK_TABLE)
+    @F.arrow_udf("string")
+    def base32(digests: pa.Array) -> pa.Array:
+        return pa.array([base64.b32encode(bytes.fromhex(d)).decode() for d in digests.to_pylist()], pa.string())
+
+    stored, again = with_revisits(pages, key, uri, payload, min_bytes)
+    record = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
+    link = F.regexp_replace(F.coalesce(F.col("_uri").cast("string"), F.lit("")), r"[\r\n]", "")
+    revisits = again.select(record.alias("record"), link.alias("uri"), F.lit(0).alias("chunk"), F.lit(True).alias("last"),
+                            F.lit("revisit").alias("kind"), F.col("_first").cast("string").alias("refers_to"),
+                            F.lit("").alias("data"), F.col("_n").cast("long").alias("bytes_so_far"),
+                            base32("_sha").alias("digest_so_far"))
+    return stored.select(record, link, "_text").mapInArrow(run, CHUNK_TABLE).union(revisits)
 
 
 def write_archives(chunks: DataFrame, path: str) -> str:
