@@ -206,6 +206,24 @@ def test_ann_finds_the_nearest(spark):
     assert nearest(vectors(spark, x[:0]), "vec_id", "embedding", F.lit(True)).count() == 0
 
 
+def test_ann_over_dozens_of_lists(spark):
+    """One share of the lists at every size: recall against brute force with 3 and with 40 lists."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((4000, 16)).astype(np.float32)
+    df = vectors(spark, x.tolist())
+    good = x.astype(float)
+    for rows_a_list in (1300, 100):
+        got = nearest(df, "vec_id", "embedding", F.col("vec_id") % 40 == 0, 20, rows_a_list=rows_a_list).toPandas()
+        hits = 0
+        for q, own in got.groupby("query_id"):
+            score = good @ good[q]
+            score[q] = -np.inf
+            assert sorted(own["rank"]) == list(range(1, 21))
+            assert np.allclose(own.score, good[own.vec_id] @ good[q], rtol=1e-12, atol=1e-12)
+            hits += len(set(own.vec_id) & set(np.argsort(-score)[:20].tolist()))
+        assert got.query_id.nunique() == 100 and hits >= 0.9 * 2000
+
+
 def test_grid_order_join_against_all_pairs(spark):
     x = odd_vectors(seed=4)
     labels = [None if i % 17 == 3 else i % 2 for i in range(len(x))]
@@ -357,6 +375,22 @@ def test_prefix_tree(spark):
     assert PrefixTree(df.limit(0)).read_back().count() == 0
 
 
+def test_prefix_tree_reads_back_from_the_layout(spark):
+    """Conversations come from intervals, places and positions: a broken one is noticed."""
+    from pyspark.errors import PythonException
+    rows = [(c, t, "user", f"{t}" if t < 3 else f"{c} {t}") for c in range(4) for t in range(6)]
+    tree = PrefixTree(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    whole = tree.nodes
+    for name, broken in (("position", F.col("position") + 1),
+                         ("start", F.when(F.col("depth") == 2, F.col("start") + 100_000).otherwise(F.col("start"))),
+                         ("intervals", F.expr("transform(intervals, x -> named_struct('a', x.a, 'b', x.b - chars))"))):
+        tree.nodes = whole.withColumn(name, broken)
+        with pytest.raises(PythonException):
+            tree.read_back().collect()
+    tree.nodes = whole.withColumn("intervals", F.expr("slice(intervals, 1, 0)"))
+    assert [r["n_turns"] for r in tree.read_back().collect()] == [None] * 4
+
+
 def test_prefix_tree_cuts_long_conversations(spark, monkeypatch):
     """One conversation over several range blocks: ids, places and positions go on across them,
     no row holds it whole, and the driver gets one row a block."""
