@@ -40,6 +40,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.crs import same_srid, srid_of, with_srid
 from ..functions.geometry import edge_tolerance, orient_rings, point_in_cell, ring_edges
 from ..session import broadcast_threshold, cut_lineage
 
@@ -51,16 +52,24 @@ ROW_BYTES = 16           # row header and array header
 SPLIT = 8                # finer cells a side; a power of two, so finer cells nest exactly
 # ---------------------------------------------------------------------------
 
+EDGE = ("x1", "y1", "x2", "y2")
 EDGES_A_CELL = 512       # edges in one row of a cell table
 LEVELS = 6               # of finer cells
 
 
 def zone_edges(zones: DataFrame, keys, rings: str = "rings") -> DataFrame:
-    """Zone parts with ``rings`` -> one row per directed edge (rings oriented)."""
+    """Zone parts with ``rings`` -> one row per directed edge (rings oriented).
+    An SRID that the rings tell goes on to the edges."""
     keys = list(keys)
-    return (zones.select(*keys, orient_rings(rings).alias("_r"))
-                 .select(*keys, F.explode(ring_edges("_r")).alias("e"))
-                 .select(*keys, "e.x1", "e.y1", "e.x2", "e.y2"))
+    edges = (zones.select(*keys, orient_rings(rings).alias("_r"))
+                  .select(*keys, F.explode(ring_edges("_r")).alias("e"))
+                  .select(*keys, *[f"e.{c}" for c in EDGE]))
+    return of_srid(edges, srid_of(zones, rings))
+
+
+def of_srid(edges: DataFrame, srid: int | None) -> DataFrame:
+    """Edges with the SRID of what they are made of, if that tells one."""
+    return edges if srid is None else with_srid(edges, srid, *EDGE)
 
 
 def suggest_cell_size(edges: DataFrame, keys) -> float:
@@ -270,9 +279,11 @@ def spatial_join(points: DataFrame, edges: DataFrame, keys, *, x: str = "x", y:
     ``edges_written``: the edges are a scan of a written table, so the
     cell-size estimate and the cell table may both read them without a
     checkpoint of their own.  ``most_edges``: edges in one row of the cell
-    table, beyond it a cell is cut into smaller ones.
+    table, beyond it a cell is cut into smaller ones.  Points and edges that
+    tell different SRIDs are refused.
     """
     keys = list(keys)
+    same_srid(points, (x, y), edges, EDGE)
     if cell is None:
         # the edges feed both the cell-size estimate and the cell table
         if not edges_written:
@@ -383,13 +394,14 @@ def dissolve(edges: DataFrame, keys, snap_digits: int | None = None,
         e = e.select(*keys, *[F.round(c, snap_digits).alias(c) for c in ("x1", "y1", "x2", "y2")])
     net = net_edges(e, keys)
     pos = F.col("net") > 0
-    return net.select(
+    outer = net.select(
         *keys,
         F.when(pos, F.col("ax")).otherwise(F.col("bx")).alias("x1"),
         F.when(pos, F.col("ay")).otherwise(F.col("by")).alias("y1"),
         F.when(pos, F.col("bx")).otherwise(F.col("ax")).alias("x2"),
         F.when(pos, F.col("by")).otherwise(F.col("ay")).alias("y2"),
         F.abs(F.col("net")).cast("int").alias("mult"))
+    return of_srid(outer, srid_of(edges, *EDGE))
 
 
 def net_edges(e: DataFrame, keys) -> DataFrame:

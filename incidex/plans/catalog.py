@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.coords import coordinate_value, repair_coordinate, valid_coordinate
+from ..functions.crs import SIRGAS_2000, WGS_84, srid_of, to_srid, with_srid
 from ..functions.dates import assemble_date, day_with_default
 from ..functions.geometry import mercator_rings, area_km2_mercator, orient_rings, rings_bbox
 from ..functions.keys import entity_key, row_fingerprint, zone_year_sha1, zone_year_sha256
@@ -385,6 +386,18 @@ def spatial_join_points_zones(spark, sf):
     return j.select("shape", "pointset", "event_id", "zone_id")
 
 
+def srid_checked_join(spark, sf):
+    """Points and zones written in two reference systems; each table read back
+    tells its own, and the join takes them once they are in one system."""
+    points, zones = (shared_path(spark, name) for name in ("points-4674", "zones-4326"))
+    with_srid(fx.point_sets(spark, sf), SIRGAS_2000, "px", "py").write.parquet(points)
+    with_srid(fx.shaped_zones(spark, sf, "cell"), WGS_84, "rings").write.parquet(zones)
+    edges = zone_edges(spark.read.parquet(zones), ["zone_id"])
+    pts = to_srid(spark.read.parquet(points), srid_of(edges, "x1", "y1", "x2", "y2"), x="px", y="py")
+    j = spatial_join(pts, edges, ["zone_id"], x="px", y="py")
+    return j.groupBy("zone_id").agg(F.count("*").alias("n_points")).withColumn("srid", F.lit(srid_of(j, "px", "py")))
+
+
 def _cell_edges(spark, sf):
     return zone_edges(fx.shaped_zones(spark, sf, "cell"), ["grp"])
 
@@ -805,6 +818,7 @@ QUERIES = {
     "zone_area_km2": zone_area_km2,
     "reproject_mercator": reproject_mercator,
     "spatial_join_points_zones": spatial_join_points_zones,
+    "srid_checked_join": srid_checked_join,
     "dissolve_boundary_edges": dissolve_boundary_edges,
     "dissolve_area": dissolve_area,
     "dissolve_rings": dissolve_rings,

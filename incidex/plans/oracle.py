@@ -449,6 +449,8 @@ def build() -> dict[str, str]:
         f"round({R} * radians({x1}), 3) + 0.0 AS x1m, round({merc_y(y1)}, 3) + 0.0 AS y1m "
         f"FROM ({parts})")
     s["spatial_join_points_zones"] = spatial_sql()
+    s["srid_checked_join"] = (f"SELECT zone_id, count(*) AS n_points, 4326 AS srid FROM ({spatial_sql()}) "
+                              f"WHERE shape = 'cell' GROUP BY zone_id")
     s["dissolve_boundary_edges"] = cell_edges_sql()
     s["dissolve_area"] = (f"SELECT c.grp, {area_deg2("count(*)")} AS area, "
                           f"(SELECT count(*) FROM ({cell_edges_sql()}) e WHERE e.grp = c.grp) AS n_edges "
