@@ -290,8 +290,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 80, wid
     sizes = sets.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("n_low"))
     needed = write_shared(with_chunks(write_shared(homes.join(sizes, "node"), "members"), "home"), "members")
     texts = docs.select(F.col(key).alias("node"), F.col(text).cast("string").alias("text")).where("node is not null")
-    texts = write_shared(texts.where(probably_in("node", needed.select("node")))
-                         .join(needed.select("node").hint("merge"), "node", "left_semi"), "texts")
+    # texts of other rows that pass the bit table meet no pair in the joins below
+    texts = write_shared(texts.where(probably_in("node", needed.select("node"))), "texts")
 
     stars = placed.where("a <> node").select("a", F.col("node").alias("b")).distinct()
     x, y = needed.alias("x"), needed.alias("y")
@@ -313,7 +313,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, percent: int = 80, wid
              .select("node", "component", "chunk", F.explode("chunks").alias("other"))
              .select(F.xxhash64(F.least("chunk", "other"), F.greatest("chunk", "other")).alias("work"),
                      "chunk", "node", "component"))
-    more = write_shared(confirm_units(units.join(texts, "node"), percent, width), "links")
+    again = texts.where(probably_in("node", left_over.select("node")))
+    more = write_shared(confirm_units(units.join(again, "node"), percent, width), "links")
     if not more.isEmpty():
         labels = write_shared(connected_components(links.union(more)), "labels")
 
