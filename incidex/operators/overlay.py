@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import edge_tolerance
 from ..session import cut_lineage
-from .spatial import cut_edges, edge_cells, net_edges, row_line, split_at_vertices
+from .spatial import cut_edges, edge_cells, net_edges, row_line, shuffled, split_at_vertices
 
 # --- fixed values -----------------------------------------------------------
 CROSSING_DIGITS = 11     # crossings are rounded, so edges that meet in a place get one vertex
@@ -63,7 +63,7 @@ def split_at_crossings(edges: DataFrame, keys, cell: float, digits: int = CROSSI
         return ((d1 > least) & (d2 < -least)) | ((d1 < -least) & (d2 > least)), d1 / (d1 - d2)
     one, t = apart("a_", "b_")
     two, _ = apart("b_", "a_")
-    met = (a.join(b, [*keys, "_gx", "_gy"]).where((F.col("a__eid") < F.col("b__eid")) & one & two)
+    met = (a.join(shuffled(b), [*keys, "_gx", "_gy"]).where((F.col("a__eid") < F.col("b__eid")) & one & two)
            .withColumn("_vx", F.round(F.col("b_x1") + t * (F.col("b_x2") - F.col("b_x1")), digits))
            .withColumn("_vy", F.round(F.col("b_y1") + t * (F.col("b_y2") - F.col("b_y1")), digits)))
     hits = None
@@ -93,7 +93,7 @@ def covered_sides(pieces: DataFrame, keys, cell: float) -> DataFrame:
              .withColumn("_gx", F.floor(F.col("px") / c)).withColumn("_gy", F.floor(F.col("py") / c))
              .withColumn("yc", row_line(c)).withColumnRenamed("net", "own"))
     near = listed.select(*keys, "_gx", "_gy", "net", here.alias("here"), *[F.col(n).alias(f"e_{n}") for n in ("x1", "y1", "x2", "y2")])
-    met = tests.join(near, [*keys, "_gx", "_gy"])
+    met = tests.join(shuffled(near), [*keys, "_gx", "_gy"])
 
     def left_of(y):     # of the directed piece, taken just right of the path
         cr = _cross("e_", "px", y)
@@ -106,7 +106,7 @@ def covered_sides(pieces: DataFrame, keys, cell: float) -> DataFrame:
     count = (F.when(upright, F.when(at_point, F.col("net")).otherwise(-F.col("net"))).otherwise(0)
              + F.when(sideways, F.when(rising, F.col("net")).otherwise(-F.col("net"))).otherwise(0))
     local = met.groupBy(*keys, *end, "own", "py", "yc", "_gx", "_gy").agg(F.sum(count).alias("w"))
-    total = local.join(cells, [*keys, "_gx", "_gy"]).withColumn("w", F.col("w") + F.col("beyond"))
+    total = local.join(shuffled(cells), [*keys, "_gx", "_gy"]).withColumn("w", F.col("w") + F.col("beyond"))
     # the path leaves a piece upwards or downwards, an upright one to the right
     leaves_left = (F.col("ax") < F.col("bx")) & (F.col("yc") >= F.col("py"))
     return total.select(*keys, *end, F.col("own").alias("net"),

@@ -99,3 +99,14 @@ def test_crossing_is_one_vertex_of_both_edges(spark):
     edges = frame(spark, [(1, SHAPES[100][0]), (1, SHAPES[100][1])])
     cut = split_at_crossings(edges, ["grp"], 0.7)
     assert cut.count() == 12 and cut.where("x1 = 1 AND y1 = 2").count() == 2 and cut.where("x1 = 2 AND y1 = 1").count() == 2
+
+
+def test_no_join_of_edges_is_broadcast(spark):
+    from incidex.operators.overlay import covered_sides
+    from incidex.operators.spatial import net_edges, split_at_vertices
+    edges = frame(spark, [(i % 3, p) for i, p in enumerate(random_parts(5))])
+    pieces = net_edges(union_parts(edges, ["grp"], 1.0), ["grp"])
+    for df in (split_at_crossings(edges, ["grp"], 1.0), split_at_vertices(edges, ["grp"], 1.0), covered_sides(pieces, ["grp"], 1.0)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
