@@ -160,3 +160,14 @@ def test_population_rollup_and_sector_population_with_suppressed_cells(spark):
     sec = sector_population(demo)
     assert dict(sec.dtypes)["POP_TOTAL"] == "int"
     assert {r.ID_SC: r.POP_TOTAL for r in sec.collect()} == {"s1": 10, "s2": None, "s3": 5, "s5": None}
+
+
+def test_rejects_work_out_each_coordinate_once(spark):
+    from incidex.plans.pipeline import incident_rejects
+    rows = [("Rua A", "-46.5", "-23.5"), (None, "-465", "-235"), ("VEDAÇÃO DA DIVULGAÇÃO", "-46.5", "-23.5"),
+            ("Rua B", None, "-23.5"), (None, "abc", "-23.5")]
+    got = incident_rejects(spark.createDataFrame(rows, "LOGRADOURO string, LONGITUDE string, LATITUDE string"), "s")
+    assert got.columns == ["source", "reason", "n"]
+    assert sorted(map(tuple, got.collect())) == [("s", "coordinate", 2), ("s", "no_address", 1), ("s", "redacted", 1)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 4      # two a coordinate
+    assert incident_rejects(spark.createDataFrame(rows[:1], "LOGRADOURO string, LONGITUDE string, LATITUDE string"), "s").collect() == []
