@@ -29,10 +29,13 @@ def changed_partitions(source: VersionedTable, target: VersionedTable) -> tuple[
 def refresh(source: VersionedTable, target: VersionedTable, build: Callable[[DataFrame], DataFrame], partition: str) -> list[str]:
     """Rebuild the partitions of ``target`` whose source changed; returns their
     folder names.  ``build`` turns rows of ``source`` into rows of ``target``
-    and must not mix partitions (a year's gold rows come from that year)."""
+    and must not mix partitions (a year's gold rows come from that year);
+    where it has ``parts`` (see ``pipeline``), these are used."""
     changed, now = changed_partitions(source, target)
     if changed:
-        staged = target.stage(build(source.read(names=changed)), partition)
+        given = source.read(names=changed)
+        rows, late = build.parts(given) if hasattr(build, "parts") else (build(given), None)
+        staged = target.stage(rows, partition, late=late)
         if not set(staged.names) <= set(changed):
             raise ValueError(f"rows of partitions that did not change: {sorted(set(staged.names) - set(changed))}")
         target.publish(staged, keep="untouched", note={"built_from": now}, drop=changed)
