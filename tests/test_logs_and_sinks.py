@@ -161,3 +161,28 @@ def test_gold_counts_keep_unlisted_types(spark):
     zones = spark.createDataFrame([("s", 100, 2022)], "ID_SC string, POP_TOTAL int, YEAR_INFO int")
     row = sector_rates(silver, zones).first()
     assert (row["TOTAL_CRIMES"], row["FURTO_ROUBO_DE_CELULAR"], row["OTHER_TYPES"]) == (3, 1, 2)
+
+
+def test_landing_folders_are_written_in_a_session_without_the_charset_flag(spark, tmp_path):
+    from conftest import SF
+    from incidex.sources.landing import read_landing
+    from incidex.plans import fixtures as fx
+    from incidex.plans.catalog import write_landing
+    flag, was = "spark.sql.legacy.javaCharsets", spark.conf.get("spark.sql.legacy.javaCharsets")
+    spark.conf.set(flag, "false")
+    try:
+        spec = write_landing(spark, SF, str(tmp_path))
+        for source in ("cellphones", "vehicles", "others"):
+            got = read_landing(spark, spec["tables"][f"bronze_crimes_{source}"], spec["base"])
+            given = fx.raw_incidents(spark, SF, source)
+            assert sorted(map(tuple, got.select(given.columns).collect()), key=repr) == sorted(map(tuple, given.collect()), key=repr)
+    finally:
+        spark.conf.set(flag, was)
+
+
+def test_landing_rows_are_not_broadcast(spark, tmp_path):
+    from incidex.sources.landing import read_landing
+    spark.range(50).select(F.col("id").cast("string").alias("v")).write.parquet(f"{tmp_path}/y=2020")
+    got = read_landing(spark, {"input": "y={year}", "format": "parquet", "years": [2020]}, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 50 and "BuildRight" in plan and "BuildLeft" not in plan
