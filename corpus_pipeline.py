@@ -13,7 +13,7 @@ from pyspark.sql.types import IntegralType
 
 from incidex.llm import langid, toxicity
 from incidex.llm.common import table, workers_find_package, write_shared
-from incidex.llm.minhash import near_duplicates
+from incidex.llm.minhash import near_duplicates, probably_in
 from incidex.llm.packing import pack_documents
 from incidex.llm.queries import TOXIC_FROM, tokenizer_path, toxicity_categories
 
@@ -66,10 +66,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     else:
         named = named.withColumn(name, F.col("doc_id"))
     found = write_shared(near_duplicates(named, name, "text", SIMILARITY_PERCENT), "classes")
-    stay = named.join(found.where("kept").select(name).distinct(), name, "left_semi")
+    # rows surely of no dropped and no repeated key stay where they are: only the others' texts are shuffled
+    dropped = found.where("not kept").select(name)
+    touched = dropped
+    if repeated:
+        touched = write_shared(dropped.union(found.groupBy(name).count().where("count > 1").select(name)), "touched")
+    likely = probably_in(name, touched)
+    stay = named.where(likely).join(dropped, name, "left_anti")
     if repeated:
         stay = stay.groupBy(name).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
-    return stay.select(docs.columns).union(docs.where("doc_id is null"))
+    return (named.where(~likely).select(docs.columns).union(stay.select(docs.columns))
+            .union(docs.where("doc_id is null")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

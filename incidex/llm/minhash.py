@@ -37,7 +37,7 @@ from incidex.llm.memory import held
 BINS_BITS = 8
 BANDS, ROWS = 42, 6
 CHUNK = 512
-BLOOM_BITS = 22
+BLOOM_BITS, BLOOM_BITS_MOST = 22, 26
 REMEMBERED = 400_000
 U = np.uint64
 _STEP, _FINAL1, _FINAL2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -245,23 +245,29 @@ def with_chunks(members: DataFrame, home: str, size: int = CHUNK) -> DataFrame:
             .drop("_n", home))
 
 
-def probably_in(column: str, keys: DataFrame, bits: int = BLOOM_BITS):
+def bloom_bits(keys: int) -> int:
+    """16 bits a key, so that about one other value in 16 passes, from 512 KB to 8 MB."""
+    return min(max((16 * keys).bit_length(), BLOOM_BITS), BLOOM_BITS_MOST)
+
+
+def probably_in(column: str, keys: DataFrame):
     """Condition that is true for every value of ``keys`` and false for most others:
-    a bit table of fixed size, put together by aggregation."""
+    a bit table put together by aggregation.  It grows with the keys up to
+    ``BLOOM_BITS_MOST``; beyond that more of the other values pass."""
+    bits = bloom_bits(keys.count())
     place = F.shiftrightunsigned(F.xxhash64(keys.columns[0]), 64 - bits)
     words = (keys.select(F.shiftright(place, 5).alias("word"), F.expr("1L").alias("one"), place.alias("place"))
              .groupBy("word").agg(F.bit_or(F.call_function("shiftleft", "one", F.col("place").bitwiseAND(31).cast("int"))).alias("set"))
-             .toPandas())  # at most 2 ** (bits - 5) rows
-    filled = np.zeros(1 << (bits - 5), np.uint32)
-    filled[words["word"].to_numpy(np.int64)] = words["set"].to_numpy(np.int64).astype(np.uint32)
-    filled = np.unpackbits(filled.view(np.uint8), bitorder="little").astype(bool)
-    packed = np.packbits(filled)
+             .toArrow())  # at most 2 ** (bits - 5) rows
+    filled = np.zeros(1 << (bits - 5), "<u4")
+    filled[words["word"].to_numpy()] = words["set"].to_numpy().astype("<u4")
+    packed = filled.view(np.uint8)
 
     @F.arrow_udf("boolean")
     def test(places: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = np.unpackbits(packed).astype(bool)
         for p in places:
-            yield pa.array(table[p.to_numpy(zero_copy_only=False)])
+            p = p.to_numpy(zero_copy_only=False)
+            yield pa.array((packed[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1)
 
     return test(F.shiftrightunsigned(F.xxhash64(column), 64 - bits))
 
