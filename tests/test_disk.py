@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from incidex.functions.geometry import curve_key
 from incidex.operators.dedup import keep_top_priority, union_sources
 from incidex.operators.spatial import zone_cells
 from incidex.plans import pipeline as pl
@@ -101,6 +102,17 @@ def test_cut_lineage_keeps_rows_and_metadata(spark):
     assert got.schema["a"].metadata == {"srid": 7} and got.columns == df.columns
 
 
+def test_curve_has_no_jumps(spark):
+    at = spark.range(64).crossJoin(spark.range(64).withColumnRenamed("id", "b"))
+    side = F.lit(1 << 25) / F.lit((1 << 31) - 1)
+    x, y = (F.col("id") + 0.5) * side * 360 - 180, (F.col("b") + 0.5) * side * 180 - 90
+    rows = at.select("id", "b", x.alias("x"), y.alias("y")).select("id", "b", curve_key("x", "y").alias("k")).orderBy("k").collect()
+    assert len({r.k for r in rows}) == 64 * 64
+    assert all(abs(a.id - b.id) + abs(a.b - b.b) == 1 for a, b in zip(rows, rows[1:]))
+    odd = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0)], "x double, y double").select(curve_key("x", "y"))
+    assert [r[0] for r in odd.collect()] == [None, None]
+
+
 def test_layout_by_place_takes_late_columns(spark):
     df = spark.createDataFrame([(f"{i:064x}", i % 2, i / 10, i / 20) for i in range(200)], "ID_CRIME string, YEAR_INFO int, x double, y double")
     rows, late = pl.packed_incidents(df)
