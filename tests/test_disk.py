@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from incidex.functions.geometry import curve_key
+from incidex.functions.keys import PACK_MARK, PACK_SEP, packed_columns
 from incidex.operators.dedup import keep_top_priority, union_sources
 from incidex.operators.spatial import zone_cells
 from incidex.plans import pipeline as pl
@@ -121,3 +122,27 @@ def test_layout_by_place_takes_late_columns(spark):
     table.replace(rows, "YEAR_INFO", near=("x", "y"), late=lambda d: (seen.append(planned(d)), late(d))[1])
     assert "Exchange rangepartitioning" in seen[0]       # late: behind the layout's exchange
     assert sorted(table.read().select(df.columns).collect()) == sorted(df.collect())
+
+
+def test_packed_columns_give_back_every_text(spark):
+    texts = [None, "", "a", PACK_SEP, PACK_MARK, PACK_MARK + "0", PACK_MARK + "1", PACK_MARK + "2", PACK_SEP + "1",
+             PACK_MARK + PACK_SEP, PACK_MARK + "3FF", "ä" + PACK_SEP * 3, "0", "null"]
+    rows = [(a, i % 5 - 2 if i % 4 else None, b, i / 7, 1 << 40) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)]
+    df = spark.createDataFrame(rows, "a string, n int, b string, x double, k long")
+    broken = df.limit(1).withColumn("a", F.unhex(F.lit("FF1F1E")).cast("string"))      # bytes that are no text
+    df = df.unionByName(broken)
+    packed, unpack = packed_columns(df, keep=("k",))
+    assert packed.columns == ["x", "k", "_row"] and packed.select("_row").distinct().count() == len(rows) + 1
+    back = unpack(packed.withColumn("new", F.lit(1)).drop("x"))
+    assert back.columns == ["a", "n", "b", "k", "new"] and back.dtypes[:3] == [df.dtypes[0], df.dtypes[1], df.dtypes[2]]
+    as_bytes = [F.col("a").cast("binary").alias("a"), "n", F.col("b").cast("binary").alias("b")]
+    got, want = (sorted(map(repr, d.select(*as_bytes).collect())) for d in (back, df))
+    assert got == want
+    one = df.select("a", "x")
+    assert packed_columns(one)[0] is one
+
+
+def test_written_bronze_packs_its_rows(spark):
+    rows, late = pl.bronze_parts(landing(spark), year_col="ANO")
+    assert rows.columns == ["_row"] and pl.bronze(landing(spark), year_col="ANO").columns == late(rows).columns
+    assert not late(rows).exceptAll(pl.bronze(landing(spark), year_col="ANO")).count()
