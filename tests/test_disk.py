@@ -2,6 +2,8 @@
 exchanges of whole rows, plain checkpoints."""
 
 import glob
+import gzip
+import os
 import time
 
 import numpy as np
@@ -13,9 +15,12 @@ from incidex.functions.geometry import curve_key
 from incidex.functions.keys import PACK_MARK, PACK_SEP, packed_columns
 from incidex.operators.dedup import keep_top_priority, union_sources
 from incidex.operators.spatial import zone_cells
+from incidex.operators import quality
+from incidex.plans import etl
 from incidex.plans import pipeline as pl
 from incidex.session import WRITE_CONF, concurrently, cut_lineage, shared_path, writing
 from incidex.sources import sinks
+from incidex.sources.landing import entry_format, heading, landing_files, read_landing
 from incidex.sources.versions import VersionedTable
 
 
@@ -146,3 +151,41 @@ def test_written_bronze_packs_its_rows(spark):
     rows, late = pl.bronze_parts(landing(spark), year_col="ANO")
     assert rows.columns == ["_row"] and pl.bronze(landing(spark), year_col="ANO").columns == late(rows).columns
     assert not late(rows).exceptAll(pl.bronze(landing(spark), year_col="ANO")).count()
+
+
+def test_landing_reads_gzip(spark, tmp_path):
+    for year, text in ((2020, "RUA;ANO\nSão João;2020\n"), (2021, "ANO;RUA;NOTA\n2021;Sé;x\n")):
+        os.makedirs(f"{tmp_path}/y={year}")
+        with gzip.open(f"{tmp_path}/y={year}/part.csv.gz", "wt", encoding="windows-1252") as f:
+            f.write(text)
+    with gzip.open(f"{tmp_path}/y=2021/METODOLOGIA.csv.gz", "wt") as f:
+        f.write("CAMPO\nx\n")
+    entry = {"input": "y={year}", "format": "csv", "years": [2020, 2021], "skip_parts": ["METODOLOGIA"]}
+    found = landing_files(spark, entry, str(tmp_path))
+    assert [heading(spark, p, ";", "windows-1252") for p, _ in found] == [("ANO", "RUA", "NOTA"), ("RUA", "ANO")]
+    rows = read_landing(spark, entry, str(tmp_path)).select("RUA", "ANO", "NOTA", "YEAR_INFO").collect()
+    assert sorted(map(tuple, rows)) == [("São João", "2020", None, 2020), ("Sé", "2021", "x", 2021)]
+    assert entry_format({"input": "x/{year}.csv.gz"}) == "csv"
+
+
+def test_unique_keys_are_counted_by_hash_first(spark):
+    df = spark.createDataFrame([("a", 1, 0.0), ("b", 1, -0.0), (None, 2, 1.0), (None, 3, 2.0), ("c", None, 3.0)], "k string, n int, x double")
+    for unique, bad in (("k", [1]), ("n", [1]), (["k", "n"], [0]), ([["k", "n"], ["n"], ["x"]], [0, 1, 1])):
+        plain, probed = (quality.unique_reports(df, "t", unique, probe=p) for p in (False, True))
+        assert [r.violations for r in probed.collect()] == bad and plain.collect() == probed.collect() and plain.schema == probed.schema
+    assert quality.hashes_differ(df, ["k", "n"]) and not quality.hashes_differ(df, ["x"]) and not quality.hashes_differ(df, ["k"])
+
+
+def test_the_run_moves_distinct_rows_once(spark, tmp_path, monkeypatch):
+    moved = {}
+
+    def seen(run, df, path, entry, not_null, late=None):
+        moved[entry["name"]] = planned(sinks.laid_out(df, entry["partition"], late)).count("REBALANCE")
+        return stage(run, df, path, entry, not_null, late)
+    stage = etl._stage
+    monkeypatch.setattr(etl, "_stage", seen)
+    out = etl.run_etl(spark, "/root/testdata/sf0.001", f"{tmp_path}/run")
+    once = ["bronze_crimes_cellphones", "bronze_crimes_others", "bronze_scs_geom", "silver_crimes_vehicles", "gold_crimes", "gold_crimes_scs"]
+    assert [moved[n] for n in once] == [0] * len(once) and moved["silver_crimes"] == 1
+    gold, want = out["tables"]["gold_crimes"], pl.gold_incidents(out["tables"]["silver_crimes"].drop("DATE_PROCESSED"))
+    assert gold.columns == want.columns and want.count() and not gold.exceptAll(want).count() and not want.exceptAll(gold).count()
